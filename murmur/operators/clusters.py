@@ -122,7 +122,7 @@ def merge_similar_words(
     added = (
         held.join(small_side(to_head), [*by, "term"])
         .groupBy(*by, key)
-        .agg(F.collect_list("head").alias("more"))  # at most one per distinct word of the text
+        .agg(F.array_sort(F.collect_list("head")).alias("more"))  # at most one per distinct word of the text
     )
     return plain.join(added, [*by, key], "left").select(
         *by, key, F.when(F.col("more").isNull(), F.col("bag")).otherwise(F.concat("bag", "more")).alias("bag")

@@ -107,7 +107,7 @@ def spam_flags(spark, folder):
 def spam_two_passes(spark, folder):
     """Original texts first, then their translations (here: upper case)."""
     first = R.spam_filter(documents(spark, folder, "doc_id", "text"), "text")
-    second = R.spam_filter(first.withColumn("translated", F.concat(F.upper("text"), F.lit(" 555-1234"))))
+    second = R.spam_filter(first.withColumn("translated", F.concat(F.replace("text", F.lit("a"), F.lit("A")), F.lit(" 555-1234"))))
     return second.select("doc_id", "text", "translated", "spam")
 
 
@@ -343,7 +343,7 @@ def _memory(spark, folder):
     labelled = table(spark, folder, "labels").select("doc_id")
     return documents(spark, folder, "doc_id", "lang", "text").join(labelled, "doc_id").select(
         "lang", E.text_key(F.col("text")).alias("text_hash"),
-        F.concat(F.lit("it&#39;s "), F.upper("text")).alias("translated"),
+        F.concat(F.lit("it&#39;s "), F.replace("text", F.lit("a"), F.lit("A"))).alias("translated"),
     )
 
 
