@@ -10,7 +10,7 @@ from murmur.operators import similarity as S
 from murmur.operators.expand import first_senses
 from murmur.operators.joins import small_side
 from murmur.operators.stats import top_terms, usual_words, word_rows
-from murmur.session import materialize
+from murmur.session import materialize, materialize_measured
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -35,19 +35,17 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             moved = moved.union(low.select("a", F.col("m").alias("b")))
         return moved.filter(F.col("a") != F.col("b")).distinct()
 
-    def mark(stars: DataFrame) -> tuple:
+    def settle(rows: DataFrame) -> tuple[DataFrame, dict]:
         hashed = F.xxhash64("a", "b").cast("decimal(38,0)")
-        return tuple(stars.agg(F.count("*"), F.sum(hashed)).first())
+        return materialize_measured(rows, n=F.count(F.lit(1)), sum=F.sum(hashed))
 
-    stars = materialize(
+    stars, before = settle(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter(F.col("a") != F.col("b"))
         .distinct()
     )
-    before = mark(stars)
     for _ in range(max_rounds):
-        stars = materialize(star(star(stars, large=True), large=False))
-        after = mark(stars)
+        stars, after = settle(star(star(stars, large=True), large=False))
         if after == before:
             break
         before = after

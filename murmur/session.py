@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime SQL settings the plans rely on. AQE picks broadcast joins from measured
 # shuffle sizes, merges small partitions and splits skewed ones; forcing the skew
@@ -56,7 +56,26 @@ def materialize(df: DataFrame) -> DataFrame:
     Cuts the lineage, survives lost executors, and gives later stages pruned
     columns and real sizes.
     """
+    return materialize_measured(df)[0]
+
+
+def materialize_measured(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, with aggregates observed while writing."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/murmur-{uuid.uuid4().hex}"
+    seen = Observation()
+    if metrics:
+        df = df.observe(seen, *[m.alias(name) for name, m in metrics.items()])
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored, seen.get if metrics else {}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its scan has fewer splits than there are cores.
+
+    Text work is heavy per row; one file with one row group would keep it on one
+    core. A large table has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -322,7 +322,8 @@ def weight_ctes(prefix, source, by, key, copies="1"):
     )"""
 
 
-FOLDED = f"""{FB},
+ONE = FB.replace("source AS device", "'any' AS device")
+FOLDED = f"""{ONE},
     bags AS (
       SELECT store, device, id, list_sort(list_filter({terms('translated')}, lambda t: length(t) >= 2)) AS bag FROM fb
     ),
@@ -673,11 +674,11 @@ def merged_ctes():
 
 
 O["merged_words"] = f"WITH {FB}, {merged_ctes()} SELECT id, array_to_string(bag, ' ') AS bag FROM mb"
-_merged_clusters = cluster_ctes().replace(FB + ",", "", 1).replace(
+_merged_clusters = cluster_ctes().replace(ONE + ",", "", 1).replace(
     f"list_sort(list_filter({terms('translated')}, lambda t: length(t) >= 2)) AS bag FROM fb", "list_sort(bag) AS bag FROM mb")
 _known = ", ".join(sorted("(" + q(s) + ", " + q(pystem(k)) + ")" for s, k in PLAIN))
 O["bottom_up_issues"] = f"""
-WITH RECURSIVE {FB}, {merged_ctes()}, {_merged_clusters}, {phrase_ctes()},
+WITH RECURSIVE {ONE}, {merged_ctes()}, {_merged_clusters}, {phrase_ctes()},
 ct AS (SELECT c.store, c.cluster, array_to_string(vps || nps, ', ') AS text FROM clusters c JOIN phr USING (id) WHERE len(vps) + len(nps) > 0),
 {cluster_keyword_ctes('ct', 1, f"AND (store, {stem('w')}) NOT IN (SELECT * FROM (VALUES {_known}))")}
 SELECT c.id, ck.keyword AS issue FROM clusters c JOIN ck ON ck.cluster = c.cluster"""

@@ -13,7 +13,7 @@ from murmur.functions import agent, cleaning, text as T, values as V
 from murmur.operators import clusters as C, enrich as E, expand as X, matching as M
 from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
 from murmur.plans import incremental as I, pipeline, report as RP
-from murmur.session import materialize, scratch_dir, tune
+from murmur.session import materialize, scratch_dir, spread, tune
 from murmur.sources import dictionaries as D, feedback as FB, tables as TB
 from workload import fixtures as X_
 
@@ -24,12 +24,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def documents(spark, folder, *columns) -> DataFrame:
     df = table(spark, folder, "documents")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 def as_feedback(spark, folder) -> DataFrame:
     """Documents in the feedback schema: language as store, source as device."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder, "doc_id", "lang", "source", "text").select(
         F.col("doc_id").alias("id"),
         F.col("lang").alias("store"),
         F.col("source").alias("device"),
@@ -602,8 +602,13 @@ def key_issues(spark, folder):
 # --- similarity ---------------------------------------------------------------------------
 
 
+def _one_device(spark, folder):
+    """The documents as feedback of one device: a group per language."""
+    return as_feedback(spark, folder).withColumn("device", F.lit("any"))
+
+
 def _bags(spark, folder):
-    return S.bags(as_feedback(spark, folder), "translated", "id", ["store", "device"], X_.STOP)
+    return S.bags(_one_device(spark, folder), "translated", "id", ["store", "device"], X_.STOP)
 
 
 def tfidf(spark, folder):
@@ -627,7 +632,7 @@ def clusters(spark, folder):
 
 def _clustered(spark, folder):
     found = materialize(clusters(spark, folder)).select("id", "cluster")
-    return as_feedback(spark, folder).join(found, "id")
+    return _one_device(spark, folder).join(found, "id")
 
 
 def cluster_summary(spark, folder):
@@ -660,7 +665,8 @@ def _document_senses(spark, folder):
 
 def bottom_up_issues(spark, folder):
     listed = D.listed_keywords(categories(spark), "store").distinct()
-    return C.bottom_up_issues(_phrased(spark, folder), _document_senses(spark, folder), listed, X_.STOP)
+    phrased = _phrased(spark, folder).withColumn("device", F.lit("any"))
+    return C.bottom_up_issues(phrased, _document_senses(spark, folder), listed, X_.STOP)
 
 
 # --- whole plans ----------------------------------------------------------------------------
