@@ -88,22 +88,25 @@ def windows(items: Column, length: int = 2) -> Column:
     return bind(items, runs)
 
 
-def contexts(text: Column, keyword: Column, before: int = 2) -> Column:
-    """For each word with the keyword's normal form: it and the words just before
-    it in its sentence."""
+def contexts(text: Column, targets: Column, before: int = 2) -> Column:
+    """``struct(term, context)`` for each word whose normal form is among ``targets``:
+    the word and those just before it in its sentence. One pass over the text, however
+    many targets there are."""
 
-    def of_sentence(w: Column, target: Column) -> Column:
-        place = lambda x, i: F.when(normal_form(x) == target, i)
-        places = F.filter(F.transform(w, place), lambda i: i.isNotNull())
+    def of_sentence(ws: Column) -> Column:
         first = lambda i: F.greatest(i - before, F.lit(0))
+        context = lambda i: F.array_join(F.slice(ws, first(i) + 1, i - first(i) + 1), " ")
+        hit = lambda t, i: F.named_struct(F.lit("term"), t, F.lit("i"), i)
+        hits = F.filter(
+            F.transform(normal_forms(ws), hit), lambda h: F.array_contains(targets, h["term"])
+        )
         return F.transform(
-            places, lambda i: F.array_join(F.slice(w, first(i) + 1, i - first(i) + 1), " ")
+            hits,
+            lambda h: F.named_struct(F.lit("term"), h["term"], F.lit("context"), context(h["i"])),
         )
 
-    spoken = F.transform(sentences(text), lambda s: words(s))
-    return bind(
-        normal_form(keyword),
-        lambda target: F.flatten(F.transform(spoken, lambda w: of_sentence(w, target))),
+    return F.flatten(
+        F.transform(F.transform(sentences(text), lambda s: words(s)), of_sentence)
     )
 
 
@@ -117,6 +120,6 @@ def neighbourhoods(items: Column) -> Column:
     return bind(
         items,
         lambda xs: F.transform(
-            xs, lambda t, i: F.struct(t.alias("term"), near(xs, i).alias("near"))
+            xs, lambda t, i: F.named_struct(F.lit("term"), t, F.lit("near"), near(xs, i))
         ),
     )

@@ -83,14 +83,18 @@ def unlisted_issue(unlisted: DataFrame, keywords: DataFrame) -> DataFrame:
     issues. The last such word decides, then the alphabetically first listed keyword.
     """
     words = unlisted.select(
-        "store", "keyword", F.posexplode(F.split("keyword", " ")).alias("place", "word")
+        F.col("store").alias("s"), "keyword", F.posexplode(F.split("keyword", " ")).alias("place", "word")
     ).filter(F.col("word") != "")
-    listed = keywords.select("store", F.col("keyword").alias("listed")).distinct()
+    listed = keywords.select(F.col("store").alias("s"), F.col("keyword").alias("listed")).distinct()
     best = (
-        contained_in(words, "word", listed, "listed", ["store"])
-        .groupBy("store", "keyword")
+        contained_in(words, "word", listed, "listed", ["s"])
+        .groupBy("s", "keyword")
         .agg(F.min(F.struct((-F.col("place")).alias("p"), "listed")).alias("b"))
-        .select("store", "keyword", F.col("b.listed").alias("listed"))
+        .select("s", "keyword", F.col("b.listed").alias("listed"))
+    )
+    issues = keywords.select(F.col("store").alias("s"), F.col("keyword").alias("listed"), "issue")
+    return (
+        best.join(issues, ["s", "listed"])
+        .select(F.col("s").alias("store"), "keyword", "issue")
+        .distinct()
     )
-    issues = keywords.select("store", F.col("keyword").alias("listed"), "issue")
-    return best.join(issues, ["store", "listed"]).select("store", "keyword", "issue").distinct()

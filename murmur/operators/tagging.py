@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from murmur import fixed
 from murmur.functions import text as T
-from murmur.operators.joins import small_side
+from murmur.operators.joins import settled, small_side
 from murmur.operators.matching import find_words, keyword_pairs, unlisted_issue
 
 
@@ -40,6 +40,7 @@ def categorize(
     or those of the text if the phrases hold none. Actions are the verb phrases that
     contain the keyword, or the keyword's word contexts if no verb phrase holds one.
     """
+    components = settled(components)
     pairs = keyword_pairs(components.select("store", "keyword").distinct())
     origins = F.array(
         F.struct(F.lit("text").alias("origin"), F.col(text).alias("body")),
@@ -63,14 +64,37 @@ def categorize(
         F.lit(fixed.OTHER_COMPONENT).alias("component"),
         F.array(F.lit("")).alias("actions"),
     )
-    normal_text = lambda p: F.array_join(T.terms(p, stop), " ")
-    from_verbs = F.filter(
-        "verb_phrases", lambda p: F.contains(normal_text(p), T.normal_form(F.col("keyword")))
+    # Per text, before its keywords fan out: normalised verb phrases, or the contexts
+    # of its keywords.
+    by_verb = F.size("in_verb") > 0
+    normal = F.transform(
+        "verb_phrases",
+        lambda p: F.named_struct(
+            F.lit("term"), F.array_join(T.terms(p, stop), " "), F.lit("context"), p
+        ),
     )
-    from_text = T.contexts(F.col(text), F.col("keyword"))
-    actions = F.when(F.size("in_verb") > 0, from_verbs).otherwise(from_text)
-    hits = tagged.filter(gate).withColumn("keyword", F.explode(chosen)).select(
-        key, "store", "keyword", actions.alias("actions")
+    targets = F.transform(chosen, lambda k: T.normal_form(k))
+    prepared = (
+        tagged.filter(gate)
+        .select(
+            key, "store", text, "verb_phrases",
+            by_verb.alias("by_verb"), chosen.alias("chosen"), targets.alias("targets"),
+        )
+        .withColumn(
+            "found",
+            F.when(F.col("by_verb"), normal).otherwise(T.contexts(F.col(text), F.col("targets"))),
+        )
+        .select(key, "store", "by_verb", "found", F.explode("chosen").alias("keyword"))
+    )
+    wanted = T.normal_form(F.col("keyword"))
+    match = lambda f: F.when(F.col("by_verb"), F.contains(f["term"], wanted)).otherwise(
+        f["term"] == wanted
+    )
+    hits = prepared.select(
+        key,
+        "store",
+        "keyword",
+        F.transform(F.filter("found", match), lambda f: f["context"]).alias("actions"),
     )
     table = components.select("store", "keyword", "component", "feature").distinct()
     merged = (
@@ -93,7 +117,8 @@ def key_issues(
     key: str = "id",
 ) -> DataFrame:
     """Distinct (key, issue); ``issues`` is (store, keyword, issue)."""
-    pairs = keyword_pairs(issues.select("store", "keyword").distinct())
+    issues = settled(issues)
+    pairs = settled(keyword_pairs(issues.select("store", "keyword").distinct()))
     # Only a side of an alternative can be reported without being listed.
     reported = pairs.select("store", "keyword").distinct()
     unlisted = reported.join(issues, ["store", "keyword"], "left_anti")

@@ -616,7 +616,7 @@ SELECT conv_id, turn, cast(i - 1 AS INT) AS pos, array_to_string(s[i:i+1], ' / '
 O["keyword_context"] = f"""
 WITH {FB}, {sentence_ctes('fb', 'id', 'translated')}, {CTX},
 ks AS (SELECT fb.id, v.keyword FROM fb JOIN {values(PLAIN, 'store', 'keyword')} v USING (store))
-SELECT id, keyword, cast(row_number() OVER (PARTITION BY id, keyword ORDER BY sid, i) - 1 AS INT) AS pos, context FROM ({contexts('ks')})"""
+SELECT id, keyword, cast(dense_rank() OVER (PARTITION BY id ORDER BY sid, i) - 1 AS INT) AS pos, context FROM ({contexts('ks')})"""
 O["phrase_chunks"] = f"""
 WITH {FB}, {phrase_ctes()} SELECT id, array_to_string(vps, ', ') AS verb_phrases, array_to_string(nps, ', ') AS noun_phrases FROM phr"""
 O["phrase_text"] = f"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from murmur import fixed
 from murmur.functions import agent, cleaning, text as T, values as V
-from murmur.operators import clusters as C, enrich as E, expand as X, matching as M
+from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
 from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
 from murmur.plans import incremental as I, pipeline, report as RP
 from murmur.session import materialize, scratch_dir, spread, tune
@@ -529,7 +529,7 @@ def find_in_parts(spark, folder):
     """Words and phrases of a colour and fastener dictionary in part names."""
     keywords = _local(spark, [(k,) for k in X_.PART_KEYWORDS], "keyword string")
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("store"), "p_name")
-    pairs = M.keyword_pairs(parts.select("store").distinct().join(F.broadcast(keywords), F.lit(True)))
+    pairs = M.keyword_pairs(parts.select("store").distinct().join(keywords, F.lit(True)))
     return M.find_words(parts, pairs, "p_name", ["id"], X_.STOP)
 
 
@@ -560,15 +560,19 @@ def sentence_windows(spark, folder):
 
 
 def keyword_context(spark, folder):
-    words = D.listed_keywords(categories(spark), "store").distinct()
-    docs = as_feedback(spark, folder)
-    return docs.join(F.broadcast(words), "store").select(
-        "id", "keyword", F.posexplode(T.contexts(F.col("translated"), F.col("keyword"))).alias("pos", "context")
+    words = J.settled(D.listed_keywords(categories(spark), "store").distinct()).withColumn(
+        "term", T.normal_form(F.col("keyword"))
     )
+    targets = words.groupBy("store").agg(F.collect_set("term").alias("targets"))
+    docs = as_feedback(spark, folder).join(J.small_side(targets), "store")
+    hits = docs.select("id", "store", F.posexplode(T.contexts(F.col("translated"), F.col("targets"))).alias("pos", "hit"))
+    return hits.select("id", "store", "pos", "hit.term", "hit.context").join(
+        J.small_side(words), ["store", "term"]
+    ).select("id", "keyword", "pos", "context")
 
 
 def _phrased(spark, folder):
-    return P.add_phrases(as_feedback(spark, folder), "translated", "id", tags(spark), default="N")
+    return materialize(P.add_phrases(as_feedback(spark, folder), "translated", "id", tags(spark), default="N"))
 
 
 def phrase_chunks(spark, folder):
@@ -713,11 +717,11 @@ def component_counts(spark, folder):
     """Clean and distinct feedback per component: the flagship."""
     clean = R.spam_filter(as_feedback(spark, folder))
     distinct = R.first_copies(clean, "translated", "id")
-    table_ = X.component_keywords(categories(spark)).select("store", "keyword", "component").distinct()
+    table_ = J.settled(X.component_keywords(categories(spark)).select("store", "keyword", "component").distinct())
     pairs = M.keyword_pairs(table_.select("store", "keyword").distinct())
     found = M.find_words(distinct, pairs, "translated", ["id"], X_.STOP)
     return (
-        found.join(F.broadcast(table_), ["store", "keyword"])
+        found.join(J.small_side(table_), ["store", "keyword"])
         .select("id", "store", "component").distinct()
         .groupBy("store", "component").agg(F.count("*").alias("reviews"))
     )
