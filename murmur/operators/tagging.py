@@ -57,16 +57,12 @@ def categorize(
     chosen = F.when(F.size(by_phrase) > 0, by_phrase).otherwise(F.col("in_text"))
     tagged = feedback.select(key, "store", text, "verb_phrases").join(per_text, key, "left")
 
+    # A text without keywords carries one null keyword through, and becomes "Others".
     gate = F.coalesce(F.size("in_text"), F.lit(0)) > 0
-    others = tagged.filter(~gate).select(
-        key,
-        F.lit(fixed.OTHER_FEATURE).alias("feature"),
-        F.lit(fixed.OTHER_COMPONENT).alias("component"),
-        F.array(F.lit("")).alias("actions"),
-    )
+    chosen = F.when(gate, chosen).otherwise(F.array(F.lit(None).cast("string")))
     # Per text, before its keywords fan out: normalised verb phrases, or the contexts
     # of its keywords.
-    by_verb = F.size("in_verb") > 0
+    by_verb = gate & (F.size("in_verb") > 0)
     normal = F.transform(
         "verb_phrases",
         lambda p: F.named_struct(
@@ -75,38 +71,45 @@ def categorize(
     )
     targets = F.transform(chosen, lambda k: T.normal_form(k))
     prepared = (
-        tagged.filter(gate)
-        .select(
-            key, "store", text, "verb_phrases",
+        tagged.select(
+            key, "store", text, "verb_phrases", gate.alias("gate"),
             by_verb.alias("by_verb"), chosen.alias("chosen"), targets.alias("targets"),
         )
         .withColumn(
             "found",
-            F.when(F.col("by_verb"), normal).otherwise(T.contexts(F.col(text), F.col("targets"))),
+            F.when(F.col("by_verb"), normal).when(
+                F.col("gate"), T.contexts(F.col(text), F.col("targets"))
+            ),
         )
-        .select(key, "store", "by_verb", "found", F.explode("chosen").alias("keyword"))
+        .select(key, "store", "gate", "by_verb", "found", F.explode("chosen").alias("keyword"))
     )
     wanted = T.normal_form(F.col("keyword"))
     match = lambda f: F.when(F.col("by_verb"), F.contains(f["term"], wanted)).otherwise(
         f["term"] == wanted
     )
-    hits = prepared.select(
-        key,
-        "store",
-        "keyword",
-        F.transform(F.filter("found", match), lambda f: f["context"]).alias("actions"),
-    )
+    actions = F.transform(F.filter("found", match), lambda f: f["context"])
+    hits = prepared.select(key, "store", "gate", "keyword", actions.alias("actions"))
     table = components.select("store", "keyword", "component", "feature").distinct()
+    other = lambda c, name: F.when(F.col("gate"), F.col(c)).otherwise(F.lit(name)).alias(c)
+    labelled = (
+        hits.join(small_side(table), ["store", "keyword"], "left")
+        .select(
+            key,
+            other("feature", fixed.OTHER_FEATURE),
+            other("component", fixed.OTHER_COMPONENT),
+            F.when(F.col("gate"), F.col("actions")).otherwise(F.array(F.lit(""))).alias("actions"),
+        )
+        .filter(F.col("component").isNotNull())
+    )
     merged = (
-        hits.join(small_side(table), ["store", "keyword"])
-        .groupBy(key, "component")
+        labelled.groupBy(key, "component")
         .agg(
             F.max("feature").alias("feature"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("actions")))).alias("actions"),
         )
         .select(key, "feature", "component", "actions")
     )
-    return drop_generic(merged, key, generic=generic).unionByName(others)
+    return drop_generic(merged, key, generic=generic)
 
 
 def key_issues(
