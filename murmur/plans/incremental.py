@@ -53,8 +53,9 @@ def load(
     """Append what is new to the three tables; returns the batch's first ID.
 
     The mark and the base are single values read from table aggregates; as constants
-    they reach the scans as filters. Child tables are written first and reviews last,
-    so that a load cut short leaves the mark where it was.
+    they reach the scans as filters. Child tables are written first and reviews last:
+    a load cut short leaves the mark where it was, and the next one gets fresh IDs, so
+    what it wrote belongs to no review.
     """
     tables.create()
     mark = high_water_mark(tables.read("reviews")).first()[0]

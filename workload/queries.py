@@ -527,9 +527,9 @@ def find_words(spark, folder):
 
 def find_in_parts(spark, folder):
     """Words and phrases of a colour and fastener dictionary in part names."""
-    keywords = _local(spark, [(k,) for k in X_.PART_KEYWORDS], "keyword string")
+    keyword = F.explode(F.array(*[F.lit(k) for k in X_.PART_KEYWORDS])).alias("keyword")
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("store"), "p_name")
-    pairs = M.keyword_pairs(parts.select("store").distinct().join(keywords, F.lit(True)))
+    pairs = M.keyword_pairs(parts.select("store").distinct().select("store", keyword))
     return M.find_words(parts, pairs, "p_name", ["id"], X_.STOP)
 
 
