@@ -101,7 +101,7 @@ def merge_similar_words(
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= min_count)
     )
-    surface = usual_words(texts, text, by).join(uses, [*by, "term"])
+    surface = usual_words(texts, text, by).join(uses, ["term", *by])
     sense = first_senses(senses).withColumnRenamed("lemma", "word")
     meant = (
         surface.withColumn("word", F.lower("word"))
@@ -122,7 +122,7 @@ def merge_similar_words(
         .groupBy(*by, key)
         .agg(F.array_sort(F.collect_list("head")).alias("more"))  # at most one per distinct word of the text
     )
-    return plain.join(added, [*by, key], "left").select(
+    return plain.join(added, [key, *by], "left").select(
         *by, key, F.when(F.col("more").isNull(), F.col("bag")).otherwise(F.concat("bag", "more")).alias("bag")
     )
 
@@ -149,7 +149,7 @@ def cluster_keywords(
         small = texts.groupBy(*by).agg(F.count("*").alias("_t")).filter(F.col("_t") < few)
         one = top_terms(counts.join(small, by, "left_semi"), 0, 1, by)
         top = top.join(small, by, "left_anti").unionByName(one)
-    return top.join(usual_words(texts, text, by), [*by, "term"]).select(
+    return top.join(usual_words(texts, text, by), ["term", *by]).select(
         *by, F.col("word").alias("keyword")
     )
 
