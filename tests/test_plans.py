@@ -12,7 +12,7 @@ from murmur.sources.tables import Tables
 from murmur.streaming.tagging import clean_stream, load_stream
 
 SURVEY = fixed.SOURCE_COLUMNS[fixed.SURVEY]
-AGENT = "Agent (iPhone) FxiOS/10.3 X"
+AGENT = f"Agent (iPhone) {fixed.VERSION_MARKERS[0]}10.3 X"
 
 
 def quoted(values):
@@ -104,7 +104,7 @@ def word_tables(spark):
     return memory, sentiment, tags
 
 
-CATEGORIES = 'Store,Tier,Feature,Component,Keywords\niOS,1,Tabs,Tabs,"tab, new tab"\niOS,,General,Firefox Browser,"speed, fast"\n'
+CATEGORIES = f'Store,Tier,Feature,Component,Keywords\niOS,1,Tabs,Tabs,"tab, new tab"\niOS,,General,{fixed.GENERIC_COMPONENT},"speed, fast"\n'
 ISSUES = 'Store,Issue,Keywords\niOS,speed related,"slow, fast"\niOS,Bug,"open"\n'
 
 

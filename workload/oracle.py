@@ -394,12 +394,13 @@ WITH RECURSIVE {screened('s', 'documents', 'doc_id', 'text')}
 SELECT s.text, min(s.doc_id) AS doc_id, arg_min(d.lang, s.doc_id) AS lang, 0 AS spam
 FROM s JOIN documents d USING (doc_id) WHERE NOT s.spam GROUP BY s.text"""
 
-AGENT = """
+IOS, WEB = fixed.VERSION_MARKERS
+AGENT = f"""
   'Agent/5.0 (' || (['iPhone','iPad','Windows','Macintosh','Linux','Other'])[user_id % 6 + 1]
   || CASE WHEN event_id % 5 = 0 THEN '; Linux' ELSE '' END || ') '
-  || (['FxiOS/','Firefox/','Other/','Firefox/x','FxiOS/'])[event_id % 5 + 1]
+  || (['{IOS}','{WEB}','Other/','{WEB}x','{IOS}'])[event_id % 5 + 1]
   || (event_id % 90)::VARCHAR || '.' || (user_id % 12)::VARCHAR || CASE WHEN event_id % 3 = 0 THEN '.7b12' ELSE '' END || ' Tail/1.0'
-  || CASE WHEN event_id % 7 = 0 THEN ' Firefox/88.1' ELSE '' END"""
+  || CASE WHEN event_id % 7 = 0 THEN ' {WEB}88.1' ELSE '' END"""
 DEVICE = ("CASE WHEN contains(a, 'Linux') THEN 'Linux' WHEN contains(a, 'Macintosh') THEN 'Macintosh' WHEN contains(a, 'Windows') THEN 'Windows'"
           " WHEN contains(a, 'iPad') THEN 'iPad' WHEN contains(a, 'iPhone') THEN 'iPhone' ELSE 'Unknown' END")
 STORE = "CASE WHEN d LIKE 'iP%' THEN 'iOS' WHEN d = 'Unknown' THEN '' ELSE 'Desktop' END"
@@ -407,7 +408,7 @@ STORE = "CASE WHEN d LIKE 'iP%' THEN 'iOS' WHEN d = 'Unknown' THEN '' ELSE 'Desk
 
 def version_sql(a):
     after = lambda m: rf"coalesce(try_cast(regexp_extract(substr({a}, strpos({a}, '{m}') + {len(m)}), '^(\d+\.\d+)', 1) AS DOUBLE), 0)"
-    return f"CASE WHEN strpos({a}, 'FxiOS/') > 1 THEN {after('FxiOS/')} WHEN strpos({a}, 'Firefox/') > 1 THEN {after('Firefox/')} ELSE 0.0 END"
+    return f"CASE WHEN strpos({a}, '{IOS}') > 1 THEN {after(IOS)} WHEN strpos({a}, '{WEB}') > 1 THEN {after(WEB)} ELSE 0.0 END"
 
 
 O["device_store"] = f"""
@@ -416,7 +417,7 @@ O["version_extract"] = f"SELECT event_id, cast({version_sql('a')} AS DOUBLE) AS
 O["country_recode"] = """
 SELECT c_custkey, CASE WHEN n_name IN ('UNITED STATES', 'NATION_3') THEN 'United States' ELSE n_name END AS country
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
-SURVEY_AGENT = "'Agent/5.0 (' || (['iPhone','iPad','Linux'])[doc_id % 3 + 1] || ') Firefox/' || (doc_id % 60)::VARCHAR || '.' || (doc_id % 7)::VARCHAR"
+SURVEY_AGENT = f"'Agent/5.0 (' || (['iPhone','iPad','Linux'])[doc_id % 3 + 1] || ') {WEB}' || (doc_id % 60)::VARCHAR || '.' || (doc_id % 7)::VARCHAR"
 NORMALIZED = f"""
 SELECT {STORE} AS store, d AS device, 'SurveyGizmo' AS source, CASE WHEN lang = 'en' THEN 'United States' ELSE lang END AS country,
   strftime(DATE '2024-01-01' + (doc_id % 30)::INT, '%Y-%m-%d') AS date, cast({version_sql('a')} AS DOUBLE) AS version,

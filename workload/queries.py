@@ -18,6 +18,9 @@ from murmur.sources import dictionaries as D, feedback as FB, tables as TB
 from workload import fixtures as X_
 
 
+IOS, WEB = fixed.VERSION_MARKERS
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -125,10 +128,10 @@ def clean_pipeline(spark, folder):
 _AGENT = (
     "concat('Agent/5.0 (', element_at(array('iPhone','iPad','Windows','Macintosh','Linux','Other'),"
     " cast(user_id % 6 as int) + 1), case when event_id % 5 = 0 then '; Linux' else '' end, ') ',"
-    " element_at(array('FxiOS/','Firefox/','Other/','Firefox/x','FxiOS/'), cast(event_id % 5 as int) + 1),"
+    f" element_at(array('{IOS}','{WEB}','Other/','{WEB}x','{IOS}'), cast(event_id % 5 as int) + 1),"
     " cast(event_id % 90 as string), '.', cast(user_id % 12 as string),"
     " case when event_id % 3 = 0 then '.7b12' else '' end, ' Tail/1.0',"
-    " case when event_id % 7 = 0 then ' Firefox/88.1' else '' end)"
+    f" case when event_id % 7 = 0 then ' {WEB}88.1' else '' end)"
 )
 
 
@@ -166,7 +169,7 @@ def _survey(spark, folder):
         ),
         F.expr(
             "concat('Agent/5.0 (', element_at(array('iPhone','iPad','Linux'), cast(doc_id % 3 as int) + 1),"
-            " ') Firefox/', cast(doc_id % 60 as string), '.', cast(doc_id % 7 as string))"
+            f" ') {WEB}', cast(doc_id % 60 as string), '.', cast(doc_id % 7 as string))"
         ).alias(mapping["device"]),
         F.when(F.col("source") == "src0", F.lit(None)).otherwise(F.col("source")).alias(like),
         F.col("text").alias(problem),
