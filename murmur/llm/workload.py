@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmur.llm import bpe, chat, packing
+from murmur.llm import bpe, chat, langid, packing, pii, secrets, sharding, simhash
 from murmur.llm.frames import table
 
 
@@ -17,9 +17,34 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.public_path())
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.learn(docs))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_of("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_documents(table(spark, sf_dir, "documents"), bpe.public_path())
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_packing, op10_bpe)}
+QUERIES = {
+    f.__name__: f
+    for f in (op2_chat_formatting, op3_packing, op5_sharding, op6_pii, op7_secrets, op8_language, op9_simhash, op10_bpe)
+}
 ORACLE: dict[str, str] = {}
