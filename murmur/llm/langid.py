@@ -195,21 +195,33 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return fit([x for x, u in zip(rows.column("lang").to_pylist(), used) if u], counts[used])
 
 
-def identify(docs: DataFrame, model: Centroids, text: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``docs`` and lang_pred, score, accepted, from the text alone."""
-    columns = docs.columns if columns is None else columns
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    schema = f"{kept}, _lang_pred string, _score double, _accepted boolean"
+def identify(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, lang_pred, score, accepted) of every row, from the text alone."""
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, accepted boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column("_text"))
-            found = [x for rows in by_size([len(t) for t in texts], SLICE) for x in model.predict(texts[rows])]
+            found = predictions(model, batch.column(text))
             added = [pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + added, [*columns, "_lang_pred", "_score", "_accepted"])
+            yield pa.RecordBatch.from_arrays([batch.column(key)] + added, [key, "lang_pred", "score", "accepted"])
 
-    small_batches(docs)
-    return docs.select(*columns, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return small_batches(docs).select(key, text).mapInArrow(run, schema)
+
+
+def predictions(model: Centroids, column: pa.Array) -> list[tuple[str, float, bool]]:
+    texts = texts_of(column)
+    return [x for rows in by_size([len(t) for t in texts], SLICE) for x in model.predict(texts[rows])]
+
+
+def keep_accepted(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
+    """``docs`` without those that the classifier rejects."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array([accepted for _, _, accepted in predictions(model, batch.column(text))], pa.bool_())
+            yield batch.filter(kept)
+
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -217,7 +229,5 @@ def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     held out from learning."""
     held = F.coalesce(remainder(key) == 2, F.lit(False))
     model = learn(docs.filter(~held), key, text, lang)
-    return identify(docs, model, text, [key]).select(
-        key, held.alias("held_out"), F.col("_lang_pred").alias("lang_pred"),
-        F.col("_score").alias("score"), F.col("_accepted").alias("accepted"),
-    )
+    found = identify(docs, model, key, text)
+    return found.select(key, held.alias("held_out"), "lang_pred", "score", "accepted")

@@ -23,7 +23,7 @@ copies; rows without an id get the least id of their group, null if there is non
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -36,10 +36,15 @@ from murmur.operators.clusters import components
 from murmur.session import materialize, materialize_measured
 
 RADIUS, WORDS, SEED = 3, 3, 42
+#: Of near-duplicates of texts: bits between candidates, words of a shingle, shingles of a
+#: sketch, least Jaccard similarity.
+WIDE, SHINGLE, SKETCH, SIMILARITY = 7, 5, 256, 0.8
 BITS = 64
 CODE_BITS = 11
-#: Fingerprints whose variants are made at once, and variants that a bucket is meant to hold.
-CHUNK, IN_BUCKET = 4096, 1 << 22
+SENT = "reducer long, bucket long, variants binary"
+#: Fingerprints whose variants are made at once, variants that a bucket is meant to hold, and
+#: bits of the buckets that go to a reducer together.
+CHUNK, IN_BUCKET, TOGETHER = 4096, 1 << 18, 4
 _ODD = 0x9E3779B97F4A7C15
 MIX, UNMIX = np.uint64(_ODD), np.uint64(pow(_ODD, -1, 1 << 64))
 
@@ -74,17 +79,44 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     return small_batches(docs).select(key, text).mapInArrow(run, schema)
 
 
-def flips(radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """What even and odd fingerprints are combined with, nearest first."""
+def flips(radius: int, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """What even and odd fingerprints of ``bits`` are combined with, nearest first."""
     if not 0 <= radius <= 3:
         raise ValueError("a radius of 0 to 3")
-    one = [1 << i for i in range(BITS)]
-    half = BITS // 2
-    two = [1 << i | 1 << j for part in (range(half), range(half, BITS)) for i, j in combinations(part, 2)]
+    one = [1 << i for i in range(bits)]
+    half = bits // 2
+    two = [1 << i | 1 << j for part in (range(half), range(half, bits)) for i, j in combinations(part, 2)]
     even, odd = {0: ([], []), 1: ([], one), 2: (one, one), 3: (one, one + two)}[radius]
     return np.array([0, *even], np.uint64), np.array([0, *odd], np.uint64)
 
 
+def _rows_of(bucket: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket with all its variants, eight bytes each."""
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
+    which, first = np.unique(bucket[order], return_index=True)
+    cuts = pa.py_buffer(8 * np.append(first, len(rest)).astype(np.int64))
+    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(which), [None, cuts, pa.py_buffer(rest[order])])
+    return pa.RecordBatch.from_arrays([pa.array(which >> TOGETHER), pa.array(which), data.cast(pa.binary())], ["reducer", "bucket", "variants"])
+
+
+def _met(sent: DataFrame, meet: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(a, b): distinct links that ``meet(bucket, sorted variants)`` finds in the buckets."""
+
+    def run(group: pa.Table) -> pa.Table:
+        bucket = group.column("bucket").to_numpy()
+        variants = group.column("variants").to_pylist()
+        order = np.argsort(bucket, kind="stable")
+        links = []
+        for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            rest = np.sort(np.frombuffer(b"".join([variants[i] for i in own]), np.uint64))
+            a, b = (x.view(np.int64) for x in meet(int(bucket[own[0]]), rest))
+            links.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1))
+        pairs = np.unique(np.concatenate(links, axis=1), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+
+    return sent.groupBy("reducer").applyInArrow(run, "a long, b long")
+
+
 def ball_links(distinct: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
     """(a, b): links that connect all distinct fingerprints within ``radius`` bits."""
     even, odd = flips(radius)
@@ -104,20 +136,9 @@ def ball_links(distinct: DataFrame, count: int, radius: int = RADIUS) -> DataFra
                     code = np.broadcast_to(np.arange(len(flip), dtype=np.uint64), variant.shape)
                     made.append((variant.ravel(), code.ravel()))
                 mixed, code = (np.concatenate([m[k] for m in made]) for k in range(2))
-                bucket = (mixed >> inside).astype(np.int64)
-                order = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
-                rest = (mixed << np.uint64(CODE_BITS) | code)[order]
-                which, first = np.unique(bucket[order], return_index=True)
-                cuts = np.append(first, len(rest))
-                data = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(which), [None, pa.py_buffer(8 * cuts.astype(np.int64)), pa.py_buffer(rest)]
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(which), data.cast(pa.binary())], ["bucket", "variants"])
-
-    def meet(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket")[0].as_py()
-        rest = np.frombuffer(b"".join(group.column("variants").to_pylist()), np.uint64)
-        rest = np.sort(rest)
+                yield _rows_of((mixed >> inside).astype(np.int64), mixed << np.uint64(CODE_BITS) | code)
+
+    def meet(bucket: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         point = rest >> np.uint64(CODE_BITS)
         first = np.flatnonzero(np.append(True, point[1:] != point[:-1]))
         size = np.diff(np.append(first, len(rest)))
@@ -131,12 +152,10 @@ def ball_links(distinct: DataFrame, count: int, radius: int = RADIUS) -> DataFra
 
         a, b = made_by(nearest), made_by(other)
         near = (a != b) & (np.bitwise_count(a ^ b) <= radius)
-        a, b = a[near].view(np.int64), b[near].view(np.int64)
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+        return a[near], b[near]
 
-    sent = small_batches(distinct, CHUNK).select("fingerprint").mapInArrow(emit, "bucket long, variants binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "a long, b long")
+    sent = small_batches(distinct, CHUNK).select("fingerprint").mapInArrow(emit, SENT)
+    return _met(sent, meet)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
@@ -157,5 +176,166 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return rows.join(materialize(of), "fingerprint").select(key, "fingerprint", "component_id")
 
 
+def _majority(items: list[bytes], seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """(how many hashes have each bit, hashes) of items."""
+    counts, hashes = np.zeros(BITS, np.int64), []
+    for i in range(0, len(items), 8192):
+        hashed = np.array([xxhash.xxh64_intdigest(x, seed) for x in items[i : i + 8192]], "<u8")
+        counts += np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        hashes.append(hashed)
+    return counts, np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+
+
+def features(text: str) -> tuple[bytes, int, bytes]:
+    """(hash of the words, fingerprint, sketch) of a text for ``drop_near_duplicates``.
+
+    The fingerprint is over distinct words, which count twice, and distinct pairs of
+    words: a changed word changes few of them, while unrelated texts share little. The
+    sketch has the ``SKETCH`` least hashes of distinct shingles of ``SHINGLE`` words.
+    """
+    found = text.encode().lower().split()
+    whole = b" ".join(found)
+    copy = xxhash.xxh128_digest(whole)
+    if not found:
+        return copy, 0, b""
+    words = list(set(found))
+    pairs = list({b" ".join(p) for p in zip(found, found[1:])})
+    one, _ = _majority(words)
+    two, _ = _majority(pairs)
+    bits = np.packbits(2 * (2 * one + two) > 2 * len(words) + len(pairs), bitorder="little")
+    n = max(1, len(found) - SHINGLE + 1)
+    shingles = np.unique(np.array([xxhash.xxh32_intdigest(b" ".join(found[i : i + SHINGLE])) for i in range(n)], np.uint32))
+    return copy, int(bits.view("<i8")[0]), shingles[:SKETCH].tobytes()
+
+
+def likeness(a: bytes, b: bytes) -> float:
+    """Jaccard similarity from two sketches; exact if both hold all their shingles."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    if len(x) < SKETCH and len(y) < SKETCH:
+        least = np.union1d(x, y)
+    else:
+        # Of the union only the least are known: as many as the shorter full sketch tells.
+        top = min(s[-1] for s in (x, y) if len(s) == SKETCH)
+        x, y = x[x <= top], y[y <= top]
+        least = np.union1d(x, y)
+    return len(np.intersect1d(x, y, assume_unique=True)) / len(least)
+
+
+def half_links(distinct: DataFrame, count: int, radius: int = WIDE) -> DataFrame:
+    """(a, b): links of distinct fingerprints within ``radius`` bits, 7 at most.
+
+    One half of two such fingerprints is within half the radius; so each half emits its
+    ball, and a variant carries its whole fingerprint. Those who meet may yet be far
+    apart in the other half. At each meeting point they gather around leaders within the
+    radius, so links stay linear in a group of any size.
+    """
+    half = BITS // 2
+    even, odd = (f.astype(np.uint32) for f in flips(radius // 2, half))
+    masks = odd if len(odd) >= len(even) else even
+    # One bit of a bucket says which half, the others begin the mixed variant.
+    bits = max(CODE_BITS + 1, int(count * (len(even) + len(odd)) / IN_BUCKET).bit_length())
+    inside = np.uint32(half - bits + 1)
+    mix = np.uint32(_ODD & 0xFFFFFFFF)
+    unmix = np.uint32(pow(int(mix), -1, 1 << half))
+    kept = half - CODE_BITS
+    low, code_mask = np.uint64((1 << half) - 1), np.uint64((1 << CODE_BITS) - 1)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = batch.column("fingerprint").to_numpy(zero_copy_only=False).view(np.uint64)
+            for i in range(0, len(every), CHUNK):
+                fp, buckets, rests = every[i : i + CHUNK], [], []
+                for part in range(2):
+                    own = (fp >> np.uint64(half * part)).astype(np.uint32)
+                    is_odd = np.bitwise_count(own) & 1 == 1
+                    for which, flip in ((~is_odd, even), (is_odd, odd)):
+                        mixed = (own[which][:, None] ^ flip[None, :]) * mix
+                        other = fp[which] >> np.uint64(half * (1 - part)) & low
+                        # What the bucket doesn't tell of the mixed variant, the flip, the other half.
+                        rest = (mixed & np.uint32((1 << kept) - 1)).astype(np.uint64) << np.uint64(half + CODE_BITS)
+                        rest |= np.arange(len(flip), dtype=np.uint64)[None, :] << np.uint64(half) | other[:, None]
+                        buckets.append(((mixed >> inside).astype(np.int64) << 1 | part).ravel())
+                        rests.append(rest.ravel())
+                yield _rows_of(np.concatenate(buckets), np.concatenate(rests))
+
+    def meet(bucket: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        point = rest >> np.uint64(half + CODE_BITS)
+        begin = np.uint32((bucket >> 1) << int(inside) >> kept << kept)
+        variant = (point.astype(np.uint32) | begin) * unmix
+        own = (variant ^ masks[(rest >> np.uint64(half) & code_mask).astype(np.int64)]).astype(np.uint64)
+        other = rest & low
+        fp = own << np.uint64(half) | other if bucket & 1 else other << np.uint64(half) | own
+        a, b = [rest[:0]], [rest[:0]]
+        while len(fp):
+            first = np.flatnonzero(np.append(True, point[1:] != point[:-1]))
+            size = np.diff(np.append(first, len(fp)))
+            leader = np.repeat(fp[first], size)
+            near = np.bitwise_count(fp ^ leader) <= radius
+            linked = near & (fp != leader)
+            a.append(leader[linked])
+            b.append(fp[linked])
+            # Those who stay look for a leader among themselves.
+            left = ~near & np.repeat(size > 2, size)
+            fp, point = fp[left], point[left]
+        return np.concatenate(a), np.concatenate(b)
+
+    sent = small_batches(distinct, CHUNK).select("fingerprint").mapInArrow(emit, SENT)
+    return _met(sent, meet)
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one document, that of the least key, of each group of near-duplicates.
+
+    Candidates have word fingerprints within ``WIDE`` bits; a pair counts if the Jaccard
+    similarity of its shingles of ``SHINGLE`` words is at least ``similarity``, directly or
+    through others. Rows without a key can't be told apart and stay; rows with one key are
+    one document, the least by its columns.
+    """
+    schema = "_key long, copy binary, fingerprint long, sketch binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(t) for t in texts_of(batch.column("_text"))]
+            columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], ["_key", "copy", "fingerprint", "sketch"])
+
+    keyed = docs.filter(F.col(key).isNotNull())
+    small_batches(docs)
+    rows = materialize(keyed.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).mapInArrow(run, schema))
+    # Copies are folded in each task before they travel.
+    texts = materialize(rows.groupBy("copy").agg(F.min("_key").alias("rep"), F.min("fingerprint").alias("fingerprint")))
+    prints, seen = materialize_measured(texts.groupBy("fingerprint").agg(F.min("rep").alias("lead")), n=F.count(F.lit(1)))
+    links = half_links(prints, seen["n"]).distinct()
+    lead = lambda c: prints.select(F.col("fingerprint").alias(c), F.col("lead").alias(f"_{c}"))
+    across = links.join(lead("a"), "a").join(lead("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    same = texts.join(prints, "fingerprint").filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    pairs = materialize(across.unionByName(same))
+    ids = pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct()
+    sketch = materialize(rows.select("_key", "sketch").join(ids, "_key", "left_semi").dropDuplicates(["_key"]))
+    of = lambda c: sketch.select(F.col("_key").alias(c), F.col("sketch").alias(f"_{c}"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("_a").to_pylist(), batch.column("_b").to_pylist()
+            kept = pa.array([likeness(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(kept)
+
+    near = materialize(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(verify, "a long, b long"))
+    roots = components(near)
+    # All but the least of a group go: copies of a text, and texts linked to a lesser one.
+    lesser = texts.join(roots.filter("node != root"), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.col("node").isNotNull().alias("linked"))
+    gone = rows.select("_key", "copy").join(lesser, "copy").filter("linked OR _key != rep").select("_key").distinct()
+    kept = keyed.join(gone, keyed[key] == gone["_key"], "left_anti")
+    repeated = rows.groupBy("_key").count().filter("count > 1").select("_key")
+    if not repeated.isEmpty():
+        repeated = materialize(repeated)
+        many = kept.join(repeated, F.col(key) == F.col("_key"), "left_semi")
+        once = many.groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+        kept = kept.join(repeated, F.col(key) == F.col("_key"), "left_anti").unionByName(once.select("_row.*"))
+    return kept.unionByName(docs.filter(F.col(key).isNull()))
+
+
 def hex_of(fingerprint: str) -> Column:
     return F.lower(F.lpad(F.hex(F.col(fingerprint)), 16, "0"))
