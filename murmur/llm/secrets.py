@@ -2,14 +2,13 @@
 
 Base spans follow three patterns. The method adds tokens that look random. The encoding
 of a long token (hexadecimal, base 32, 36 or 64) is inferred from its signs. If the token
-is random, its signs are uniform over that alphabet (chi-squared over parts of the
-alphabet), change between halves as often as chance does (runs), and do not follow from
+is random, its signs are uniform over that alphabet (chi-squared over parts of it), change between halves as often as chance does (runs), and do not follow from
 the one before (serial correlation). The three p-values are combined (Fisher).
 
 Natural words can pass short tests by chance, more so when short. So the combined value
 is compared with that of all tokens of the corpus without digits, which are taken for
-natural, of the same class of length or shorter: the share of them that look as random is
-a token's p-value, and in each class the false-discovery rate is held at ``RATE`` by the
+natural, of the same class of length or shorter, under alphabets of the same kind: the
+share of them that look as random is a token's p-value, and in each class the false-discovery rate is held at ``RATE`` by the
 step-up rule over a histogram. Both come from all documents; the histogram is bounded.
 
 All of it is column expressions. Texts are read once, and only numbers are kept.
@@ -75,51 +74,67 @@ def _tail(z: str) -> str:
     return f"greatest(1e-15, CASE WHEN {z} >= 0 THEN {upper} ELSE 1 - {upper} END)"
 
 
-# Alphabets in the order of the values that their signs stand for.
+# Alphabets in the order of the values that their signs stand for, and how
+# many of their signs make each part of the chi-squared test.
 ALPHABETS = {
-    "hex": "0123456789abcdef",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "hex": ("0123456789abcdef", (4, 4, 4, 4)),
+    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", (8, 8, 8, 8)),
+    "base36": ("0123456789abcdefghijklmnopqrstuvwxyz", (10, 9, 9, 8)),
+    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (13, 13, 13, 13, 12)),
 }
 
 
+def _alphabet(name: str, upper: bool = False) -> str:
+    signs, parts = ALPHABETS[name]
+    group = int(name == "base64")
+    return f"named_struct('signs', '{signs.upper() if upper else signs}', 'parts', array({', '.join(map(str, parts))}), 'group', {group})"
+
+
 def _battery(tokens: str) -> str:
-    """array<struct<start, size, natural, class, bin>> of tokens."""
-    a = ALPHABETS
-    # Natural tokens, letters only, are held against the alphabet that one sign more would give.
-    alphabet = f"""CASE WHEN x.match RLIKE '^[0-9a-f]+$' AND x.match RLIKE '[0-9]' THEN '{a["hex"]}'
-        WHEN x.match RLIKE '^[0-9A-F]+$' AND x.match RLIKE '[0-9]' THEN '{a["hex"].upper()}'
-        WHEN x.match RLIKE '^[A-Z2-7]+$' THEN '{a["base32"]}'
-        WHEN x.match RLIKE '^[a-z0-9]+$' THEN '{a["base36"]}'
-        ELSE '{a["base64"]}' END"""
+    """array<struct<start, size, natural, group, class, bin>> of tokens.
+
+    A token with a digit has the encoding that is inferred. One without is natural and is
+    held against every alphabet that it could belong to, apart from hexadecimal: those of
+    one case in group 0 and base 64 in group 1.
+    """
+    inferred = f"""CASE WHEN x.match RLIKE '^[0-9a-f]+$' THEN {_alphabet('hex')}
+        WHEN x.match RLIKE '^[0-9A-F]+$' THEN {_alphabet('hex', True)}
+        WHEN x.match RLIKE '^[A-Z2-7]+$' THEN {_alphabet('base32')}
+        WHEN x.match RLIKE '^[a-z0-9]+$' THEN {_alphabet('base36')}
+        ELSE {_alphabet('base64')} END"""
+    both = f"""CASE WHEN x.match RLIKE '^[A-Z]+$' THEN array({_alphabet('base32')}, {_alphabet('base64')})
+        WHEN x.match RLIKE '^[a-z]+$' THEN array({_alphabet('base36')}, {_alphabet('base64')})
+        ELSE array({_alphabet('base64')}) END"""
     letter, digit = "x.match RLIKE '[A-Za-z]'", "x.match RLIKE '[0-9]'"
     kept = f"filter({tokens}, x -> {letter})"
     # Each step keeps what the next needs, so nothing is worked out twice.
-    s1 = f"transform({kept}, x -> named_struct('start', x.start, 'match', translate(x.match, '-_', '+/'), 'natural', NOT ({digit}), 'of', {alphabet}))"
-    s2 = f"transform({s1}, x -> named_struct('start', x.start, 'natural', x.natural, 'k', length(x.of), 'v', transform(filter(split(x.match, ''), c -> c != ''), c -> instr(x.of, c) - 1)))"
-    s3 = f"transform({s2}, x -> named_struct('start', x.start, 'natural', x.natural, 'k', x.k, 'v', x.v, 'n', size(x.v), 'g', IF(size(x.v) >= 40, 8, 4)))"
-    count = "transform(sequence(0, x.g - 1), b -> size(filter(x.v, i -> CAST(i * x.g / x.k AS int) = b)))"
+    s1 = f"""flatten(transform({kept}, x -> transform(IF({digit}, array({inferred}), {both}), e -> named_struct(
+        'start', x.start, 'match', translate(x.match, '-_', '+/'), 'natural', NOT ({digit}), 'e', e))))"""
+    s2 = f"transform({s1}, x -> named_struct('start', x.start, 'natural', x.natural, 'e', x.e, 'k', length(x.e.signs), 'v', transform(filter(split(x.match, ''), c -> c != ''), c -> instr(x.e.signs, c) - 1)))"
+    s3 = f"transform({s2}, x -> named_struct('start', x.start, 'natural', x.natural, 'e', x.e, 'k', x.k, 'v', x.v, 'n', size(x.v)))"
+    # Of a part: the signs before it, its size, and how many of the token's signs lie in it.
+    before = "aggregate(slice(x.e.parts, 1, p), 0, (s, w) -> s + w)"
+    inside = f"size(filter(x.v, i -> i >= {before} AND i < {before} + x.e.parts[p]))"
+    chi = f"aggregate(transform(sequence(0, size(x.e.parts) - 1), p -> CAST({inside} AS double) * {inside} * x.k / x.e.parts[p]), 0D, (s, c) -> s + c) / x.n - x.n"
     sums = """aggregate(x.v, named_struct('s', 0D, 'ss', 0D, 'lag', 0D, 'last', CAST(NULL AS int), 'runs', 0, 'high', 0), (s, i) -> named_struct(
         's', s.s + i, 'ss', s.ss + i * i, 'lag', s.lag + coalesce(s.last, 0) * i, 'last', i,
         'runs', s.runs + IF(s.last IS NULL OR (s.last * 2 < x.k) != (i * 2 < x.k), 1, 0), 'high', s.high + IF(i * 2 < x.k, 0, 1)))"""
-    s4 = f"transform({s3}, x -> named_struct('start', x.start, 'natural', x.natural, 'n', x.n, 'g', x.g, 'first', x.v[0], 'u', {sums}, 'chi', aggregate({count}, 0D, (s, c) -> s + c * c * x.g / x.n) - x.n))"
+    s4 = f"transform({s3}, x -> named_struct('start', x.start, 'natural', x.natural, 'group', x.e.group, 'n', x.n, 'df', size(x.e.parts) - 1D, 'first', x.v[0], 'u', {sums}, 'chi', greatest(0D, {chi})))"
     high, low = "x.u.high", "(x.n - x.u.high)"
     mean_runs = f"(1 + 2D * {high} * {low} / x.n)"
     var_runs = f"(2D * {high} * {low} * (2D * {high} * {low} - x.n) / (1D * x.n * x.n * (x.n - 1)))"
     var = "(x.u.ss - x.u.s * x.u.s / x.n)"
     lagged = "(x.u.lag + x.u.last * x.first - x.u.s * x.u.s / x.n)"
-    df = "(x.g - 1D)"
-    s5 = f"""transform({s4}, x -> named_struct('start', x.start, 'natural', x.natural, 'n', x.n,
-        'c', (cbrt(x.chi / {df}) - (1 - 2 / (9 * {df}))) / sqrt(2 / (9 * {df})),
+    s5 = f"""transform({s4}, x -> named_struct('start', x.start, 'natural', x.natural, 'group', x.group, 'n', x.n,
+        'c', (cbrt(x.chi / x.df) - (1 - 2 / (9 * x.df))) / sqrt(2 / (9 * x.df)),
         'r', IF({var_runs} > 0, abs(x.u.runs - {mean_runs}) / sqrt({var_runs}), 9D),
         's', IF({var} > 0, abs({lagged} / {var} + 1D / x.n) * sqrt(x.n), 9D)))"""
-    s6 = f"""transform({s5}, x -> named_struct('start', x.start, 'natural', x.natural, 'n', x.n,
+    s6 = f"""transform({s5}, x -> named_struct('start', x.start, 'natural', x.natural, 'group', x.group, 'n', x.n,
         'h', -ln({_tail('x.c')}) - ln(least(1D, 2 * {_tail('x.r')})) - ln(least(1D, 2 * {_tail('x.s')}))))"""
     # Fisher: upper tail of chi-squared with six degrees of freedom at twice h, in closed form.
     value = "(-(-x.h + ln(1 + x.h + x.h * x.h / 2)) / ln(10))"
     class_ = " + ".join(f"IF(x.n >= {c}, 1, 0)" for c in CLASSES[1:])
-    return f"""transform({s6}, x -> named_struct('start', x.start, 'size', x.n, 'natural', x.natural, 'class', {class_},
+    return f"""transform({s6}, x -> named_struct('start', x.start, 'size', x.n, 'natural', x.natural, 'group', x.group, 'class', {class_},
         'bin', least({BINS - 1}, greatest(0, CAST({value} * 10 AS int)))))"""
 
 
@@ -149,42 +164,44 @@ def search(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def last_bins(searched: DataFrame) -> DataFrame:
-    """(class, last): up to which bin tokens with digits count as discoveries.
+    """(group, class, last): up to which bin tokens with digits count as discoveries.
 
-    At most one row of each class. Natural tokens of a class or a shorter one say
-    how often chance makes a value as random; smaller bins are more random.
+    At most one row of each class in a group. Natural tokens of a class or a shorter one
+    say how often chance makes a value as random; smaller bins are more random.
     """
-    one = searched.select(F.explode("tokens").alias("t")).select("t.class", "t.bin", "t.natural")
-    counts = one.groupBy("class", "bin").agg(
+    one = searched.select(F.explode("tokens").alias("t")).select("t.group", "t.class", "t.bin", "t.natural")
+    counts = one.groupBy("group", "class", "bin").agg(
         F.count(F.when(F.col("natural"), 1)).alias("nulls"), F.count(F.when(~F.col("natural"), 1)).alias("found")
     )
-    every = (
-        searched.sparkSession.range(len(CLASSES) * BINS)
-        .select((F.col("id") / BINS).cast("int").alias("class"), (F.col("id") % BINS).cast("int").alias("bin"))
+    place = F.col("id")
+    every = searched.sparkSession.range(2 * len(CLASSES) * BINS).select(
+        F.floor(place / (len(CLASSES) * BINS)).cast("int").alias("group"),
+        (F.floor(place / BINS) % len(CLASSES)).cast("int").alias("class"),
+        (place % BINS).cast("int").alias("bin"),
     )
-    filled = every.join(counts, ["class", "bin"], "left").na.fill(0)
+    filled = every.join(counts, ["group", "class", "bin"], "left").na.fill(0)
     # A class takes the nulls of shorter ones too, which look random more often.
-    shorter = W.partitionBy("bin").orderBy("class")
+    shorter = W.partitionBy("group", "bin").orderBy("class")
     pooled = filled.withColumn("nulls", F.sum("nulls").over(shorter))
-    up = W.partitionBy("class").orderBy("bin")
-    whole = W.partitionBy("class")
+    up = W.partitionBy("group", "class").orderBy("bin")
+    whole = W.partitionBy("group", "class")
     sums = pooled.select(
-        "class", "bin",
+        "group", "class", "bin",
         ((F.sum("nulls").over(up) + 1) / (F.sum("nulls").over(whole) + 1)).alias("p"),
         F.sum("found").over(up).alias("so_far"), F.sum("found").over(whole).alias("all"),
     )
     passed = sums.filter((F.col("so_far") > 0) & (F.col("p") * F.col("all") <= RATE * F.col("so_far")))
-    return passed.groupBy("class").agg(F.max("bin").alias("last"))
+    return passed.groupBy("group", "class").agg(F.max("bin").alias("last"))
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_assign, n_access, n_hex, n_random, base_sha256, spans) of every row."""
     searched = materialize(search(docs, key, text))
-    # A number for each class of length.
-    last = {r["class"]: r["last"] for r in last_bins(searched).collect()}
-    limits = ", ".join(str(last.get(c, -1)) for c in range(len(CLASSES)))
+    # A number for each class of length in each group.
+    last = {(r["group"], r["class"]): r["last"] for r in last_bins(searched).collect()}
+    limits = ", ".join(str(last.get((g, c), -1)) for g in range(2) for c in range(len(CLASSES)))
     names = "array('" + "', '".join([*KINDS, "random"]) + "')"
-    added = f"""transform(filter(tokens, t -> NOT t.natural AND t.bin <= array({limits})[t.class]
+    added = f"""transform(filter(tokens, t -> NOT t.natural AND t.bin <= array({limits})[t.group * {len(CLASSES)} + t.class]
         AND NOT exists(base, b -> b.start < t.start + t.size AND t.start < b.end)),
         t -> named_struct('start', t.start, 'kind', {len(KINDS)}, 'end', t.start + t.size))"""
     joined = "array_join(transform({0}, x -> concat({1}[x.kind], ':', x.start, ':', x.end)), ',')"

@@ -55,8 +55,11 @@ def in_blocks(
     def number(n: int, seed: int):
         return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n))
 
-    left = queries.select("*", number(blocks, 1).alias("_block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("_shard"))
-    right = rows.select("*", number(shards, 2).alias("_shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("_block"))
+    def each(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    left = queries.select("*", number(blocks, 1).alias("_block"), each(shards).alias("_shard"))
+    right = rows.select("*", number(shards, 2).alias("_shard"), each(blocks).alias("_block"))
     empty = [f.split() for f in schema.split(", ")]
 
     def run(q: pa.Table, x: pa.Table) -> pa.Table:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import bpe, chat, langid, packing, pii, secrets, sharding, simhash
+from murmur.llm import bpe, chat, langid, mih, packing, pii, pivots, secrets, sharding, simhash
 from murmur.llm.frames import table
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_case(table(spark, sf_dir, "conversations"))
     return chat.chat_digests(turns, bpe.public_path())
@@ -17,6 +21,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.public_path())
 
 
+def op4_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -45,6 +53,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_chat_formatting, op3_packing, op5_sharding, op6_pii, op7_secrets, op8_language, op9_simhash, op10_bpe)
+    for f in (
+        op1_neighbours, op2_chat_formatting, op3_packing, op4_products, op5_sharding, op6_pii, op7_secrets, op8_language,
+        op9_simhash, op10_bpe,
+    )
 }
 ORACLE: dict[str, str] = {}
