@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
-EMBED, HIDDEN = 10, 14
+EMBED, HIDDEN = 10, 16
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    return 0.5 * (1 + np.tanh(0.5 * x))
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
@@ -18,41 +18,49 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-def _lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states (steps, batch, HIDDEN) of inputs (steps, batch, EMBED)."""
-    steps, batch, _ = x.shape
-    h = c = np.zeros((batch, HIDDEN), np.float32)
-    out, kept = np.empty((steps, batch, HIDDEN), np.float32), []
+def _lstm(x: np.ndarray, w_in: np.ndarray, w_state: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """Hidden states (steps, 2, batch, HIDDEN) of inputs (steps, 2, batch, EMBED): two
+    independent directions side by side."""
+    steps, _, batch, _ = x.shape
+    inputs = np.matmul(x, w_in) + bias[:, None, :]
+    gates = np.empty_like(inputs)
+    cells = np.zeros((steps + 1, 2, batch, HIDDEN), np.float32)
+    states = np.zeros_like(cells)
+    bent = np.empty((steps, 2, batch, HIDDEN), np.float32)
     for t in range(steps):
-        z = np.concatenate([x[t], h], 1)
-        a = z @ w + b
-        i, f, o = np.split(_sigmoid(a[:, : 3 * HIDDEN]), 3, 1)
-        g = np.tanh(a[:, 3 * HIDDEN :])
-        before, c = c, f * c + i * g
-        tanh_c = np.tanh(c)
-        h = o * tanh_c
-        out[t] = h
-        kept.append((z, i, f, o, g, before, tanh_c))
-    return out, kept
-
-
-def _lstm_back(d_out: np.ndarray, kept: list, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    steps, batch, _ = d_out.shape
-    dw, db = np.zeros_like(w), np.zeros(w.shape[1], np.float32)
-    dx = np.empty((steps, batch, EMBED), np.float32)
-    dh = dc = np.zeros((batch, HIDDEN), np.float32)
-    for t in range(steps - 1, -1, -1):
-        z, i, f, o, g, before, tanh_c = kept[t]
+        a = inputs[t] + np.matmul(states[t], w_state)
+        gates[t, :, :, : 3 * HIDDEN] = _sigmoid(a[:, :, : 3 * HIDDEN])
+        gates[t, :, :, 3 * HIDDEN :] = np.tanh(a[:, :, 3 * HIDDEN :])
+        i, f, o, g = (gates[t, :, :, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        cells[t + 1] = f * cells[t] + i * g
+        bent[t] = np.tanh(cells[t + 1])
+        states[t + 1] = o * bent[t]
+    return states[1:], (x, gates, cells, states, bent)
+
+
+def _lstm_back(d_out: np.ndarray, kept: tuple, w_in: np.ndarray, w_state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Gradients of the inputs, both weights and the bias."""
+    x, gates, cells, states, bent = kept
+    d_gates = np.empty_like(gates)
+    back = w_state.transpose(0, 2, 1)
+    dh = dc = np.zeros(d_out.shape[1:], np.float32)
+    for t in range(len(x) - 1, -1, -1):
+        i, f, o, g = (gates[t, :, :, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
         dh = dh + d_out[t]
-        dc = dc + dh * o * (1 - tanh_c**2)
-        da = np.concatenate(
-            [dc * g * i * (1 - i), dc * before * f * (1 - f), dh * tanh_c * o * (1 - o), dc * i * (1 - g**2)], 1
-        )
-        dw += z.T @ da
-        db += da.sum(0)
-        dz = da @ w.T
-        dx[t], dh, dc = dz[:, :EMBED], dz[:, EMBED:], dc * f
-    return dx, dw, db
+        dc = dc + dh * o * (1 - bent[t] ** 2)
+        da = d_gates[t]
+        da[:, :, :HIDDEN] = dc * g * i * (1 - i)
+        da[:, :, HIDDEN : 2 * HIDDEN] = dc * cells[t] * f * (1 - f)
+        da[:, :, 2 * HIDDEN : 3 * HIDDEN] = dh * bent[t] * o * (1 - o)
+        da[:, :, 3 * HIDDEN :] = dc * i * (1 - g**2)
+        dh, dc = np.matmul(da, back), dc * f
+    dx = np.matmul(d_gates, w_in.transpose(0, 2, 1))
+
+    def product(left: np.ndarray) -> np.ndarray:
+        flat = left.transpose(1, 3, 0, 2).reshape(2, left.shape[3], -1)
+        return np.matmul(flat, d_gates.transpose(1, 0, 2, 3).reshape(2, -1, d_gates.shape[3]))
+
+    return dx, product(x), product(states[:-1]), d_gates.sum((0, 2))
 
 
 @dataclass
@@ -60,8 +68,9 @@ class Tagger:
     """Weights; ``tags`` of the CRF, where 0 is outside."""
 
     embed: np.ndarray
-    forward: tuple[np.ndarray, np.ndarray]
-    backward: tuple[np.ndarray, np.ndarray]
+    w_in: np.ndarray  # both directions: forward, backward
+    w_state: np.ndarray
+    gate_bias: np.ndarray
     out: np.ndarray
     bias: np.ndarray
     move: np.ndarray
@@ -75,24 +84,24 @@ class Tagger:
         def normal(*shape: int) -> np.ndarray:
             return (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
 
-        def lstm() -> tuple[np.ndarray, np.ndarray]:
-            bias = np.zeros(4 * HIDDEN, np.float32)
-            bias[HIDDEN : 2 * HIDDEN] = 1
-            return normal(EMBED + HIDDEN, 4 * HIDDEN), bias
-
-        return cls(normal(signs, EMBED) * 3, lstm(), lstm(), normal(2 * HIDDEN, tags), np.zeros(tags, np.float32), np.zeros((tags, tags), np.float32), allowed.astype(np.float32))
+        gate_bias = np.zeros((2, 4 * HIDDEN), np.float32)
+        gate_bias[:, HIDDEN : 2 * HIDDEN] = 1
+        both = lambda n: np.stack([normal(n, 4 * HIDDEN), normal(n, 4 * HIDDEN)])
+        return cls(
+            normal(signs, EMBED) * 3, both(EMBED), both(HIDDEN), gate_bias, normal(2 * HIDDEN, tags),
+            np.zeros(tags, np.float32), np.zeros((tags, tags), np.float32), allowed.astype(np.float32),
+        )
 
     def weights(self) -> list[np.ndarray]:
-        return [self.embed, *self.forward, *self.backward, self.out, self.bias, self.move]
+        return [self.embed, self.w_in, self.w_state, self.gate_bias, self.out, self.bias, self.move]
 
     def emissions(self, signs: np.ndarray, keep: bool = False):
         """(steps, batch, tags) from (batch, steps) sign numbers."""
         x = self.embed[signs.T]
-        ahead, kept_a = _lstm(x, *self.forward)
-        back, kept_b = _lstm(x[::-1], *self.backward)
-        both = np.concatenate([ahead, back[::-1]], 2)
+        states, kept = _lstm(np.stack([x, x[::-1]], 1), self.w_in, self.w_state, self.gate_bias)
+        both = np.concatenate([states[:, 0], states[::-1, 1]], 2)
         scores = both @ self.out + self.bias
-        return (scores, both, kept_a, kept_b) if keep else scores
+        return (scores, both, kept) if keep else scores
 
     def _sums(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log sums of paths up to each step, from each step on, and in all."""
@@ -128,7 +137,7 @@ class Tagger:
 
     def gradients(self, signs: np.ndarray, tags: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """The mean negative log likelihood of ``tags``, and its gradients."""
-        scores, both, kept_a, kept_b = self.emissions(signs, keep=True)
+        scores, both, kept = self.emissions(signs, keep=True)
         alpha, beta, total = self._sums(scores)
         steps, batch, n_tags = scores.shape
         gold = tags.T
@@ -145,12 +154,14 @@ class Tagger:
             d_scores[t, rows, gold[t]] -= 1
         d_scores = (d_scores / batch).astype(np.float32)
         d_both = d_scores @ self.out.T
-        dxa, dwa, dba = _lstm_back(d_both[:, :, :HIDDEN], kept_a, self.forward[0])
-        dxb, dwb, dbb = _lstm_back(d_both[::-1, :, HIDDEN:], kept_b, self.backward[0])
+        d_states = np.stack([d_both[:, :, :HIDDEN], d_both[::-1, :, HIDDEN:]], 1)
+        dx, d_in, d_state, d_gate = _lstm_back(d_states, kept, self.w_in, self.w_state)
         d_embed = np.zeros_like(self.embed)
-        np.add.at(d_embed, signs.T, dxa + dxb[::-1])
+        np.add.at(d_embed, signs.T, dx[:, 0] + dx[::-1, 1])
         d_out = both.reshape(-1, both.shape[2]).T @ d_scores.reshape(-1, n_tags)
-        return float((total - path).mean()), [d_embed, dwa, dba, dwb, dbb, d_out, d_scores.sum((0, 1)), (d_move / batch).astype(np.float32)]
+        return float((total - path).mean()), [
+            d_embed, d_in, d_state, d_gate, d_out, d_scores.sum((0, 1)), (d_move / batch).astype(np.float32),
+        ]
 
     def fit(self, signs: np.ndarray, tags: np.ndarray, rounds: int, batch: int = 64, rate: float = 0.02, seed: int = 0) -> list[float]:
         """Adam over all windows ``rounds`` times; the mean loss of each round."""

@@ -33,7 +33,7 @@ from murmur.llm.frames import small_batches, texts_of
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE, REACH = 64, 32, 24
 SNIPPETS, SNIPPET = 400, 160
-SURE = 0.95
+SURE = 0.8
 BLOCK = 1024
 #: Signs of the tagger: printable ASCII, other letters, white space, all else.
 SIGNS = 98
@@ -207,7 +207,7 @@ def labelled(snippets: list[str], n: int, seed: int) -> tuple[np.ndarray, np.nda
     return signs, tags
 
 
-def train(snippets: list[str], windows: int = 1500, rounds: int = 8, seed: int = 0) -> Tagger:
+def train(snippets: list[str], windows: int = 2500, rounds: int = 12, seed: int = 0) -> Tagger:
     tagger = Tagger.fresh(SIGNS, _allowed(), seed)
     tagger.fit(*labelled(sorted(snippets), windows, seed), rounds, seed=seed)
     return tagger
