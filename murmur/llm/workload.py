@@ -58,4 +58,36 @@ QUERIES = {
         op9_simhash, op10_bpe,
     )
 }
-ORACLE: dict[str, str] = {}
+_ENDS = "/?s>|/?INST\\]|/?OUT\\]|/?ROLE\\]|\\|endoftext\\|>|\\|startoftext\\|>"
+_CONVERSATIONS = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+e AS (
+  SELECT *, regexp_replace(text, '([<\\[])(\\\\*)({_ENDS})', '\\1\\\\\\2\\3', 'g') AS written,
+    regexp_replace(role, '([<\\[])(\\\\*)({_ENDS})', '\\1\\\\\\2\\3', 'g') AS called FROM t
+)"""
+
+#: The others can't be told in SQL: tokenizers, trained models, hashes that it lacks, results
+#: that may miss some neighbours. Their tests hold them against plain versions.
+ORACLE = {
+    "op2_chat_formatting": _CONVERSATIONS + """
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, sha256(text))) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, sha256(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(written) + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 17 + length(called) END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op4_products": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.w, v.w)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""",
+}
