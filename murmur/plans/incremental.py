@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur import fixed
-from murmur.sources.tables import Tables, category_rows, issue_rows, review_rows
+from murmur.sources.tables import Tables, category_rows, issue_rows, review_rows, undated_rows
 
 
 def high_water_mark(reviews: DataFrame, date: str = "review_date") -> DataFrame:
@@ -19,13 +20,21 @@ def high_water_mark(reviews: DataFrame, date: str = "review_date") -> DataFrame:
 def newer_than(
     feedback: DataFrame, children: list[DataFrame], mark: Column, date: str = "date", key: str = "id"
 ) -> tuple[DataFrame, list[DataFrame]]:
-    """Feedback dated after ``mark``, and child rows whose feedback was not dropped."""
+    """Feedback dated after ``mark``, and child rows whose feedback was not dropped.
+
+    Feedback without a readable date is not newer than anything, so it is dropped with
+    its children; ``undated`` has it.
+    """
     day = F.col(date).cast("date")
-    dropped = feedback.filter(day <= mark).select(key)
+    dropped = feedback.filter(day.isNull() | (day <= mark)).select(key)
     kept = [child.join(dropped, key, "left_anti") for child in children]
     return feedback.filter(day > mark), kept
 
 
+def undated(feedback: DataFrame, date: str = "date") -> DataFrame:
+    return feedback.filter(F.col(date).cast("date").isNull())
+
+
 def max_id(tables: list[DataFrame], key: str = "id") -> DataFrame:
     """(max_id) over all tables, 0 if they are empty."""
     tops = [t.agg(F.max(F.col(key).cast("long")).alias("m")) for t in tables]
@@ -36,11 +45,11 @@ def max_id(tables: list[DataFrame], key: str = "id") -> DataFrame:
 
 
 def batch_base(top: Column, today: Column) -> Column:
-    """First ID of a batch: day and six zeros, or past the top if that is of today."""
+    """First ID of a batch: day and six zeros, or past the top of all IDs given out if
+    that is higher, as it is for a second batch of a day and after very large days."""
     day = F.date_format(today, "yyyyMMdd")
     fresh = (day.cast("long") * 10**fixed.BATCH_DIGITS).cast("long")
-    same_day = (top > 0) & (F.substring(top.cast("string"), 1, 8) == day)
-    return F.when(same_day, top + 1).otherwise(fresh)
+    return F.greatest(fresh, top + 1)
 
 
 def load(
@@ -49,20 +58,53 @@ def load(
     categories: DataFrame,
     issues: DataFrame,
     today: datetime.date,
+    batch: str | None = None,
+    since: datetime.date | None = None,
 ) -> int:
-    """Append what is new to the three tables; returns the batch's first ID.
+    """Append what is new to the tables; returns the batch's first ID.
 
-    The mark and the base are single values read from table aggregates; as constants
-    they reach the scans as filters. Child tables are written first and reviews last:
-    a load cut short leaves the mark where it was, and the next one gets fresh IDs, so
-    what it wrote belongs to no review.
+    New is what is dated after ``since``, by default the latest date in the log. The log
+    has a row for each load, so neither mark nor top needs the tables. Every table is
+    written under the batch's name and then the log, which alone makes the batch count:
+    a load that was cut short is repeated whole, and one that was finished under the same
+    name does nothing. Children are loaded with their feedback or not at all; feedback
+    without a readable date is set aside, each text once.
     """
     tables.create()
-    mark = high_water_mark(tables.read("reviews")).first()[0]
-    top = max_id([tables.read(n) for n in ("reviews", "categorization", "key_issue")])
-    base = top.select(batch_base(F.col("max_id"), F.lit(today))).first()[0]
-    new, (new_categories, new_issues) = newer_than(feedback, [categories, issues], F.lit(mark))
-    tables.append("categorization", category_rows(new_categories, base))
-    tables.append("key_issue", issue_rows(new_issues, base))
-    tables.append("reviews", review_rows(new, base))
+    batch = batch or uuid.uuid4().hex
+    log = tables.log()
+    done = log.filter(F.col("batch") == batch).first()
+    if done is not None:
+        return done["first_id"]
+    first_day = F.to_date(F.lit(fixed.FIRST_DATE))
+    facts = log.agg(F.coalesce(F.max("top"), F.lit(0)).alias("top"), F.coalesce(F.max("mark"), first_day).alias("mark"))
+    base, mark = facts.select(batch_base(F.col("top"), F.lit(today)), "mark").first()
+    since = mark if since is None else since
+    new, _ = newer_than(feedback, [], F.lit(since))
+    loaded = new.filter(F.col("translated").isNotNull())
+    mine = lambda child: child.join(loaded.select("id"), "id", "left_semi")
+    tables.append("categorization", category_rows(mine(categories), base), batch)
+    tables.append("key_issue", issue_rows(mine(issues), base), batch)
+    aside = undated(feedback).join(
+        tables.read("undated").select(F.col("original_reviews").alias("original")), "original", "left_anti"
+    )
+    tables.append("undated", undated_rows(aside, base), batch)
+    tables.append("reviews", review_rows(loaded, base), batch)
+    given = F.max(F.when(F.col("translated").isNotNull() | F.col("date").isNull(), F.col("id")))
+    dated = F.max(F.when(F.col("translated").isNotNull(), F.col("date").cast("date")))
+    facts = new.unionByName(aside).agg(given.alias("top"), dated.alias("mark")).first()
+    tables.enter(batch, base, None if facts["top"] is None else base + facts["top"], facts["mark"])
     return base
+
+
+def stream_start(tables: Tables, name: str) -> datetime.date:
+    """The mark when the stream ``name`` first started, kept in the log."""
+    tables.create()
+    batch = f"{name}-start"
+    known = tables.log().filter(F.col("batch") == batch).first()
+    if known is None:
+        first_day = F.to_date(F.lit(fixed.FIRST_DATE))
+        mark = tables.log().agg(F.coalesce(F.max("mark"), first_day)).first()[0]
+        tables.enter(batch, None, None, mark)
+        return mark
+    return known["mark"]

@@ -13,7 +13,7 @@ from murmur.operators.phrases import add_phrases
 from murmur.operators.rows import dense_ids, first_copies, spam_filter
 from murmur.operators.tagging import categorize, key_issues
 from murmur.plans.incremental import load
-from murmur.session import materialize
+from murmur.session import materialize, scratch
 from murmur.sources import dictionaries as D
 from murmur.sources.feedback import read_feedback
 from murmur.sources.tables import Tables
@@ -44,7 +44,7 @@ def preprocess(
     decides which copy stays and how rows are numbered. Scores are those of the text
     as translated, before the second cleaning, taken only for the rows that remain.
     """
-    kept = first_copies(spam_filter(df, "original"), "original", order_by)
+    kept = first_copies(materialize(spam_filter(df, "original")), "original", order_by)
     translated = translate(kept, memory, "original", lang)
     cleaned = spam_filter(translated.withColumn("_raw", F.col("translated")), "translated")
     changed = F.when(F.col("_raw") != F.col("translated"), F.col("_raw"))
@@ -74,17 +74,16 @@ def run_daily(
     senses: DataFrame | None = None,
 ) -> int:
     """Read feedback files, process them and append the new ones; returns the first ID."""
-    lexicons = Lexicons(
-        components=component_keywords(D.read_categories(spark, categories_path), senses),
-        issues=issue_keywords(D.read_issues(spark, issues_path), senses),
-        memory=memory,
-        sentiment=sentiment,
-        tags=tags,
-        stop=D.stop_words(spark, stop_words_path),
-    )
-    rows = read_feedback(spark, input_folder).withColumn(
-        "line", F.monotonically_increasing_id()
-    )
-    feedback = preprocess(rows, memory, sentiment, "line", lang=None)
-    whole, categories, issues = tag(feedback, lexicons)
-    return load(Tables(spark, output_folder), whole, categories, issues, today)
+    with scratch():
+        lexicons = Lexicons(
+            components=component_keywords(D.read_categories(spark, categories_path), senses),
+            issues=issue_keywords(D.read_issues(spark, issues_path), senses),
+            memory=memory,
+            sentiment=sentiment,
+            tags=tags,
+            stop=D.stop_words(spark, stop_words_path),
+        )
+        rows = read_feedback(spark, input_folder)
+        feedback = preprocess(rows, memory, sentiment, "line", lang=None)
+        whole, categories, issues = tag(feedback, lexicons)
+        return load(Tables(spark, output_folder), whole, categories, issues, today)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -37,17 +42,48 @@ def get_spark(app: str = "murmur", master: str | None = None, **conf: str) -> Sp
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local folder would be lost with its executor.
+    Where it is unset, a session whose only machine is this one gets a folder that goes
+    when the program ends. Any other must name one: a machine-local folder would be
+    lost with its executor.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="murmur-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+#: What the open scopes have written, the innermost last.
+_scopes: list[list[tuple[SparkSession, str]]] = []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """A scope that owns what is written to the shared folder inside it, and removes it
+    at its end. Nothing that reads from there may be used after."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _scopes.pop():
+            delete_path(spark, path)
+
+
+def scratch_path(spark: SparkSession, name: str = "murmur") -> str:
+    """A new path in the shared folder, owned by the innermost scope."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append((spark, path))
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -62,20 +98,28 @@ def materialize(df: DataFrame) -> DataFrame:
 def materialize_measured(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """``materialize``, with aggregates observed while writing."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/murmur-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     seen = Observation()
     if metrics:
         df = df.observe(seen, *[m.alias(name) for name, m in metrics.items()])
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch = path
     return stored, seen.get if metrics else {}
 
 
+def discard(df: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    path = getattr(df, "_scratch", None)
+    if path is not None:
+        delete_path(df.sparkSession, path)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores, if its scan has fewer splits than there are cores.
+    """``df`` in as many partitions as the setting ``spark.murmur.readPartitions`` names,
+    or as it is where that is unset.
 
-    Text work is heavy per row; one file with one row group would keep it on one
-    core. A large table has more splits than cores and is left alone.
+    For inputs that are one small file, which would keep heavy work on one core.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.sparkSession.conf.get("spark.murmur.readPartitions", None)
+    return df.repartition(int(parts)) if parts else df

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from murmur import fixed
 from murmur.functions import values as V
+from murmur.session import delete_path
 
 SCHEMAS = {
     "reviews": (
@@ -16,11 +17,23 @@ SCHEMAS = {
     ),
     "categorization": "id string, feature string, component string, the_action string",
     "key_issue": "id string, key_issue string",
+    # Feedback whose date could not be read; it has no rows in the other tables.
+    "undated": "id string, store string, device string, source string, country string, original_reviews string",
 }
 
 
+LOG_SCHEMA = "batch string, first_id long, top long, mark date"
+#: The batch of rows that were appended without naming one.
+PLAIN = "0"
+
+
 class Tables:
-    """Parquet tables under one root folder."""
+    """Parquet tables under one root folder, a folder for each batch of each table.
+
+    A load writes its batch to every table and then enters it in the log, with its first
+    and last ID and its latest date. Rows of a batch that is not in the log, because its
+    load was cut short, are not read, and writing a batch again replaces it.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -33,37 +46,58 @@ class Tables:
         """Create missing tables, empty."""
         for name, schema in SCHEMAS.items():
             empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(self.path(name))
+            empty.write.mode("ignore").parquet(f"{self.path(name)}/batch={PLAIN}")
+        first = self.spark.createDataFrame([(PLAIN, None, None, None)], LOG_SCHEMA)
+        first.coalesce(1).write.mode("ignore").parquet(f"{self.root}/loads/entry={PLAIN}")
+
+    def log(self) -> DataFrame:
+        """(batch, first_id, top, mark) of every finished load."""
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/loads").select(
+            *[f.split(" ")[0] for f in LOG_SCHEMA.split(", ")]
+        )
+
+    def enter(self, batch: str, first_id: int | None, top: int | None, mark) -> None:
+        """Enter a finished load in the log; its rows are read from now on."""
+        row = self.spark.createDataFrame([(batch, first_id, top, mark)], LOG_SCHEMA)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/loads/entry={batch}")
 
     def register(self, database: str) -> None:
         """Make the tables known to the catalog."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, schema in SCHEMAS.items():
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema})"
-                f" USING parquet LOCATION '{self.path(name)}'"
+                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}, batch string)"
+                f" USING parquet PARTITIONED BY (batch) LOCATION '{self.path(name)}'"
             )
+            self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        rows = self.spark.read.schema(f"{SCHEMAS[name]}, batch string").parquet(self.path(name))
+        return rows.join(self.log().select("batch"), "batch", "left_semi").select(*_names(name))
 
     def read_with_numbers(self, name: str) -> DataFrame:
         return self.read(name).withColumn("id", F.col("id").cast("long"))
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """One bulk write; an empty batch adds no data."""
+    def append(self, name: str, rows: DataFrame, batch: str | None = None) -> None:
+        """One bulk write; an empty batch adds no data. A named batch is replaced if it
+        is there, and read once it is in the log; rows without one are read at once."""
         fields = [f.strip().split(" ") for f in SCHEMAS[name].split(",")]
         shaped = rows.select(*[F.col(c).cast(t).alias(c) for c, t in fields])
-        shaped.write.mode("append").parquet(self.path(name))
+        mode = "append" if batch is None else "overwrite"
+        shaped.write.mode(mode).parquet(f"{self.path(name)}/batch={PLAIN if batch is None else batch}")
 
     def clear(self, name: str) -> None:
-        empty = self.spark.createDataFrame([], SCHEMAS[name])
-        empty.write.mode("overwrite").parquet(self.path(name))
+        delete_path(self.spark, self.path(name))
+        self.create()
 
     def find(self, name: str, id_: str) -> DataFrame:
         return self.read(name).filter(F.col("id") == id_)
 
 
+def _names(name: str) -> list[str]:
+    return [f.strip().split(" ")[0] for f in SCHEMAS[name].split(",")]
+
+
 def _id(base) -> Column:
     return (F.col("id") + F.lit(base)).cast("string").alias("id")
 
@@ -89,6 +123,10 @@ def review_rows(feedback: DataFrame, base: int) -> DataFrame:
     )
 
 
+def undated_rows(feedback: DataFrame, base: int) -> DataFrame:
+    return feedback.select(_id(base), "store", "device", "source", "country", F.col("original").alias("original_reviews"))
+
+
 def category_rows(categories: DataFrame, base: int, separator: str = ", ") -> DataFrame:
     return categories.select(
         _id(base), "feature", "component", F.array_join("actions", separator).alias("the_action")

@@ -1,19 +1,24 @@
 """The same cleaning and tagging on a stream of feedback.
 
 Cleaning is row by row and tagging joins to static dictionaries, so both run on the
-micro-batches of a stream; each batch is loaded past the same high-water mark rules.
+micro-batches of a stream. What was loaded before the stream first started is told by the
+high-water mark of that moment; from then on the stream's checkpoint says what is new, so
+late rows and further files of a day are loaded. A batch that is repeated after a failure
+replaces what it wrote.
 """
 
 from __future__ import annotations
 
 import datetime
+import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from murmur.operators.rows import spam_filter
-from murmur.plans.incremental import load
+from murmur.plans.incremental import load, stream_start
 from murmur.plans.pipeline import Lexicons, preprocess, tag
+from murmur.session import scratch
 from murmur.sources.tables import Tables
 
 
@@ -32,13 +37,16 @@ def load_stream(
     **trigger,
 ) -> StreamingQuery:
     """Tag and append each micro-batch."""
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    since = stream_start(tables, name)
 
-    def batch(df: DataFrame, _: int) -> None:
+    def batch(df: DataFrame, number: int) -> None:
         if df.isEmpty():
             return
-        cleaned = preprocess(df, lexicons.memory, lexicons.sentiment, order_by)
-        whole, categories, issues = tag(cleaned, lexicons)
-        load(tables, whole, categories, issues, today())
+        with scratch():
+            cleaned = preprocess(df, lexicons.memory, lexicons.sentiment, order_by)
+            whole, categories, issues = tag(cleaned, lexicons)
+            load(tables, whole, categories, issues, today(), f"{name}-{number}", since)
 
     writer = feedback.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
