@@ -13,6 +13,11 @@ def to_date(text: Column) -> Column:
     return F.coalesce(*parsed).cast("date")
 
 
+def date_text(day: Column, american: bool = False) -> Column:
+    """A date as persisted: year first, or month first for the second warehouse."""
+    return F.date_format(day, "MM-dd-yyyy" if american else "yyyy-MM-dd")
+
+
 def recode(value: Column, names: dict[str, str] = fixed.COUNTRY_NAMES) -> Column:
     """Replace whole values."""
     result = value

@@ -8,12 +8,11 @@ from murmur import fixed
 from murmur.functions import text as T
 from murmur.operators import similarity as S
 from murmur.operators.expand import first_senses
-from murmur.operators.joins import small_side
-from murmur.operators.stats import top_terms, usual_words, word_rows
-from murmur.session import materialize, materialize_measured
+from murmur.operators.stats import MIN_WORD, most_usual, surface_counts, top_terms
+from murmur.session import discard, materialize, materialize_measured
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge; the root is its component's least node.
 
     ``edges`` is (a, b). Alternates large-star and small-star steps (Kiveris et al.,
@@ -39,18 +38,16 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         hashed = F.xxhash64("a", "b").cast("decimal(38,0)")
         return materialize_measured(rows, n=F.count(F.lit(1)), sum=F.sum(hashed))
 
-    stars, before = settle(
+    stars, after = settle(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter(F.col("a") != F.col("b"))
         .distinct()
     )
-    for _ in range(max_rounds):
+    before = None
+    while after != before:  # a round that changes nothing is the last
+        last, before = stars, after
         stars, after = settle(star(star(stars, large=True), large=False))
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError("components did not settle")
+        discard(last)
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
@@ -66,8 +63,7 @@ def cluster_texts(
     directly or through others; clusters below ``min_size`` are dropped. A cluster is
     named after its smallest key. Keys must be unique across groups."""
     kept, members = S.fold_copies(texts, key, by)
-    pairs = S.similar_pairs(S.weights(kept, key, by, "copies"), key, by, threshold)
-    roots = components(pairs.select("a", "b"))
+    roots = components(S.links(S.weights(kept, key, by, "copies"), key, by, threshold, components))
     whole = members.join(roots, members["first"] == roots["node"], "left").select(
         *by, key, F.coalesce("root", "first").alias("cluster")
     )
@@ -93,19 +89,18 @@ def merge_similar_words(
     gains the head once for every other word of the set that it holds.
     """
     plain = S.bags(texts, text, key, by, stop)
-    normal = T.terms(F.col(text), stop)
+    counts = materialize(surface_counts(texts, text, by))
     uses = (
-        texts.select(*by, F.explode(normal).alias("term"))
-        .filter(F.length("term") >= 3)
+        counts.filter((F.length("term") >= 3) & T.is_kept(F.col("term"), T.normal_stop(list(stop))))
         .groupBy(*by, "term")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= min_count)
     )
-    surface = usual_words(texts, text, by).join(uses, ["term", *by])
+    surface = most_usual(counts, by).join(uses, ["term", *by])
     sense = first_senses(senses).withColumnRenamed("lemma", "word")
     meant = (
         surface.withColumn("word", F.lower("word"))
-        .join(small_side(sense), "word")
+        .join(sense, "word")
         .select(*by, "term", "n", "synset_id")
     )
     head = meant.groupBy(*by, "synset_id").agg(
@@ -118,7 +113,7 @@ def merge_similar_words(
     )
     held = plain.select(*by, key, F.explode(F.array_distinct("bag")).alias("term"))
     added = (
-        held.join(small_side(to_head), [*by, "term"])
+        held.join(to_head, [*by, "term"])
         .groupBy(*by, key)
         .agg(F.array_sort(F.collect_list("head")).alias("more"))  # at most one per distinct word of the text
     )
@@ -139,17 +134,18 @@ def cluster_keywords(
     """(by, keyword): the ``k`` most frequent words of each cluster, in their usual
     form; one if it has fewer than ``few`` texts. ``listed`` is (store, keyword): words
     already in the dictionaries, left out where ``by`` has the store."""
-    rows = word_rows(texts, text, by, stop)
+    surface = materialize(surface_counts(texts, text, by))
+    rows = surface.filter((F.length("word") >= MIN_WORD) & T.is_kept(F.col("term"), T.normal_stop(list(stop))))
     if listed is not None:
         known = listed.select("store", T.normal_form(F.col("keyword")).alias("term")).distinct()
-        rows = rows.join(small_side(known), ["store", "term"], "left_anti")
-    counts = rows.groupBy(*by, "term").agg(F.count("*").alias("n"))
+        rows = rows.join(known, ["store", "term"], "left_anti")
+    counts = rows.groupBy(*by, "term").agg(F.sum("n").alias("n"))
     top = top_terms(counts, 0, k, by)
     if k > 1:
         small = texts.groupBy(*by).agg(F.count("*").alias("_t")).filter(F.col("_t") < few)
         one = top_terms(counts.join(small, by, "left_semi"), 0, 1, by)
         top = top.join(small, by, "left_anti").unionByName(one)
-    return top.join(usual_words(texts, text, by), ["term", *by]).select(
+    return top.join(most_usual(surface, by), ["term", *by]).select(
         *by, F.col("word").alias("keyword")
     )
 

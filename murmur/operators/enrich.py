@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur import fixed
 from murmur.functions import text as T, values as V
-from murmur.operators.joins import small_side
+from murmur.operators.joins import lookup
 
 
 def text_key(text: Column) -> Column:
@@ -46,32 +48,50 @@ def translate(
     return same.unionByName(other)
 
 
-def sentiment_scores(df: DataFrame, lexicon: DataFrame, text: str, key: str) -> DataFrame:
-    """(key, score, magnitude) from a lexicon (word, score).
+def scored(text: Column, score: Callable[[Column], Column]) -> Column:
+    """struct(score, magnitude) of a text; ``score`` gives a word's, or null."""
+    known = lambda s: F.filter(F.transform(T.words(s), lambda w: score(F.lower(w))), lambda x: x.isNotNull())
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    mean = lambda xs: F.when(F.size(xs) > 0, total(xs) / F.size(xs)).otherwise(0.0)
+    sentences = T.sentences(text)
+    means = F.transform(F.transform(sentences, known), mean)
+    n = F.greatest(F.size(sentences), F.lit(1))
+    return T.bind(
+        means,
+        lambda ms: F.named_struct(
+            F.lit("score"), F.round(total(ms) / n, 9),
+            F.lit("magnitude"), F.round(total(F.transform(ms, F.abs)) / n, 9),
+        ),
+    )
+
+
+def with_scores(df: DataFrame, lexicon: DataFrame, text: str, key: str) -> DataFrame:
+    """``df`` with ``_scored``: struct(score, magnitude) from a lexicon (word, score).
 
     A sentence scores the mean of its words found in the lexicon, 0 without any. A
-    text has the mean score and the mean absolute score of its sentences.
+    text has the mean score and the mean absolute score of its sentences. A lexicon too
+    large for a constant meets the texts' distinct words in a join instead.
     """
-    words = df.select(key, F.posexplode(T.sentences(F.col(text))).alias("s", "sentence")).select(
-        key, "s", F.explode(T.words(F.col("sentence"))).alias("token")
-    )
-    hits = words.select(key, "s", F.lower("token").alias("word")).join(small_side(lexicon), "word")
-    by_sentence = hits.groupBy(key, "s").agg(F.avg("score").alias("score"))
-    by_text = by_sentence.groupBy(key).agg(
-        F.sum("score").alias("score"), F.sum(F.abs("score")).alias("magnitude")
-    )
-    n = F.greatest(F.size(T.sentences(F.col(text))), F.lit(1))
-    mean = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)) / F.col("_n"), 9).alias(c)
-    return (
-        df.select(key, n.alias("_n"))
-        .join(by_text, key, "left")
-        .select(key, mean("score"), mean("magnitude"))
+    scores = lookup(lexicon, "word", "score")
+    if scores is not None:
+        return df.withColumn("_scored", scored(F.col(text), scores))
+    words = df.select(key, F.explode(F.array_distinct(F.transform(T.words(F.col(text)), F.lower))).alias("word"))
+    own = (
+        words.join(lexicon.groupBy("word").agg(F.min("score").alias("score")), "word")
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", "score"))).alias("_known"))  # one text's distinct words
     )
+    joined = df.join(own, key, "left").withColumn("_known", F.coalesce("_known", F.create_map().cast("map<string,double>")))
+    return joined.withColumn("_scored", scored(F.col(text), lambda w: F.element_at("_known", w))).drop("_known")
+
+
+def sentiment_scores(df: DataFrame, lexicon: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, score, magnitude) of each text."""
+    return with_scores(df, lexicon, text, key).select(key, "_scored.score", "_scored.magnitude")
 
 
 def add_sentiment(
     df: DataFrame, lexicon: DataFrame, text: str = "translated", key: str = "id"
 ) -> DataFrame:
-    scores = sentiment_scores(df, lexicon, text, key)
-    label = V.sentiment_label(F.col("score"), F.col("magnitude"))
-    return df.join(scores.select(key, label.alias("sentiment")), key)
+    label = V.sentiment_label(F.col("_scored.score"), F.col("_scored.magnitude"))
+    return with_scores(df, lexicon, text, key).withColumn("sentiment", label).drop("_scored")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from murmur.functions import text as T
-from murmur.operators.joins import contained_in, small_side
+from murmur.operators.joins import contained_in
 
 
 def keyword_pairs(keywords: DataFrame) -> DataFrame:
@@ -54,6 +54,14 @@ def keyword_pairs(keywords: DataFrame) -> DataFrame:
     )
 
 
+def with_sides(listed: DataFrame) -> DataFrame:
+    """``listed`` and a row for each side of its alternatives (``a/b``, ``a & b``), with
+    the same labels: what ``keyword_pairs`` can report."""
+    kw = F.col("keyword")
+    sides = listed.filter(kw.contains("/") | kw.contains("&")).withColumn("keyword", F.explode(F.split(kw, "/| & ")))
+    return listed.unionByName(sides).distinct()
+
+
 def find_words(
     texts: DataFrame, pairs: DataFrame, text: str, keys: list[str], stop: list[str] = ()
 ) -> DataFrame:
@@ -61,13 +69,13 @@ def find_words(
 
     A pair is found where its second word lies from two places before to one place
     after its first word; a phrase is found when each of its pairs is, independently.
-    Texts meet the dictionary in an equality join on the first word, without a
-    shuffle while the dictionary fits in memory; only hits are shuffled.
+    Texts meet the dictionary in an equality join on the first word, without a shuffle
+    where Spark knows that the dictionary is small; only hits are shuffled.
     """
     near = texts.select(
         *keys, "store", F.inline(T.neighbourhoods(T.terms(F.col(text), stop)))
     )
-    hits = near.join(small_side(pairs), ["store", "term"]).filter(F.expr("array_contains(near, next)"))
+    hits = near.join(pairs, ["store", "term"]).filter(F.expr("array_contains(near, next)"))
     return (
         hits.groupBy(*keys, "store", "keyword", "pairs")
         .agg(F.size(F.collect_set("pair_no")).alias("found"))  # at most one per word of the phrase

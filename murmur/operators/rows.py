@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from murmur.functions import cleaning
-from murmur.session import materialize
+from murmur.session import discard, materialize, materialize_measured
 
 
 def spam_filter(df: DataFrame, text: str = "translated") -> DataFrame:
@@ -22,34 +24,40 @@ def spam_filter(df: DataFrame, text: str = "translated") -> DataFrame:
 
 
 def first_copies(df: DataFrame, column: str, order_by: str) -> DataFrame:
-    """One row per value of ``column``: the one that is first by ``order_by``.
+    """One row per value of ``column``: the one that is first by ``order_by``, which is
+    different for every row; nulls are one value.
 
-    An aggregation, not a window: copies are folded before the shuffle, so a value
-    shared by a third of all rows costs one row per task.
+    Only a hash of the value and the order key are aggregated, folded in each task before
+    they travel; then each row meets the winner of its hash, and its text travels once.
+    A value that a third of all rows share is a skewed key of that join, which AQE splits.
+    ``df`` is read twice, so what was costly to make should be written before.
     """
-    others = [c for c in df.columns if c != column]
-    folded = df.groupBy(column).agg(
-        F.min(F.struct(order_by, *[c for c in others if c != order_by])).alias("_row")
+    signed = df.withColumn("_sign", F.coalesce(F.sha2(F.col(column), 256), F.lit("")))
+    first = signed.groupBy("_sign").agg(F.min(order_by).alias("_first")).select(
+        F.col("_sign").alias("_own"), "_first"
     )
-    return folded.select(*[column if c == column else F.col(f"_row.{c}") for c in df.columns])
+    same = (F.col("_sign") == F.col("_own")) & (F.col(order_by) == F.col("_first"))
+    return signed.join(first, same, "left_semi").select(*df.columns)
 
 
 def dense_ids(df: DataFrame, order_by: str, name: str = "id") -> DataFrame:
     """Number rows 0, 1, 2, … by ``order_by``, without a single-task window.
 
-    Rows are range-partitioned and sorted, written once with their place in their
-    partition, then shifted by the sizes of the partitions before. ``df`` is
-    computed a single time.
+    Rows are written once, as range partitioning looks at its input twice; then
+    range-partitioned, sorted and written with their place in their partition, and
+    shifted by the sizes of the partitions before.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.monotonically_increasing_id()
+    stored = materialize(df)
     placed = materialize(
-        df.repartitionByRange(parts, order_by)
+        stored.repartitionByRange(parts, order_by)
         .sortWithinPartitions(order_by)
         .withColumn("_part", F.shiftright(place, 33))
         .withColumn("_place", place.bitwiseAND(F.lit((1 << 33) - 1)))
     )
+    discard(stored)
     # One row per partition: bounded by the partition count.
     sizes = placed.groupBy("_part").agg((F.max("_place") + 1).alias("_rows"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -91,13 +99,24 @@ def drop_empty_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna("all", subset=columns)
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each named stage, one row per stage."""
-    counts = [
-        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        for name, df in stages.items()
-    ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+def fill_listing(df: DataFrame, line: str, column: str, default: str = "Unknown", block: int = 1_000_000) -> DataFrame:
+    """A listing whose ``column`` is written on the first line of several: empty lines
+    dropped, ``column`` filled from above."""
+    return forward_fill(drop_empty_rows(df, [c for c in df.columns if c != line]), line, column, default, block)
+
+
+def observed_counts(
+    df: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], first: str = "read"
+) -> tuple[DataFrame, DataFrame]:
+    """(result, counts): ``df`` after all stages, and (stage, rows) with the rows before
+    the first and after each.
+
+    Each stage is written once and counted while it is written, so none runs twice.
+    """
+    counts, result = [], df
+    for name, stage in [(first, lambda rows: rows), *stages]:
+        last = result
+        result, seen = materialize_measured(stage(result), rows=F.count(F.lit(1)))
+        discard(last)
+        counts.append((name, seen["rows"]))
+    return result, df.sparkSession.createDataFrame(counts, "stage string, rows long")

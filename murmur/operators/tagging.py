@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from murmur import fixed
 from murmur.functions import text as T
-from murmur.operators.joins import settled, small_side
-from murmur.operators.matching import find_words, keyword_pairs, unlisted_issue
+from murmur.operators.joins import settled
+from murmur.operators.matching import find_words, keyword_pairs, unlisted_issue, with_sides
 
 
 def drop_generic(
@@ -41,7 +41,7 @@ def categorize(
     contain the keyword, or the keyword's word contexts if no verb phrase holds one.
     """
     components = settled(components)
-    pairs = keyword_pairs(components.select("store", "keyword").distinct())
+    pairs = settled(keyword_pairs(components.select("store", "keyword").distinct()))
     origins = F.array(
         F.struct(F.lit("text").alias("origin"), F.col(text).alias("body")),
         F.struct(F.lit("verb").alias("origin"), F.array_join("verb_phrases", ", ").alias("body")),
@@ -89,17 +89,18 @@ def categorize(
     )
     actions = F.transform(F.filter("found", match), lambda f: f["context"])
     hits = prepared.select(key, "store", "gate", "keyword", actions.alias("actions"))
-    table = components.select("store", "keyword", "component", "feature").distinct()
-    other = lambda c, name: F.when(F.col("gate"), F.col(c)).otherwise(F.lit(name)).alias(c)
+    table = with_sides(components.select("store", "keyword", "component", "feature"))
+    # Every keyword that can be found has a row there; no feedback is left without one.
+    known = F.col("gate") & F.col("component").isNotNull()
+    other = lambda c, name: F.when(known, F.col(c)).otherwise(F.lit(name)).alias(c)
     labelled = (
-        hits.join(small_side(table), ["store", "keyword"], "left")
+        hits.join(settled(table), ["store", "keyword"], "left")
         .select(
             key,
             other("feature", fixed.OTHER_FEATURE),
             other("component", fixed.OTHER_COMPONENT),
-            F.when(F.col("gate"), F.col("actions")).otherwise(F.array(F.lit(""))).alias("actions"),
+            F.when(known, F.col("actions")).otherwise(F.array(F.lit(""))).alias("actions"),
         )
-        .filter(F.col("component").isNotNull())
     )
     merged = (
         labelled.groupBy(key, "component")
@@ -127,4 +128,4 @@ def key_issues(
     unlisted = reported.join(issues, ["store", "keyword"], "left_anti")
     table = issues.select("store", "keyword", "issue").unionByName(unlisted_issue(unlisted, issues))
     found = find_words(feedback.select(key, "store", text), pairs, text, [key], stop)
-    return found.join(small_side(table.distinct()), ["store", "keyword"]).select(key, "issue").distinct()
+    return found.join(settled(table.distinct()), ["store", "keyword"]).select(key, "issue").distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from murmur import fixed
@@ -28,7 +30,7 @@ def _concat(columns: list[str], separator: str) -> Column:
     return F.concat(*parts)
 
 
-def normalize_survey(df: DataFrame) -> DataFrame:
+def normalize_survey(df: DataFrame, keep: list[str] = ()) -> DataFrame:
     mapping = fixed.SOURCE_COLUMNS[fixed.SURVEY]
     agent_text = F.coalesce(F.col(f"`{mapping['device']}`"), F.lit(""))
     device = agent.device(agent_text)
@@ -42,10 +44,11 @@ def normalize_survey(df: DataFrame) -> DataFrame:
         F.lit("").alias("rating"),
         _concat(mapping["original"], "").alias("original"),
         F.lit("").alias("translated"),
+        *keep,
     )
 
 
-def normalize_store_reviews(df: DataFrame) -> DataFrame:
+def normalize_store_reviews(df: DataFrame, keep: list[str] = ()) -> DataFrame:
     """As the survey's, without ``translated``; the union fills it with null."""
     mapping = fixed.SOURCE_COLUMNS[fixed.STORE_REVIEWS]
     plain = lambda name: F.coalesce(F.col(f"`{mapping[name]}`").cast("string"), F.lit(""))
@@ -58,6 +61,7 @@ def normalize_store_reviews(df: DataFrame) -> DataFrame:
         plain("version").try_cast("double").alias("version"),
         plain("rating").alias("rating"),
         _concat(mapping["original"], ". ").alias("original"),
+        *keep,
     )
 
 
@@ -67,11 +71,12 @@ NORMALIZERS = {
 }
 
 
-def normalize(df: DataFrame) -> DataFrame:
+def normalize(df: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """``df`` in the common schema, and its columns ``keep``."""
     source = identify_source(df.columns)
     if source == UNKNOWN:
         raise ValueError(f"no known source has these columns: {df.columns}")
-    return NORMALIZERS[source](df)
+    return NORMALIZERS[source](df, keep)
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -81,42 +86,73 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
-def _csv(spark: SparkSession):
+def in_file_order(df: DataFrame) -> DataFrame:
+    """``df``, as read from files, with ``line``: path, place of the split and a number
+    that rises inside it. It orders rows alike however splits are packed into tasks."""
+    return df.withColumn(
+        "line",
+        F.struct(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("n"),
+        ),
+    )
+
+
+def _csv(spark: SparkSession, multi_line: bool = True):
     return (
-        spark.read.option("header", True).option("multiLine", True)
+        spark.read.option("header", True).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"')
     )
 
 
-def _entries(spark: SparkSession, folder: str) -> list[str]:
-    """CSV files and sub-folders directly under ``folder``."""
+def _files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """CSV and Parquet files under ``folder``, by kind."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    found = []
-    for f in files:
-        name = f.getPath().getName()
-        hidden = name.startswith((".", "_"))
-        if not hidden and (f.isDirectory() or name.lower().endswith(".csv")):
-            found.append(f.getPath().toString())
-    return sorted(found)
-
-
-def read_feedback(spark: SparkSession, folder: str) -> DataFrame:
-    """All feedback under ``folder``, in one schema.
-
-    Only headers are looked at here, one per entry of the folder; an entry may be a
-    sub-folder with any number of files of one layout. Entries with equal headers are
-    read by one scan.
-    """
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    kinds: dict[str, list[str]] = {"csv": [], "parquet": []}
+    while found.hasNext():
+        file = found.next().getPath()
+        kind = file.getName().lower().rpartition(".")[2]
+        inside = file.toUri().getPath()[len(path.toUri().getPath()) :].split("/")
+        if kind in kinds and not any(part.startswith((".", "_")) for part in inside):
+            kinds[kind].append(file.toString())
+    return {kind: sorted(files) for kind, files in kinds.items()}
+
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
+    """CSV files by their header, from the first line of each, in one pass."""
+    lines = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        "value",
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))  # a row for each file
     layouts: dict[tuple, list[str]] = {}
-    for entry in _entries(spark, folder):
-        header = tuple(_csv(spark).csv(entry).columns)
-        layouts.setdefault(header, []).append(entry)
-    if not layouts:
-        raise ValueError(f"no CSV files under {folder}")
-    frames = []
-    for header, entries in layouts.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        frames.append(normalize(_csv(spark).schema(schema).csv(entries).na.fill("")))
-    return union(frames)
+    for r in first.collect():
+        header = next(csv.reader([r["header"].removeprefix("\ufeff")]), [])
+        layouts.setdefault(tuple(header), []).append(r["path"])
+    return {header: sorted(paths) for header, paths in sorted(layouts.items())}
+
+
+def read_feedback(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
+    """All feedback under ``folder`` and its sub-folders, in one schema, with ``line``.
 
+    CSV files are grouped by their header, wherever they lie, and each group is one scan
+    by its own names. With ``multi_line`` a quoted text may span lines, and a file is one
+    task; without it large files are split. Parquet files are always split; those of one
+    folder have one schema.
+    """
+    files, frames = _files(spark, folder), []
+    if files["csv"]:
+        for header, paths in _headers(spark, files["csv"]).items():
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+            rows = in_file_order(_csv(spark, multi_line).schema(schema).option("enforceSchema", False).csv(paths))
+            frames.append(normalize(rows.na.fill(""), ["line"]))
+    by_folder: dict[str, list[str]] = {}
+    for path in files["parquet"]:
+        by_folder.setdefault(path.rpartition("/")[0], []).append(path)
+    frames += [normalize(in_file_order(spark.read.parquet(*paths)), ["line"]) for paths in by_folder.values()]
+    if not frames:
+        raise ValueError(f"no CSV or Parquet files under {folder}")
+    return union(frames)
