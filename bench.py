@@ -24,7 +24,7 @@ def main() -> None:
     spark = get_spark("murmur-bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
-        "spark.ui.enabled": "false",
+        "spark.ui.enabled": "false", "spark.murmur.readPartitions": cpus,
     })
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/region.parquet").count()

@@ -12,6 +12,7 @@ from murmur import fixed
 from murmur.functions import text as T
 from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
 from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
+from murmur.session import materialize
 
 
 def rows(df, *columns):
@@ -51,11 +52,72 @@ def test_spam_filter_keeps_columns(spark):
     assert rows(out, "id", "t", "spam") == [(1, " hi", 0)]
 
 
-def test_small_side_measures(spark):
-    df = spark.range(50)
-    assert "ResolvedHint" in J.small_side(df)._jdf.queryExecution().analyzed().toString()
-    assert J.small_side(df, max_rows=10) is df
-    assert J.small_side(df, max_bytes=10) is df
+def test_lookup_is_a_constant_and_has_a_limit(spark, monkeypatch):
+    table = spark.createDataFrame([(f"w{i}", i) for i in range(300)] + [("w1", 0), (None, 5)], "w string, v int")
+    of = J.lookup(table, "w", "v")
+    df = spark.createDataFrame([("w1",), ("w299",), ("x",), (None,)], "w string").select("w", of(F.col("w")).alias("v"))
+    assert [r.v for r in df.collect()] == [0, 299, None, None]
+    assert "Join" not in df._jdf.queryExecution().toString()
+    monkeypatch.setattr(J, "MAX_ENTRIES", 10)
+    assert J.lookup(table, "w", "v") is None
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_do_not_travel(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "The dog runs. Good dogs run fast"), (2, "")], "id long, t string")
+    tags = spark.createDataFrame([("dog", "N"), ("dogs", "N"), ("runs", "V"), ("the", "D"), ("good", "J")], "word string, tag string")
+    scores = spark.createDataFrame([("good", 1.0), ("fast", 0.5)], "word string, score double")
+    narrow = P.add_phrases(df, "t", "id", tags), E.sentiment_scores(df, scores, "t", "id")
+    for result in narrow:
+        assert "Exchange" not in plan_of(result) and "Join" not in plan_of(result)
+    # A lexicon too large for a constant is joined, with the same result.
+    monkeypatch.setattr(J, "MAX_ENTRIES", 1)
+    joined = P.add_phrases(df, "t", "id", tags), E.sentiment_scores(df, scores, "t", "id")
+    for a, b in zip(narrow, joined):
+        assert "Join" in plan_of(b)
+        assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_copies_are_found_by_hash(spark):
+    df = spark.createDataFrame([(3, "a", 1), (1, "a", 2), (2, None, 3), (4, None, 4), (5, "", 5)], "id long, t string, x int")
+    first = R.first_copies(df, "t", "id")
+    assert rows(first, "id", "t", "x") == [(1, "a", 2), (2, None, 3), (5, "", 5)]
+    assert "SortAggregate" not in plan_of(first)
+
+
+def test_listing(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "a", "x"), (3, None, None), (4, None, "y")], "line long, v string, o string")
+    assert rows(R.fill_listing(df, "line", "v"), "line", "v") == [(2, "a"), (4, "a")]
+
+
+def test_counts_while_stages_run(spark):
+    df = spark.range(10).withColumn("t", (F.col("id") % 3).cast("string"))
+    result, counts = R.observed_counts(df, [("even", lambda d: d.filter("id % 2 = 0")), ("first", lambda d: R.first_copies(d, "t", "id"))])
+    assert [tuple(r) for r in counts.collect()] == [("read", 10), ("even", 5), ("first", 3)]
+    assert rows(result, "id") == [(0,), (2,), (4,)]
+
+
+def test_sides_of_alternatives_have_components(spark):
+    listed = spark.createDataFrame([("s", "ung/heit", "C", "F"), ("s", "one & two", "D", "G"), ("s", "plain", "E", "H")],
+                                   "store string, keyword string, component string, feature string")
+    texts = [(1, "the ung here"), (2, "two of it"), (3, "nothing"), (4, "plain heit"), (5, None)]
+    df = spark.createDataFrame(texts, "id long, translated string").selectExpr(
+        "id", "'s' AS store", "translated", "array() AS verb_phrases", "array() AS noun_phrases")
+    df = df.withColumns({c: F.col(c).cast("array<string>") for c in ("verb_phrases", "noun_phrases")})
+    got = rows(G.categorize(df, listed), "id", "component", "feature")
+    assert got == [(1, "C", "F"), (2, "D", "G"), (3, "Others", "Other"), (4, "C", "F"), (4, "E", "H"), (5, "Others", "Other")]
+
+
+def test_senses_have_no_case(spark):
+    senses = spark.createDataFrame([("New_Tab", "s1", 1), ("fresh_page", "s1", 1)], "lemma string, synset_id string, rank int")
+    words = spark.createDataFrame([("new_tab",), ("NEW_TAB",), ("Fresh_Page",)], "word string")
+    # A word is among its own synonyms while there are few.
+    assert rows(X.synonyms(words, senses), "word", "synonym") == [(w, s) for w in ("Fresh_Page", "NEW_TAB", "new_tab") for s in ("fresh page", "new tab")]
+    pairs = spark.createDataFrame([("NEW_tab", "fresh_page"), ("new_tab", "other")], "a string, b string")
+    assert rows(X.same_sense(pairs, senses, "a", "b"), "a", "similar") == [("NEW_tab", 1), ("new_tab", 0)]
 
 
 def test_contained_in(spark):
@@ -186,6 +248,39 @@ def test_components(spark, shape):
     assert got == union_find(nodes, [e for e in edges if e[0] != e[1]])
 
 
+def template_bags(n, seed=3):
+    """``n`` near copies of one text, some unlike texts, and a second template."""
+    rng = random.Random(seed)
+    words = [f"t{i}" for i in range(40)]
+    bags = [words[: rng.randint(37, 40)] + [f"u{rng.randrange(10**6)}"] for _ in range(n)]
+    bags += [[f"v{rng.randrange(60)}" for _ in range(25)] for _ in range(30)]
+    return bags + [[f"s{i}" for i in range(20)] + words[:4] + [f"x{k}"] for k in range(8)]
+
+
+def test_copies_of_a_template_meet_others_once(spark):
+    """Rows formed grow with the number of near copies, not with its square."""
+    formed = {}
+    for n in (150, 600):
+        df = spark.createDataFrame([(i, "g", b) for i, b in enumerate(template_bags(n))], "id long, g string, bag array<string>")
+        weighted = materialize(S.weights(df, "id", ["g"]))
+        close, _, tops = S.folded(weighted, "id", ["g"], 0.3, C.components)
+        met = S._meetings(S._reach(tops, "group", ["g"], 0.3 * S.LOOSER), ["g"])
+        formed[n] = close.count() + met.count()
+        assert close.count() <= S.BLOCKS * (n + 40)
+    assert formed[600] < 6 * formed[150]
+
+
+@pytest.mark.parametrize("n", [5, 120])
+def test_links_connect_what_brute_force_does(spark, n):
+    bags = dict(enumerate(template_bags(n, n)))
+    df = spark.createDataFrame([(i, "g", b) for i, b in bags.items()], "id long, g string, bag array<string>")
+    found = S.links(S.weights(df, "id", ["g"]), "id", ["g"], 0.3, C.components).collect()
+    weights = brute_weights(bags)
+    near = [(a, b) for b in bags for a in range(b) if round(sum(w * weights[b].get(t, 0) for t, w in weights[a].items()), 9) >= 0.3]
+    assert {(min(r), max(r)) for r in found} <= set(near)
+    assert union_find(bags, [tuple(r) for r in found]) == union_find(bags, near)
+
+
 def brute_weights(bags):
     n = len(bags)
     df = collections.Counter(t for b in bags.values() for t in set(b))

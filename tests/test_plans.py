@@ -1,12 +1,14 @@
 """Sources, tables, loads and whole jobs."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from murmur import fixed
 from murmur.plans import incremental as I, pipeline, report as RP
+from murmur.session import scratch_dir
 from murmur.sources import dictionaries as D, feedback as FB
 from murmur.sources.tables import Tables
 from murmur.streaming.tagging import clean_stream, load_stream
@@ -48,11 +50,28 @@ def test_reading_a_folder(spark, tmp_path):
     assert (rows["2018-05-12"].device, rows["2018-05-12"].store, rows["2018-05-12"].version) == ("Unknown", "", 0.0)
     other = rows["2018-05-13"]
     assert (other.original, other.rating, other.version, other.translated) == ("Hi. there", "5", 12.1, None)
+    assert sorted(r.line.path[-5:] for r in FB.read_feedback(spark, str(tmp_path / "in")).collect()) == ["a.csv", "a.csv", "b.csv", "c.csv"]
     (tmp_path / "in" / "d.csv").write_text("a,b\n1,2\n")
     with pytest.raises(ValueError, match="no known source"):
         FB.read_feedback(spark, str(tmp_path / "in"))
 
 
+def test_layouts_mixed_in_a_sub_folder(spark, tmp_path):
+    folder = tmp_path / "in" / "deep"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text('Date,Version,Store,Rating,Subject,Body,Country\n2018-05-13,12.1,iOS,5,Hi,"there",USA\n')
+    (folder / "b.csv").write_text('Country,Date,Version,Store,Rating,Subject,Body\nFrance,2018-05-14,11.2,iOS,4,Ho,"you",\n')
+    (folder / "c.csv").write_text(survey_csv([["2018-05-15", AGENT, "fast", "", "USA"]]))
+    (folder / "_hidden.csv").write_text("x\n1\n")
+    reviews = spark.createDataFrame([("2018-05-16", "3.5", "Web", "1", "P", "q", "USA")], "Date string, Version string, Store string, Rating string, Subject string, Body string, Country string")
+    reviews.coalesce(1).write.parquet(str(tmp_path / "in" / "more"))
+    for multi_line in (True, False):
+        got = {str(r.date): r for r in FB.read_feedback(spark, str(tmp_path / "in"), multi_line).collect()}
+        assert [(got[f"2018-05-{d}"].country, got[f"2018-05-{d}"].original) for d in (13, 14, 15, 16)] == [
+            ("United States", "Hi. there"), ("France", "Ho. you"), ("United States", "fast"), ("United States", "P. q")]
+        assert got["2018-05-14"].version == 11.2 and got["2018-05-14"].store == "iOS"
+
+
 def test_dictionaries(spark, tmp_path):
     path = tmp_path / "cat.csv"
     path.write_text('﻿Store,Tier,Feature,Component,Keywords\niOS,1,F,C,"a, b"\niOS,,G,C,\nDesktop,,H,D,c\n', encoding="utf-8")
@@ -77,6 +96,7 @@ def test_dates_are_strict_and_orphans_stay(spark):
 
 @pytest.mark.parametrize("top, want", [
     (0, 20180510000000), (20180509000100, 20180510000000), (20180510000100, 20180510000101), (5, 20180510000000),
+    (20180509000000 + 4_500_000, 20180513500001), (20180510000000 + 4_500_000, 20180514500001),
 ])
 def test_batch_base(spark, top, want):
     base = I.batch_base(F.lit(top).cast("long"), F.lit(datetime.date(2018, 5, 10)))
@@ -89,14 +109,49 @@ def test_tables(spark, tmp_path):
     tables.create()
     assert I.high_water_mark(tables.read("reviews")).first()[0] == datetime.date(1999, 1, 1)
     tables.append("key_issue", spark.createDataFrame([("7", "x")], "id string, key_issue string"))
+    tables.append("key_issue", spark.createDataFrame([("8", "x")], "id string, key_issue string"), "unfinished")
     tables.register("murmur_test")
-    assert spark.table("murmur_test.key_issue").count() == 1
+    assert spark.table("murmur_test.key_issue").filter("batch = '0'").count() == 1
     assert tables.find("key_issue", "7").count() == 1 and tables.find("key_issue", "8").count() == 0
     assert tables.read_with_numbers("key_issue").first().id == 7
     tables.clear("key_issue")
     assert tables.read("key_issue").count() == 0
 
 
+FEEDBACK = "id long, store string, device string, source string, country string, date date, version double, rating string, original string, translated string, sentiment string, spam int, verb_phrases array<string>, noun_phrases array<string>"
+
+
+def feedback_of(spark, days, first=0):
+    rows = [(first + i, "s", "d", "src", "", d, 1.0, "", f"text {first + i}", f"text {first + i}" if i % 4 != 3 else None, "", 0, [], []) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, FEEDBACK)
+    categories = df.selectExpr("id", "'f' AS feature", "'c' AS component", "array('a') AS actions")
+    return df, categories, df.selectExpr("id", "'i' AS issue")
+
+
+def test_loads_are_lossless(spark, tmp_path):
+    tables, today = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 10)
+    day = lambda n: datetime.date(2018, 5, n)
+    batch = feedback_of(spark, [day(1), day(2), None, day(2), day(2)])
+    read = lambda name: sorted(r.id for r in tables.read(name).collect())
+    assert I.load(tables, *batch, today, "a") == 20180510000000
+    want = ["20180510000000", "20180510000001", "20180510000004"]
+    # The fourth has no translation and the third no date: neither leaves children behind.
+    assert read("reviews") == read("categorization") == read("key_issue") == want
+    assert read("undated") == ["20180510000002"]
+    # The same batch again does nothing; the same rows under another name are old.
+    assert I.load(tables, *batch, today, "a") == 20180510000000
+    assert I.load(tables, *batch, today, "b") == 20180510000005
+    assert read("reviews") == want and read("undated") == ["20180510000002"]
+    # A batch cut short before its entry in the log is not read, and replaced when it comes again.
+    tables.append("reviews", tables.read("reviews"), "c")
+    assert read("reviews") == want
+    assert I.load(tables, *feedback_of(spark, [day(3)], 9), today, "c") == 20180510000005
+    assert read("reviews") == [*want, "20180510000014"] == read("key_issue")
+    # A day later than the last, after a very large batch.
+    tables.enter("large", 20180510000015, 20180515500000, day(4))
+    assert I.load(tables, *feedback_of(spark, [day(5)]), datetime.date(2018, 5, 13)) == 20180515500001
+
+
 def word_tables(spark):
     memory = spark.createDataFrame([("fr", "x", "y")], "lang string, text_hash string, translated string")
     sentiment = spark.createDataFrame([("love", 1.0), ("hate", -1.0)], "word string, score double")
@@ -122,6 +177,8 @@ def test_daily_job_twice(spark, tmp_path):
         ["2018-05-11", AGENT, "", "spam " * 300, "USA"],
     ]))
 
+    before = [p for p in os.listdir(scratch_dir(spark).removeprefix("file:")) if p.startswith("murmur-")]
+
     def run(day):
         return pipeline.run_daily(
             spark, str(tmp_path / "in"), str(tmp_path / "cat.csv"), str(tmp_path / "iss.csv"), str(tmp_path / "stop.txt"),
@@ -129,6 +186,8 @@ def test_daily_job_twice(spark, tmp_path):
         )
 
     assert run(12) == 20180512000000
+    left = [p for p in os.listdir(scratch_dir(spark).removeprefix("file:")) if p.startswith("murmur-")]
+    assert sorted(left) == sorted(before)
     tables = Tables(spark, str(tmp_path / "out"))
     reviews = {r.id: r for r in tables.read("reviews").collect()}
     assert sorted(reviews) == ["20180512000000", "20180512000001", "20180512000002"]
@@ -171,3 +230,37 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
     assert query.exception() is None
     assert sorted(r.translated_reviews for r in tables.read("reviews").collect()) == ["I love the tabs", "call  now", "so fast"]
     assert sorted(r.component for r in tables.read("categorization").collect()) == ["Others", "Others", "Tabs"]
+
+
+def test_stream_of_several_files_of_a_day(spark, tmp_path):
+    """Three files of one day, one with a late row, a file to a batch: as one batch load."""
+    memory, sentiment, tags = word_tables(spark)
+    schema = "line long, store string, device string, source string, country string, date date, version double, rating string, lang string, original string"
+    day = datetime.date(2018, 5, 10)
+    files = [[(0, "I love the tabs", 0), (1, "so fast", 0)], [(2, "slow today", 0), (3, "late words", -3)], [(4, "tabs again", 0)]]
+    for n, own in enumerate(files):
+        rows = [(i, "iOS", "iPhone", "s", "", day + datetime.timedelta(late), 1.0, "", "en", t) for i, t, late in own]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{n}"))
+    lexicons = pipeline.Lexicons(
+        components=spark.createDataFrame([("iOS", "tab", "Tabs", "F")], "store string, keyword string, component string, feature string"),
+        issues=spark.createDataFrame([("iOS", "fast", "speed")], "store string, keyword string, issue string"),
+        memory=memory, sentiment=sentiment, tags=tags,
+    )
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    tables = Tables(spark, str(tmp_path / "out"))
+    for _ in range(2):  # the second run finds nothing new
+        query = load_stream(stream, lexicons, tables, str(tmp_path / "ck"), "line", lambda: datetime.date(2018, 6, 1))
+        query.awaitTermination(300)
+        assert query.exception() is None
+    batch = Tables(spark, str(tmp_path / "batch"))
+    whole, categories, issues = pipeline.tag(pipeline.preprocess(spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in")), memory, sentiment, "line"), lexicons)
+    I.load(batch, whole, categories, issues, datetime.date(2018, 6, 1))
+
+    def content(t):
+        reviews = t.read("reviews")
+        texts = reviews.select("id", "translated_reviews")
+        joined = texts.join(t.read("categorization"), "id").select("translated_reviews", "component").collect()
+        return sorted(r.translated_reviews for r in texts.collect()), sorted(map(tuple, joined)), reviews.select("id").distinct().count()
+
+    assert content(tables) == content(batch)
+    assert content(tables)[2] == 5

@@ -1,9 +1,10 @@
-"""Registered queries: all have SQL checks; a few run here, all in workload.check."""
+"""Registered queries against their SQL, on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry
 from workload.check import compare, connect
+from workload.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,9 +14,6 @@ def test_contract(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [
-    "pii_scrub", "dedup_exact", "clean_pipeline", "normalize_union", "incremental_filter", "forward_fill",
-    "find_words", "phrase_chunks", "cosine_pairs", "preprocess",
-])
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_sql_agrees(spark, name):
     assert compare(name, spark, connect(FOLDER), FOLDER).startswith("ok")

@@ -58,7 +58,7 @@ def compare(name: str, spark, db, folder: str) -> str:
 
 def main(folder: str, names: list[str]) -> int:
     spark = get_spark("murmur-check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.enabled": "false"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.murmur.readPartitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     db = connect(folder)
     failed = 0

@@ -159,6 +159,10 @@ for _s, _, _, _c, _k in X.CATEGORIES:
     for _w in expanded(_c, _k):
         COMPONENTS.append((_s, _w, _c, _feature[_s, _c]))
 COMPONENTS = sorted(set(COMPONENTS))
+# The sides of an alternative carry its component.
+COMPONENTS_AND_SIDES = sorted({*COMPONENTS, *(
+    (s, p, c, f) for s, k, c, f in COMPONENTS if "/" in k or "&" in k for p in re.split("/| & ", k)
+)})
 
 ISSUE_WORDS = []  # store, keyword, issue
 for _s, _i, _k in X.ISSUES:
@@ -276,7 +280,7 @@ def categorize_ctes() -> str:
       SELECT id, keyword, act FROM verbs
       UNION ALL SELECT id, keyword, context FROM ({contexts('(SELECT id, keyword FROM chosen WHERE NOT in_verb)')})
     ),
-    comps AS (SELECT * FROM {values(COMPONENTS, 'store', 'keyword', 'component', 'feature')}),
+    comps AS (SELECT * FROM {values(COMPONENTS_AND_SIDES, 'store', 'keyword', 'component', 'feature')}),
     merged AS (
       SELECT c.id, k.feature, k.component, coalesce(list_sort(list_distinct(list(a.act) FILTER (a.act IS NOT NULL))), []) AS acts
       FROM chosen c JOIN comps k ON k.store = c.store AND k.keyword = c.keyword
@@ -455,15 +459,16 @@ O["persisted_roundtrip"] = """
 SELECT d.doc_id AS id, lang AS store, cast(least(4000, 2 * length(text) + 1) AS INT) AS chars, quality::VARCHAR AS key_issue, NULL::VARCHAR AS feature
 FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang <> 'es'"""
 O["incremental_load"] = f"""
-WITH d AS (SELECT doc_id, lang, doc_id % 30 < 14 AS early FROM documents),
-l AS (SELECT doc_id, early FROM labels JOIN d USING (doc_id)),
-ids AS (SELECT {BASE} + doc_id AS id FROM d WHERE early AND lang <> 'es' UNION ALL SELECT {BASE} + doc_id FROM l WHERE early),
-base AS (SELECT max(id) + 1 AS b FROM ids),
-r AS (SELECT CASE WHEN early THEN {BASE} ELSE b END + doc_id AS id FROM d, base WHERE lang <> 'es'),
-c AS (SELECT CASE WHEN early THEN {BASE} ELSE b END + doc_id AS id FROM l, base)
+WITH d AS (SELECT doc_id, lang, text, doc_id % 30 < 14 AS early, doc_id % 7 = 3 AS undated FROM documents),
+top AS (SELECT max(doc_id) + {BASE} + 1 AS b FROM d WHERE early AND (undated OR lang <> 'es')),
+r AS (SELECT doc_id, CASE WHEN early THEN {BASE} ELSE b END + doc_id AS id FROM d, top WHERE lang <> 'es' AND NOT undated),
+c AS (SELECT id FROM r JOIN labels USING (doc_id)),
+u AS (SELECT CASE WHEN early THEN {BASE} ELSE b END + doc_id AS id FROM d, top
+  WHERE undated AND (early OR text NOT IN (SELECT text FROM d WHERE early AND undated)))
 SELECT 'reviews' AS name, count(*) AS rows, min(id)::VARCHAR AS low, max(id)::VARCHAR AS high FROM r
 UNION ALL SELECT 'categorization', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM c
-UNION ALL SELECT 'key_issue', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM c"""
+UNION ALL SELECT 'key_issue', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM c
+UNION ALL SELECT 'undated', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM u"""
 TRANSLATED = """'it''s ' || replace(text, 'a', 'A')"""
 O["translation_memory"] = f"""
 SELECT d.doc_id, d.lang, CASE WHEN d.lang = 'en' THEN d.text WHEN m.text IS NOT NULL THEN 'it''s ' || replace(d.text, 'a', 'A')
@@ -495,7 +500,7 @@ O["dense_ids"] = """
 SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS id FROM (SELECT min(doc_id) AS doc_id FROM documents GROUP BY text)"""
 O["batch_id_base"] = f"""
 WITH m AS (SELECT max(k) + {BASE} AS max_id FROM (SELECT max(o_orderkey) AS k FROM orders UNION ALL SELECT max(l_orderkey) FROM lineitem UNION ALL SELECT max(event_id) FROM events))
-SELECT max_id, max_id + 1 AS same_day, 20240116000000 AS next_day FROM m"""
+SELECT max_id, max_id + 1 AS same_day, greatest(20240116000000, max_id + 1) AS next_day, greatest(20240116000000, max_id + 4500001) AS after_large_day FROM m"""
 O["high_water_mark"] = """
 SELECT 'all' AS part, strftime(max(ts), '%Y-%m-%d') AS max_date FROM events UNION ALL SELECT 'none', '1999-01-01'
 UNION ALL SELECT event_type, strftime(max(ts), '%Y-%m-%d') FROM events GROUP BY event_type"""
@@ -506,7 +511,8 @@ kept AS (SELECT l_orderkey AS id, count(*) AS n_items, round(sum(l_quantity), 2)
 new AS (SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders WHERE o_orderdate::DATE > DATE '{X.HIGH_WATER}')
 SELECT coalesce(n.id, k.id) AS id, n.date, k.n_items, k.quantity FROM new n FULL JOIN kept k ON n.id = k.id"""
 O["forward_fill"] = """
-WITH u AS (SELECT l_orderkey * 100 + l_linenumber AS line, max(CASE WHEN l_linenumber = 2 THEN l_returnflag END) AS flag FROM lineitem GROUP BY 1)
+WITH u AS (SELECT l_orderkey * 100 + l_linenumber AS line, max(CASE WHEN l_linenumber = 2 THEN l_returnflag END) AS flag FROM lineitem GROUP BY 1
+  HAVING flag IS NOT NULL OR max(CASE WHEN l_linenumber <> 3 THEN l_linestatus END) IS NOT NULL)
 SELECT line, coalesce(last_value(flag IGNORE NULLS) OVER (ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'Unknown') AS flag FROM u"""
 O["stage_counts"] = f"""
 WITH RECURSIVE {screened('s', 'documents', 'doc_id', 'text')}
@@ -602,8 +608,8 @@ WITH fb AS (SELECT p_partkey AS id, p_type AS store, p_name FROM part), {find_ct
   f"(SELECT s.store, v.* EXCLUDE (x) FROM (SELECT DISTINCT p_type AS store FROM part) s, {values(_parts, 'x', 'keyword', 'pairs', 'pair_no', 'a', 'b')} v)")}
 SELECT * FROM found"""
 O["fallback_issue"] = """
-WITH u AS (SELECT DISTINCT p_type AS store, left(p_name, 5) || ' ' || string_split(p_name, ' ')[-1] AS keyword FROM part),
-l AS (SELECT p_type AS store, p_name AS listed, p_size::VARCHAR AS issue FROM part WHERE p_brand = 'Brand#1'),
+WITH u AS (SELECT DISTINCT p_type AS store, array_to_string(list_reverse(string_split(p_name, ' ')), ' ') AS keyword FROM part),
+l AS (SELECT p_type AS store, p_name AS listed, p_size::VARCHAR AS issue FROM part),
 w AS (SELECT store, keyword, ws[i] AS word, i FROM (SELECT store, keyword, ws, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT store, keyword, string_split(keyword, ' ') AS ws FROM u))),
 b AS (SELECT *, row_number() OVER (PARTITION BY store, keyword ORDER BY i DESC, listed) AS r FROM (
   SELECT DISTINCT w.store, w.keyword, w.i, l.listed FROM w JOIN l ON l.store = w.store AND contains(l.listed, w.word) WHERE w.word <> ''))
@@ -636,7 +642,7 @@ WITH {FOLDED}, {weight_ctes('c', 'folded', ['store', 'device'], 'id', 'copies')}
 SELECT store, device, a, b, round(similarity, 6) AS similarity FROM c_pairs"""
 O["clusters"] = f"WITH RECURSIVE {cluster_ctes()} SELECT store, device, id, cluster FROM clusters"
 CLUSTERED = "ct AS (SELECT fb.*, c.cluster FROM fb JOIN clusters c USING (id))"
-O["cluster_summary"] = summary_sql(f"WITH RECURSIVE {cluster_ctes()}, {CLUSTERED}", "ct", "cluster", 600)
+O["cluster_summary"] = summary_sql(f"WITH RECURSIVE {cluster_ctes()}, {CLUSTERED}", "ct", "cluster", 80)
 O["group_summary"] = summary_sql(f"WITH {FB}", "fb", "store", 80)
 
 
@@ -665,7 +671,7 @@ def merged_ctes():
     nt AS (SELECT store, device, id, list_filter({terms('translated')}, lambda t: length(t) >= 2) AS bag, {terms('translated')} AS ts FROM fb),
     used AS (SELECT {g}, term, count(*) AS n FROM (SELECT {g}, unnest(ts) AS term FROM nt) WHERE length(term) >= 3 GROUP BY {g}, term HAVING count(*) >= 4),
     raw AS (SELECT {g}, translated AS text FROM fb),
-    meant AS (SELECT {g}, term, n, left(lower(word), 3) AS sense FROM used JOIN ({usual_sql('raw', ['store', 'device'])}) USING ({g}, term)),
+    meant AS (SELECT {g}, term, n, array_to_string(list_sort(string_split(lower(word), '')), '') AS sense FROM used JOIN ({usual_sql('raw', ['store', 'device'])}) USING ({g}, term)),
     heads AS (SELECT *, first_value(term) OVER (PARTITION BY {g}, sense ORDER BY n DESC, term) AS head FROM meant),
     more AS (
       SELECT id, list_sort(list(head)) AS more FROM (SELECT DISTINCT {g}, id, term FROM (SELECT {g}, id, unnest(bag) AS term FROM nt))
@@ -706,12 +712,12 @@ O["order_report"] = """
 SELECT o_orderkey AS id, o_orderstatus, coalesce(string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag), '') AS components,
   coalesce(string_agg(DISTINCT l_linestatus, ', ' ORDER BY l_linestatus), '') AS issues, cast(count(DISTINCT l_returnflag) AS INT) AS n_components
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2"""
-O["id_lookup"] = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = (SELECT max(l_orderkey) FROM lineitem)"
+O["id_lookup"] = "SELECT doc_id::VARCHAR AS id, quality::VARCHAR AS key_issue FROM labels WHERE doc_id = (SELECT max(doc_id) FROM labels)"
 O["id_range"] = "SELECT min(l_orderkey) AS min_id, max(l_orderkey) AS max_id FROM lineitem"
 O["component_counts"] = f"""
 WITH RECURSIVE {screened('s', 'documents', 'doc_id', 'text')},
 kept AS (SELECT text, min(doc_id) AS id FROM s WHERE NOT spam GROUP BY text),
 fb AS (SELECT k.id, d.lang AS store, k.text AS translated FROM kept k JOIN documents d ON d.doc_id = k.id),
 {find_ctes('found', 'fb', ['id'], 'translated', COMPONENT_WORDS)}
-SELECT store, component, count(DISTINCT id) AS reviews FROM found JOIN {values(sorted({c[:3] for c in COMPONENTS}), 'store', 'keyword', 'component')} c USING (store, keyword)
+SELECT store, component, count(DISTINCT id) AS reviews FROM found JOIN {values(sorted({c[:3] for c in COMPONENTS_AND_SIDES}), 'store', 'keyword', 'component')} c USING (store, keyword)
 GROUP BY store, component"""

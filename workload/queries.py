@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +12,7 @@ from murmur.functions import agent, cleaning, text as T, values as V
 from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
 from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
 from murmur.plans import incremental as I, pipeline, report as RP
-from murmur.session import materialize, scratch_dir, spread, tune
+from murmur.session import materialize, scratch_path, spread, tune
 from murmur.sources import dictionaries as D, feedback as FB, tables as TB
 from workload import fixtures as X_
 
@@ -201,11 +200,16 @@ def normalize_union(spark, folder):
 
 
 def read_feedback_files(spark, folder):
-    """The same two exports, written as CSV files and read as a folder."""
-    root = f"{scratch_dir(spark)}/input-{uuid.uuid4().hex}"
-    for name, df in (("survey", _survey(spark, folder)), ("reviews", _store_reviews(spark, folder))):
-        df.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{root}/{name}")
-    return _normalized(FB.read_feedback(spark, root))
+    """The same two exports, written as CSV files and read as a folder: both layouts in one
+    sub-folder, one of them with its columns in another order in some files."""
+    root = scratch_path(spark, "input")
+    survey, reviews = _survey(spark, folder), _store_reviews(spark, folder)
+    odd = F.pmod(F.xxhash64(*survey.columns), F.lit(2)) == 1
+    turned = survey.filter(odd).select(*reversed(survey.columns))
+    for df in (survey.filter(~odd), turned, reviews):
+        writer = df.write.mode("append").option("header", True).option("quoteAll", True).option("escape", '"')
+        writer.csv(f"{root}/mixed")
+    return _normalized(FB.read_feedback(spark, root).drop("line"))
 
 
 def source_kind(spark, folder):
@@ -241,14 +245,14 @@ def _part_categories(spark, folder):
 
 def dictionary_scan(spark, folder):
     """A category dictionary file: read, split into keywords."""
-    path = f"{scratch_dir(spark)}/dictionary-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "dictionary")
     rows = _part_categories(spark, folder).select("store", "tier", "feature", "component", "keywords")
     rows.write.option("header", True).option("quoteAll", True).csv(path)
     return D.listed_keywords(D.read_categories(spark, path), "store", "feature", "component")
 
 
 def issue_dictionary_scan(spark, folder):
-    path = f"{scratch_dir(spark)}/issues-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "issues")
     rows = _part_categories(spark, folder).select("store", F.col("component").alias("issue"), "keywords")
     rows.write.option("header", True).option("quoteAll", True).csv(path)
     return D.listed_keywords(D.read_issues(spark, path), "store", "issue")
@@ -256,7 +260,7 @@ def issue_dictionary_scan(spark, folder):
 
 def word_list(spark, folder):
     """A word list file with extras, in normal form."""
-    path = f"{scratch_dir(spark)}/words-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "words")
     D.write_words(table(spark, folder, "part").select("p_name"), path)
     return D.read_words(spark, path, extra=["Plates", "please"])
 
@@ -292,14 +296,14 @@ def _sink_feedback(spark, folder):
 def sink_rows(spark, folder):
     base = int(X_.TODAY.replace("-", "") + "000000")
     rows = TB.review_rows(_sink_feedback(spark, folder), base)
-    return rows.withColumn("us_date", F.date_format("review_date", "MM-dd-yyyy")).withColumn(
-        "review_date", F.date_format("review_date", "yyyy-MM-dd")
+    return rows.withColumn("us_date", V.date_text(F.col("review_date"), american=True)).withColumn(
+        "review_date", V.date_text(F.col("review_date"))
     )
 
 
 def persisted_roundtrip(spark, folder):
     """Create, append twice (once an empty batch), clear one table, read back."""
-    tables = TB.Tables(spark, f"{scratch_dir(spark)}/tables-{uuid.uuid4().hex}")
+    tables = TB.Tables(spark, scratch_path(spark, "tables"))
     tables.create()
     rows = TB.review_rows(_sink_feedback(spark, folder), 0)
     tables.append("reviews", rows)
@@ -318,19 +322,21 @@ def persisted_roundtrip(spark, folder):
 
 
 def incremental_load(spark, folder):
-    """Two loads of the same feedback on one day: the second adds nothing old."""
-    tables = TB.Tables(spark, f"{scratch_dir(spark)}/tables-{uuid.uuid4().hex}")
-    feedback = _sink_feedback(spark, folder)
+    """Loads of the same feedback on one day, some of it without a date; the first is
+    repeated under its name. The second adds nothing old."""
+    tables = TB.Tables(spark, scratch_path(spark, "tables"))
+    undated = F.col("id") % 7 == 3
+    feedback = _sink_feedback(spark, folder).withColumn("date", F.when(~undated, F.col("date")))
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("string").alias("issue"))
     none = labels.select("id", F.lit("f").alias("feature"), F.lit("c").alias("component"), F.array("issue").alias("actions"))
     day = datetime.date.fromisoformat(X_.TODAY)
-    early = feedback.filter(F.col("date") < F.lit(day))
-    I.load(tables, early, none.join(early.select("id"), "id", "left_semi"), labels.join(early.select("id"), "id", "left_semi"), day)
-    I.load(tables, feedback, none, labels, day)
+    early = feedback.filter(F.col("id") % 30 < 14)
+    for rows, batch in ((early, "first"), (early, "first"), (feedback, "second")):
+        I.load(tables, rows, none, labels, day, batch)
     counts = [
         tables.read(n).agg(F.count("*").alias("rows"), F.min("id").alias("low"), F.max("id").alias("high")).select(
             F.lit(n).alias("name"), "rows", "low", "high")
-        for n in ("reviews", "categorization", "key_issue")
+        for n in ("reviews", "categorization", "key_issue", "undated")
     ]
     return FB.union(counts)
 
@@ -378,6 +384,8 @@ def batch_id_base(spark, folder):
         "max_id",
         I.batch_base(F.col("max_id"), F.lit(datetime.date.fromisoformat(X_.TODAY))).alias("same_day"),
         I.batch_base(F.col("max_id"), F.lit(datetime.date(2024, 1, 16))).alias("next_day"),
+        # After a day with more than a million rows the next one starts behind it.
+        I.batch_base(F.col("max_id") + 4_500_000, F.lit(datetime.date(2024, 1, 16))).alias("after_large_day"),
     )
 
 
@@ -402,19 +410,20 @@ def incremental_filter(spark, folder):
 
 
 def forward_fill(spark, folder):
-    """A listing that names the order status on an order's first line only."""
+    """A listing that names the flag on an order's second line only; its third is empty."""
     lines = table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line"),
         F.when(F.col("l_linenumber") == 2, F.col("l_returnflag")).alias("flag"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_linestatus")).alias("status"),
     )
-    unique = lines.groupBy("line").agg(F.max("flag").alias("flag"))
-    return R.forward_fill(unique, "line", "flag", block=100_000)
+    unique = lines.groupBy("line").agg(F.max("flag").alias("flag"), F.max("status").alias("status"))
+    return R.fill_listing(unique, "line", "flag", block=100_000).select("line", "flag")
 
 
 def stage_counts(spark, folder):
-    raw = documents(spark, folder, "doc_id", "text")
-    clean = R.spam_filter(raw, "text")
-    return R.stage_counts({"read": raw, "cleaned": clean, "distinct": R.first_copies(clean, "text", "doc_id")})
+    """Rows read, cleaned and distinct, counted while the stages run."""
+    stages = [("cleaned", lambda df: R.spam_filter(df, "text")), ("distinct", lambda df: R.first_copies(df, "text", "doc_id"))]
+    return R.observed_counts(documents(spark, folder, "doc_id", "text"), stages)[1]
 
 
 def distinct_labels(spark, folder):
@@ -537,10 +546,11 @@ def find_in_parts(spark, folder):
 
 
 def fallback_issue(spark, folder):
-    """Part names that are looked up among the names of other brands."""
+    """Part names with their words turned round, looked up among the names of all brands."""
     part = table(spark, folder, "part")
-    unlisted = part.select(F.col("p_type").alias("store"), F.concat(F.substring("p_name", 1, 5), F.lit(" "), F.substring_index("p_name", " ", -1)).alias("keyword")).distinct()
-    listed = part.filter(F.col("p_brand") == "Brand#1").select(
+    turned = F.array_join(F.reverse(F.split("p_name", " ")), " ")
+    unlisted = part.select(F.col("p_type").alias("store"), turned.alias("keyword")).distinct()
+    listed = part.select(
         F.col("p_type").alias("store"), F.col("p_name").alias("keyword"), F.col("p_size").cast("string").alias("issue")
     )
     return M.unlisted_issue(unlisted, listed)
@@ -567,10 +577,10 @@ def keyword_context(spark, folder):
         "term", T.normal_form(F.col("keyword"))
     )
     targets = words.groupBy("store").agg(F.collect_set("term").alias("targets"))
-    docs = as_feedback(spark, folder).join(J.small_side(targets), "store")
+    docs = as_feedback(spark, folder).join(targets, "store")
     hits = docs.select("id", "store", F.posexplode(T.contexts(F.col("translated"), F.col("targets"))).alias("pos", "hit"))
     return hits.select("id", "store", "pos", "hit.term", "hit.context").join(
-        J.small_side(words), ["store", "term"]
+        words, ["store", "term"]
     ).select("id", "keyword", "pos", "context")
 
 
@@ -643,7 +653,7 @@ def _clustered(spark, folder):
 
 
 def cluster_summary(spark, folder):
-    return S.summaries(_clustered(spark, folder), "translated", "id", ["cluster"], longest=600)
+    return S.summaries(_clustered(spark, folder), "translated", "id", ["cluster"])
 
 
 def group_summary(spark, folder):
@@ -663,10 +673,11 @@ def merged_words(spark, folder):
 
 
 def _document_senses(spark, folder):
-    """Words of the documents, with their first three letters as their sense."""
+    """Words of the documents, with their letters in order as their sense."""
     words = documents(spark, folder, "text").select(F.explode(T.words(F.col("text"))).alias("w"))
+    letters = F.array_join(F.array_sort(F.split("lemma", "")), "")
     return words.select(F.lower("w").alias("lemma")).distinct().select(
-        "lemma", F.substring("lemma", 1, 3).alias("synset_id"), F.lit(1).alias("rank")
+        "lemma", letters.alias("synset_id"), F.lit(1).alias("rank")
     )
 
 
@@ -706,10 +717,12 @@ def order_report(spark, folder):
 
 
 def id_lookup(spark, folder):
-    """A point lookup: the items of the last order."""
-    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    last = RP.id_range(items, "l_orderkey").first()["max_id"]
-    return items.filter(F.col("l_orderkey") == last)
+    """A point lookup in a persisted table: the issues of the last labelled feedback."""
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("string").alias("issue"))
+    tables = TB.Tables(spark, scratch_path(spark, "tables"))
+    tables.create()
+    tables.append("key_issue", TB.issue_rows(labels, 0))
+    return tables.find("key_issue", str(RP.id_range(labels).first()["max_id"]))
 
 
 def id_range(spark, folder):
@@ -719,12 +732,12 @@ def id_range(spark, folder):
 def component_counts(spark, folder):
     """Clean and distinct feedback per component: the flagship."""
     clean = R.spam_filter(as_feedback(spark, folder))
-    distinct = R.first_copies(clean, "translated", "id")
+    distinct = R.first_copies(materialize(clean), "translated", "id")
     table_ = J.settled(X.component_keywords(categories(spark)).select("store", "keyword", "component").distinct())
     pairs = M.keyword_pairs(table_.select("store", "keyword").distinct())
     found = M.find_words(distinct, pairs, "translated", ["id"], X_.STOP)
     return (
-        found.join(J.small_side(table_), ["store", "keyword"])
+        found.join(M.with_sides(table_), ["store", "keyword"])
         .select("id", "store", "component").distinct()
         .groupBy("store", "component").agg(F.count("*").alias("reviews"))
     )

@@ -10,7 +10,7 @@ from workload.queries import QUERIES
 
 def main(folder: str, names: list[str]) -> None:
     spark = get_spark("murmur-run", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.enabled": "false"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.murmur.readPartitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     for name in names or QUERIES:
         start = time.time()
