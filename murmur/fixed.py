@@ -32,6 +32,11 @@ PHONE = (
     rf"|{DIGIT}{{3}}{_GAP}{DIGIT}{{4}}"
 )
 
+# --- The same patterns in Python's notation, against which the tests hold Spark's.
+PYTHON_EMAIL = r"[\w\.-]+@[\w\.-]+"
+PYTHON_PHONE = r"(\d{3}[-\.\s]??\d{3}[-\.\s]??\d{4}|\(\d{3}\)\s*\d{3}[-\.\s]??\d{4}|\d{3}[-\.\s]??\d{4})"
+PYTHON_SENTENCE_END = r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=\.|\?)\s"
+
 # --- A blank after . or ? ends a sentence, except after "a.b." or "Mr.".
 SENTENCE_END = (
     rf"(?<![{WORD_CHARS}]\.[{WORD_CHARS}].)(?<![A-Z][a-z]\.)(?<=\.|\?){SPACE}"
@@ -52,11 +57,6 @@ VERSION_MARKERS = ["FxiOS/", "Firefox/"]
 # --- Source layouts: our column -> source column ("" = absent, list = concatenated).
 SURVEY = "SurveyGizmo"
 STORE_REVIEWS = "Appbot"
-_SURVEY_INTRO = "To help us understand your input, we need more information. "
-_SURVEY_OUTRO = (
-    " The content of your feedback will be public, so please be sure not to include"
-    " personal information such as email address, passwords or phone number."
-)
 SOURCE_COLUMNS = {
     SURVEY: {
         "date": "Date Submitted",
@@ -64,10 +64,8 @@ SOURCE_COLUMNS = {
         "device": "Extended User Agent",
         "rating": "",
         "original": [
-            _SURVEY_INTRO + "Please describe what you like." + _SURVEY_OUTRO,
-            _SURVEY_INTRO
-            + "Please describe your problem below and be as specific as you can."
-            + _SURVEY_OUTRO,
+            "To help us understand your input, we need more information. Please describe what you like. The content of your feedback will be public, so please be sure not to include personal information such as email address, passwords or phone number.",
+            "To help us understand your input, we need more information. Please describe your problem below and be as specific as you can. The content of your feedback will be public, so please be sure not to include personal information such as email address, passwords or phone number.",
         ],
         "country": "Country",
     },
