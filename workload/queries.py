@@ -204,8 +204,9 @@ def read_feedback_files(spark, folder):
     sub-folder, one of them with its columns in another order in some files."""
     root = scratch_path(spark, "input")
     survey, reviews = _survey(spark, folder), _store_reviews(spark, folder)
-    odd = F.pmod(F.xxhash64(*survey.columns), F.lit(2)) == 1
-    turned = survey.filter(odd).select(*reversed(survey.columns))
+    names = [f"`{c}`" for c in survey.columns]
+    odd = F.pmod(F.xxhash64(*names), F.lit(2)) == 1
+    turned = survey.filter(odd).select(*reversed(names))
     for df in (survey.filter(~odd), turned, reviews):
         writer = df.write.mode("append").option("header", True).option("quoteAll", True).option("escape", '"')
         writer.csv(f"{root}/mixed")
