@@ -22,6 +22,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -207,12 +208,18 @@ def labelled(snippets: list[str], n: int, seed: int) -> tuple[np.ndarray, np.nda
     return signs, tags
 
 
-def train(snippets: list[str], windows: int = 2500, rounds: int = 12, seed: int = 0) -> Tagger:
+@lru_cache(2)
+def _trained(snippets: tuple[str, ...], windows: int, rounds: int, seed: int) -> Tagger:
     tagger = Tagger.fresh(SIGNS, _allowed(), seed)
-    tagger.fit(*labelled(sorted(snippets), windows, seed), rounds, seed=seed)
+    tagger.fit(*labelled(list(snippets), windows, seed), rounds, seed=seed)
     return tagger
 
 
+def train(snippets: list[str], windows: int = 3500, rounds: int = 13, seed: int = 0) -> Tagger:
+    """A tagger from labelled windows made of ``snippets``; the same for the same ones."""
+    return _trained(tuple(sorted(snippets)), windows, rounds, seed)
+
+
 def _windows(text: str) -> list[int]:
     """Starts of overlapping windows over all signs near a digit or an at sign."""
     near = [m.span() for m in re.finditer(r"[0-9@]+", text)]
