@@ -36,9 +36,9 @@ from murmur.operators.clusters import components
 from murmur.session import materialize, materialize_measured
 
 RADIUS, WORDS, SEED = 3, 3, 42
-#: Of near-duplicates of texts: bits between candidates, words of a shingle, shingles of a
-#: sketch, least Jaccard similarity.
-WIDE, SHINGLE, SKETCH, SIMILARITY = 7, 5, 256, 0.8
+#: Of near-duplicates of texts: bits between the nearer halves of candidates and between the
+#: whole fingerprints, words of a shingle, shingles of a sketch, least Jaccard similarity.
+HALF, WIDE, SHINGLE, SKETCH, SIMILARITY = 3, 12, 5, 2048, 0.8
 BITS = 64
 CODE_BITS = 11
 SENT = "reducer long, bucket long, variants binary"
@@ -223,16 +223,16 @@ def likeness(a: bytes, b: bytes) -> float:
     return len(np.intersect1d(x, y, assume_unique=True)) / len(least)
 
 
-def half_links(distinct: DataFrame, count: int, radius: int = WIDE) -> DataFrame:
-    """(a, b): links of distinct fingerprints within ``radius`` bits, 7 at most.
+def half_links(distinct: DataFrame, count: int, ball: int = HALF, radius: int = WIDE) -> DataFrame:
+    """(a, b): links of distinct fingerprints within ``radius`` bits of which one half is
+    within ``ball``: all within 2 * ball + 1, and many beyond.
 
-    One half of two such fingerprints is within half the radius; so each half emits its
-    ball, and a variant carries its whole fingerprint. Those who meet may yet be far
-    apart in the other half. At each meeting point they gather around leaders within the
-    radius, so links stay linear in a group of any size.
+    Each half emits its ball, and a variant carries its whole fingerprint. Those who meet
+    may yet be far apart in the other half. At each meeting point they gather around
+    leaders within the radius, so links stay linear in a group of any size.
     """
     half = BITS // 2
-    even, odd = (f.astype(np.uint32) for f in flips(radius // 2, half))
+    even, odd = (f.astype(np.uint32) for f in flips(ball, half))
     masks = odd if len(odd) >= len(even) else even
     # One bit of a bucket says which half, the others begin the mixed variant.
     bits = max(CODE_BITS + 1, int(count * (len(even) + len(odd)) / IN_BUCKET).bit_length())
@@ -288,9 +288,9 @@ def half_links(distinct: DataFrame, count: int, radius: int = WIDE) -> DataFrame
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document, that of the least key, of each group of near-duplicates.
 
-    Candidates have word fingerprints within ``WIDE`` bits; a pair counts if the Jaccard
-    similarity of its shingles of ``SHINGLE`` words is at least ``similarity``, directly or
-    through others. Rows without a key can't be told apart and stay; rows with one key are
+    Candidates have word fingerprints within ``WIDE`` bits, one half within ``HALF``; a pair
+    counts if the Jaccard similarity of its shingles of ``SHINGLE`` words is at least
+    ``similarity``, directly or through others. Rows without a key can't be told apart and stay; rows with one key are
     one document, the least by its columns.
     """
     schema = "_key long, copy binary, fingerprint long, sketch binary"
