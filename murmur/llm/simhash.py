@@ -267,6 +267,9 @@ def half_links(distinct: DataFrame, count: int, ball: int = HALF, radius: int =
         own = (variant ^ masks[(rest >> np.uint64(half) & code_mask).astype(np.int64)]).astype(np.uint64)
         other = rest & low
         fp = own << np.uint64(half) | other if bucket & 1 else other << np.uint64(half) | own
+        # The least fingerprint leads, so that the many meeting points of a group name few leaders.
+        order = np.lexsort((fp, point))
+        fp, point = fp[order], point[order]
         a, b = [rest[:0]], [rest[:0]]
         while len(fp):
             first = np.flatnonzero(np.append(True, point[1:] != point[:-1]))
