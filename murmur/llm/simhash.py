@@ -37,8 +37,13 @@ from murmur.session import materialize, materialize_measured
 
 RADIUS, WORDS, SEED = 3, 3, 42
 #: Of near-duplicates of texts: bits between the nearer halves of candidates and between the
-#: whole fingerprints, words of a shingle, shingles of a sketch, least Jaccard similarity.
-HALF, WIDE, SHINGLE, SKETCH, SIMILARITY = 3, 12, 5, 2048, 0.8
+#: whole fingerprints, words of a shingle, least Jaccard similarity.
+HALF, WIDE, SHINGLE, SIMILARITY = 3, 12, 5, 0.8
+#: Texts that tell common shingles, how many of those are known at most, texts with one common
+#: shingle that meet at once, and bits of a shingle that name its reducer at least.
+TOLD_BY, COMMON, IN_BLOCK, LEAST_BITS = 8192, 1 << 20, 1 << 13, 10
+#: A shingle in a text's prefix: its place there, the text's number of shingles, key and group.
+MET = np.dtype([("token", "<u4"), ("n", "<u4"), ("place", "<u4"), ("key", "<i8"), ("root", "<i8")])
 BITS = 64
 CODE_BITS = 11
 SENT = "reducer long, bucket long, variants binary"
@@ -187,11 +192,11 @@ def _majority(items: list[bytes], seed: int = SEED) -> tuple[np.ndarray, np.ndar
 
 
 def features(text: str) -> tuple[bytes, int, bytes]:
-    """(hash of the words, fingerprint, sketch) of a text for ``drop_near_duplicates``.
+    """(hash of the words, fingerprint, shingles) of a text for ``drop_near_duplicates``.
 
     The fingerprint is over distinct words, which count twice, and distinct pairs of
     words: a changed word changes few of them, while unrelated texts share little. The
-    sketch has the ``SKETCH`` least hashes of distinct shingles of ``SHINGLE`` words.
+    shingles are the hashes of all distinct runs of ``SHINGLE`` words, in order.
     """
     found = text.encode().lower().split()
     whole = b" ".join(found)
@@ -205,22 +210,16 @@ def features(text: str) -> tuple[bytes, int, bytes]:
     bits = np.packbits(2 * (2 * one + two) > 2 * len(words) + len(pairs), bitorder="little")
     n = max(1, len(found) - SHINGLE + 1)
     shingles = np.unique(np.array([xxhash.xxh32_intdigest(b" ".join(found[i : i + SHINGLE])) for i in range(n)], np.uint32))
-    return copy, int(bits.view("<i8")[0]), shingles[:SKETCH].tobytes()
+    return copy, int(bits.view("<i8")[0]), shingles.tobytes()
 
 
 def likeness(a: bytes, b: bytes) -> float:
-    """Jaccard similarity from two sketches; exact if both hold all their shingles."""
+    """Jaccard similarity of two texts from all their shingles."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
     if not len(x) or not len(y):
         return float(len(x) == len(y))
-    if len(x) < SKETCH and len(y) < SKETCH:
-        least = np.union1d(x, y)
-    else:
-        # Of the union only the least are known: as many as the shorter full sketch tells.
-        top = min(s[-1] for s in (x, y) if len(s) == SKETCH)
-        x, y = x[x <= top], y[y <= top]
-        least = np.union1d(x, y)
-    return len(np.intersect1d(x, y, assume_unique=True)) / len(least)
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared / (len(x) + len(y) - shared)
 
 
 def half_links(distinct: DataFrame, count: int, ball: int = HALF, radius: int = WIDE) -> DataFrame:
@@ -288,12 +287,131 @@ def half_links(distinct: DataFrame, count: int, ball: int = HALF, radius: int =
     return _met(sent, meet)
 
 
+def common_shingles(rows: DataFrame, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, texts that have each, as far as some texts tell), by shingle.
+
+    Only the order in which ``shared_links`` takes shingles follows from it, and any order
+    of all shingles finds the same pairs.
+    """
+    share = max(1, -(-count // TOLD_BY))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = [np.frombuffer(x, np.uint32) for x in batch.column("sketch").to_pylist()]
+            token, n = np.unique(np.concatenate([*every, np.zeros(0, np.uint32)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(n)], ["token", "n"])
+
+    some = rows.filter(F.pmod(F.xxhash64("copy"), F.lit(share)) == 0).dropDuplicates(["copy"]).select("sketch")
+    counts = small_batches(some).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = counts.filter("n > 1").orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
+    token, n = found.column("token").to_numpy(), found.column("n").to_numpy()
+    order = np.argsort(token)
+    return token[order].astype(np.uint32), n[order] * share
+
+
+def shared_links(rows: DataFrame, grouped: DataFrame, count: int, similarity: float) -> DataFrame:
+    """(a, b): all pairs of texts in different groups that may reach ``similarity``.
+
+    ``rows`` is (_key, copy, sketch), ``grouped`` (copy, rep, root). Taking all shingles in
+    one order, common ones last, two texts that reach it share one among the first
+    (1 - similarity) n + 1 of each, and the first that they share leaves enough behind it in
+    both. So texts meet at those shingles, and no pair is missed. Texts of one group are
+    linked already. Those with a common shingle meet by blocks, each two blocks apart.
+    """
+    common, many = common_shingles(rows, count)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, firsts = [], []
+            for sketch in batch.column("sketch").to_pylist():
+                token = np.frombuffer(sketch, np.uint32)
+                sizes.append(len(token))
+                n = len(token) - int(np.ceil(similarity * len(token) - 1e-9)) + 1
+                firsts.append(token[np.lexsort((token, told(token)))[:n]].tobytes())
+            columns = [batch.column("_key"), batch.column("copy"), pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["_key", "copy", "n", "firsts"])
+
+    def told(token: np.ndarray) -> np.ndarray:
+        if not len(common):
+            return np.zeros(len(token), np.int64)
+        at = np.minimum(np.searchsorted(common, token), len(common) - 1)
+        return np.where(common[at] == token, many[at], 0)
+
+    def met_by(token: np.ndarray, n: int, key: int, root: int) -> np.ndarray:
+        made = np.zeros(len(token), MET)
+        made["token"], made["n"], made["place"], made["key"], made["root"] = token, n, np.arange(len(token)), key, root
+        blocks = told(token) // IN_BLOCK + 1
+        if (blocks == 1).all():
+            return made
+        out = [made[blocks == 1]]
+        for i in np.flatnonzero(blocks > 1):
+            k = int(blocks[i])
+            own, other = (key ^ key >> 17) % k, np.arange(k)
+            copies = np.repeat(made[i : i + 1], k)
+            two = np.minimum(own, other) * k + np.maximum(own, other)
+            copies["token"] ^= ((two + 1).astype(np.uint64) * MIX >> np.uint64(32)).astype(np.uint32)
+            out.append(copies)
+        return np.concatenate(out)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held = [], 0
+        for batch in batches:
+            for n, firsts, key, root in zip(*(batch.column(c).to_pylist() for c in ("n", "firsts", "_key", "root"))):
+                made.append(met_by(np.frombuffer(firsts, np.uint32), n, key, root))
+                held += len(made[-1])
+                if held >= IN_BUCKET:
+                    yield rows_of(np.concatenate(made))
+                    made, held = [], 0
+        if held:
+            yield rows_of(np.concatenate(made))
+
+    def rows_of(made: np.ndarray) -> pa.RecordBatch:
+        made = made[np.argsort(made["token"], kind="stable")]
+        which, first = np.unique(made["token"] >> np.uint32(32 - bits), return_index=True)
+        packed = [x.tobytes() for x in np.split(made, first[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int64)), pa.array(packed, pa.binary())], ["reducer", "met"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        every = np.frombuffer(b"".join(group.column("met").to_pylist()), MET)
+        every = every[np.argsort(every["token"], kind="stable")]
+        first = np.flatnonzero(np.append(True, every["token"][1:] != every["token"][:-1]))
+        size = np.diff(np.append(first, len(every)))
+        pairs = [np.zeros((2, 0), np.int64)]
+        for at, m in zip(first[size > 1].tolist(), size[size > 1].tolist()):
+            own = every[at : at + m]
+            if (own["root"] == own["root"][0]).all():
+                continue
+            key, root, n = own["key"], own["root"], own["n"].astype(np.int64)
+            left = n - own["place"]
+            step = max(1, (1 << 20) // m)
+            for i in range(0, m, step):
+                x = slice(i, i + step)
+                enough = (1 + similarity) * np.minimum(left[x, None], left[None, :]) >= similarity * (n[x, None] + n[None, :]) - 1e-6
+                a, b = np.nonzero(enough & (root[x, None] != root[None, :]) & (key[x, None] < key[None, :]))
+                if len(a):
+                    pairs.append(np.stack([key[x][a], key[b]]))
+            if sum(p.shape[1] for p in pairs) > 1 << 20:
+                pairs = [np.unique(np.concatenate(pairs, axis=1), axis=1)]
+        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return pa.table({"a": found[0], "b": found[1]})
+
+    firsts = small_batches(rows).select("_key", "copy", "sketch").mapInArrow(prefix, "_key long, copy binary, n long, firsts binary")
+    texts = grouped.select("copy", F.col("rep").alias("_key"), "root")
+    one, seen = materialize_measured(
+        firsts.join(texts, ["copy", "_key"]).dropDuplicates(["copy", "_key"]).select("_key", "root", "n", "firsts"),
+        n=F.sum(F.length("firsts")),
+    )
+    bits = max(LEAST_BITS, ((seen["n"] or 0) // 4 // IN_BUCKET).bit_length())
+    return one.mapInArrow(emit, "reducer long, met binary").groupBy("reducer").applyInArrow(meet, "a long, b long")
+
+
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document, that of the least key, of each group of near-duplicates.
 
-    Candidates have word fingerprints within ``WIDE`` bits, one half within ``HALF``; a pair
-    counts if the Jaccard similarity of its shingles of ``SHINGLE`` words is at least
-    ``similarity``, directly or through others. Rows without a key can't be told apart and stay; rows with one key are
+    A pair counts if the Jaccard similarity of its shingles of ``SHINGLE`` words is at least
+    ``similarity``, directly or through others. Word fingerprints within ``WIDE`` bits, one
+    half within ``HALF``, link most of a group to few of its texts; then all texts of
+    different groups that may be similar meet by their shingles, so no pair is missed. Rows without a key can't be told apart and stay; rows with one key are
     one document, the least by its columns.
     """
     schema = "_key long, copy binary, fingerprint long, sketch binary"
@@ -314,10 +432,6 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     lead = lambda c: prints.select(F.col("fingerprint").alias(c), F.col("lead").alias(f"_{c}"))
     across = links.join(lead("a"), "a").join(lead("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     same = texts.join(prints, "fingerprint").filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-    pairs = materialize(across.unionByName(same))
-    ids = pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct()
-    sketch = materialize(rows.select("_key", "sketch").join(ids, "_key", "left_semi").dropDuplicates(["_key"]))
-    of = lambda c: sketch.select(F.col("_key").alias(c), F.col("sketch").alias(f"_{c}"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,8 +439,17 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
             kept = pa.array([likeness(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
             yield batch.select(["a", "b"]).filter(kept)
 
-    near = materialize(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(verify, "a long, b long"))
-    roots = components(near)
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs)
+        ids = pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct()
+        sketch = materialize(rows.select("_key", "sketch").join(ids, "_key", "left_semi").dropDuplicates(["_key"]))
+        of = lambda c: sketch.select(F.col("_key").alias(c), F.col("sketch").alias(f"_{c}"))
+        return materialize(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(verify, "a long, b long"))
+
+    near = verified(across.unionByName(same))
+    grouped = texts.join(components(near), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.coalesce("root", "rep").alias("root"))
+    beyond = verified(shared_links(rows, materialize(grouped), seen["n"], similarity).distinct())
+    roots = components(near.unionByName(beyond))
     # All but the least of a group go: copies of a text, and texts linked to a lesser one.
     lesser = texts.join(roots.filter("node != root"), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.col("node").isNotNull().alias("linked"))
     gone = rows.select("_key", "copy").join(lesser, "copy").filter("linked OR _key != rep").select("_key").distinct()

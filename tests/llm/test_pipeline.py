@@ -121,3 +121,24 @@ def test_a_group_of_thousands_has_few_links(spark):
     assert simhash.half_links(df, len(prints)).distinct().count() < 150 * len(prints)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert [r.doc_id for r in simhash.drop_near_duplicates(docs).collect()] == [0]
+
+
+def kept_of(spark, docs):
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    return {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
+
+
+def test_a_dense_group_is_compared_beyond_its_leaders(spark):
+    """Variants of a few templates, about half of them too far from the template's leader."""
+    rng = random.Random(21)
+    docs = {}
+    for _ in range(3):
+        words = [f"w{rng.randrange(4000)}" for _ in range(200)]
+        for _ in range(70):
+            own = list(words)
+            for at in rng.sample(range(200), rng.randint(1, 5)):
+                own[at] = f"x{rng.randrange(10**6)}"
+            docs[len(docs)] = " ".join(own)
+    want = survivors(docs)
+    assert 3 < len(want) < 0.8 * len(docs)
+    assert kept_of(spark, docs) == want
