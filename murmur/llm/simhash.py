@@ -40,8 +40,9 @@ RADIUS, WORDS, SEED = 3, 3, 42
 #: whole fingerprints, words of a shingle, least Jaccard similarity.
 HALF, WIDE, SHINGLE, SIMILARITY = 3, 12, 5, 0.8
 #: Texts that tell common shingles, how many of those are known at most, texts with one common
-#: shingle that meet at once, and bits of a shingle that name its reducer at least.
-TOLD_BY, COMMON, IN_BLOCK, LEAST_BITS = 8192, 1 << 20, 1 << 13, 10
+#: shingle that meet at once, bits of a shingle that name its reducer at least, and those that
+#: name its place among the parities of a text's shingles.
+TOLD_BY, COMMON, IN_BLOCK, LEAST_BITS, PARITY_BITS = 8192, 1 << 20, 1 << 13, 10, 9
 #: A shingle in a text's prefix: its place there, the text's number of shingles, key and group.
 MET = np.dtype([("token", "<u4"), ("n", "<u4"), ("place", "<u4"), ("key", "<i8"), ("root", "<i8")])
 BITS = 64
@@ -317,19 +318,23 @@ def shared_links(rows: DataFrame, grouped: DataFrame, count: int, similarity: fl
     (1 - similarity) n + 1 of each, and the first that they share leaves enough behind it in
     both. So texts meet at those shingles, and no pair is missed. Texts of one group are
     linked already. Those with a common shingle meet by blocks, each two blocks apart.
+    Each shingle turns one of a text's parities, so as many shingles differ at least as
+    parities do; only pairs that may still reach it are returned.
     """
     common, many = common_shingles(rows, count)
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts = [], []
+            sizes, firsts, parities = [], [], []
             for sketch in batch.column("sketch").to_pylist():
                 token = np.frombuffer(sketch, np.uint32)
                 sizes.append(len(token))
                 n = len(token) - int(np.ceil(similarity * len(token) - 1e-9)) + 1
                 firsts.append(token[np.lexsort((token, told(token)))[:n]].tobytes())
-            columns = [batch.column("_key"), batch.column("copy"), pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["_key", "copy", "n", "firsts"])
+                place = token * np.uint32(_ODD & 0xFFFFFFFF) >> np.uint32(32 - PARITY_BITS)
+                parities.append(np.packbits(np.bincount(place, minlength=1 << PARITY_BITS) & 1).tobytes())
+            columns = [pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary()), pa.array(parities, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("copy"), *columns], ["_key", "copy", "n", "firsts", "parities"])
 
     def told(token: np.ndarray) -> np.ndarray:
         if not len(common):
@@ -395,14 +400,25 @@ def shared_links(rows: DataFrame, grouped: DataFrame, count: int, similarity: fl
         found = np.unique(np.concatenate(pairs, axis=1), axis=1)
         return pa.table({"a": found[0], "b": found[1]})
 
-    firsts = small_batches(rows).select("_key", "copy", "sketch").mapInArrow(prefix, "_key long, copy binary, n long, firsts binary")
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, (1 << PARITY_BITS) // 64) for c in ("_a", "_b"))
+            differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            near = (1 + similarity) * differ <= (1 - similarity) * batch.column("n").to_numpy() + 1e-6
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    firsts = small_batches(rows).select("_key", "copy", "sketch").mapInArrow(prefix, "_key long, copy binary, n long, firsts binary, parities binary")
     texts = grouped.select("copy", F.col("rep").alias("_key"), "root")
     one, seen = materialize_measured(
-        firsts.join(texts, ["copy", "_key"]).dropDuplicates(["copy", "_key"]).select("_key", "root", "n", "firsts"),
+        firsts.join(texts, ["copy", "_key"]).dropDuplicates(["copy", "_key"]).select("_key", "root", "n", "firsts", "parities"),
         n=F.sum(F.length("firsts")),
     )
     bits = max(LEAST_BITS, ((seen["n"] or 0) // 4 // IN_BUCKET).bit_length())
-    return one.mapInArrow(emit, "reducer long, met binary").groupBy("reducer").applyInArrow(meet, "a long, b long")
+    sent = one.select("_key", "root", "n", "firsts").mapInArrow(emit, "reducer long, met binary")
+    met = materialize(sent.groupBy("reducer").applyInArrow(meet, "a long, b long").distinct())
+    of = lambda c: one.select(F.col("_key").alias(c), F.col("n").alias(f"_n{c}"), F.col("parities").alias(f"_{c}"))
+    both = met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "_a", "_b", (F.col("_na") + F.col("_nb")).alias("n"))
+    return both.mapInArrow(may, "a long, b long")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -441,14 +457,15 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs)
-        ids = pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct()
+        # Written first, so that few of them are sent to the sketches instead.
+        ids = materialize(pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct())
         sketch = materialize(rows.select("_key", "sketch").join(ids, "_key", "left_semi").dropDuplicates(["_key"]))
         of = lambda c: sketch.select(F.col("_key").alias(c), F.col("sketch").alias(f"_{c}"))
         return materialize(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(verify, "a long, b long"))
 
     near = verified(across.unionByName(same))
     grouped = texts.join(components(near), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.coalesce("root", "rep").alias("root"))
-    beyond = verified(shared_links(rows, materialize(grouped), seen["n"], similarity).distinct())
+    beyond = verified(shared_links(rows, materialize(grouped), seen["n"], similarity))
     roots = components(near.unionByName(beyond))
     # All but the least of a group go: copies of a text, and texts linked to a lesser one.
     lesser = texts.join(roots.filter("node != root"), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.col("node").isNotNull().alias("linked"))

@@ -142,3 +142,17 @@ def test_a_dense_group_is_compared_beyond_its_leaders(spark):
     want = survivors(docs)
     assert 3 < len(want) < 0.8 * len(docs)
     assert kept_of(spark, docs) == want
+
+
+def test_short_near_copies_all_go(spark):
+    """Texts of 15 to 40 words with a word changed, added or cut at an end: none is missed."""
+    rng = random.Random(22)
+    docs = {}
+    for _ in range(400):
+        words = [f"w{rng.randrange(30000)}" for _ in range(rng.randint(15, 40))]
+        docs[len(docs)] = " ".join(words)
+        new = f"x{rng.randrange(10**6)}"
+        docs[len(docs)] = " ".join(rng.choice([words[1:], words[:-1], [new, *words], [*words, new], [new, *words[1:]], [*words[:-1], new]]))
+    want = survivors(docs)
+    assert len(want) < 0.55 * len(docs)
+    assert kept_of(spark, docs) == want
