@@ -156,3 +156,18 @@ def test_short_near_copies_all_go(spark):
     want = survivors(docs)
     assert len(want) < 0.55 * len(docs)
     assert kept_of(spark, docs) == want
+
+
+def test_long_texts_are_decided_on_all_their_shingles(spark):
+    """Texts of 6,000 words a little above and below the similarity."""
+    rng = random.Random(23)
+    docs = {}
+    for i in range(24):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(6000)]
+        docs[2 * i] = " ".join(words)
+        # Of n shingles c are replaced at the end: (n - c) / (n + c) is 0.8 at c = n / 9.
+        cut = 6000 // 9 + (15 if i % 2 else -15)
+        docs[2 * i + 1] = " ".join(words[:-cut] + [f"x{rng.randrange(10**6)}" for _ in range(cut)])
+    want = survivors(docs)
+    assert len(want) == 36
+    assert kept_of(spark, docs) == want
