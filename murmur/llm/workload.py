@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from murmur.llm import bpe, chat, langid, mih, packing, pii, pivots, secrets, sharding, simhash
+from murmur.llm import bpe, chat, langid, mih, packing, pieces, pii, pivots, secrets, sharding, simhash
 from murmur.llm.frames import table
 
 
@@ -51,11 +51,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_documents(table(spark, sf_dir, "documents"), bpe.public_path())
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_documents(table(spark, sf_dir, "documents"), pieces.public_path())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_neighbours, op2_chat_formatting, op3_packing, op4_products, op5_sharding, op6_pii, op7_secrets, op8_language,
-        op9_simhash, op10_bpe,
+        op9_simhash, op10_bpe, op11_sentencepiece,
     )
 }
 _ENDS = "/?s>|/?INST\\]|/?OUT\\]|/?ROLE\\]|\\|endoftext\\|>|\\|startoftext\\|>"

@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
