@@ -6,8 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from murmur.session import materialize
+
 #: Rows of one Arrow batch; with long texts a batch stays far below a worker's memory.
 BATCH_ROWS = 256
 
@@ -22,6 +25,22 @@ def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return df
 
 
+#: A row's place: its file and its number in it.
+FILE, ROW = "_placed_file", "_placed_row"
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """``df`` with the place of each row, which stays the same however often it is read.
+
+    Where ``df`` is no plain read of files, it is written first.
+    """
+    place = ["_metadata.file_path AS " + FILE, "_metadata.row_index AS " + ROW]
+    try:
+        return df.selectExpr("*", *place)
+    except AnalysisException:
+        return materialize(df).selectExpr("*", *place)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """A string column as Python strings; null is empty."""
     return [t or "" for t in column.to_pylist()]

@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur.llm.bpe import LETTER, _classes
-from murmur.llm.frames import by_size, small_batches, texts_of
+from murmur.llm.frames import by_size, ranges, small_batches, texts_of
 
 BINS = 1 << 12
 SIZES = (2, 3)
@@ -122,15 +123,44 @@ def _cluster(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centres
 
 
-def fit(languages: list[str], counts: np.ndarray) -> Centroids:
-    """Centroids from the counts of labelled texts."""
+@dataclass
+class Counts:
+    """The counts of texts, only those above 0: row i has those of ``bounds[i]`` and on."""
+
+    bounds: np.ndarray
+    bins: np.ndarray
+    counts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        """(rows, BINS): the counts of some rows, which should be few."""
+        sizes = self.bounds[rows + 1] - self.bounds[rows]
+        at = ranges(self.bounds[rows], sizes)
+        out = np.zeros((len(rows), BINS), np.int64)
+        out[np.repeat(np.arange(len(rows)), sizes), self.bins[at]] = self.counts[at]
+        return out
+
+
+def fit(languages: list[str], counts: Counts) -> Centroids:
+    """Centroids from the counts of labelled texts, of which one language at a time is held
+    as whole vectors."""
     names = sorted(set(languages))
+    if not names:
+        return Centroids([], np.zeros(0, np.int64), np.zeros((0, BINS)), np.ones(BINS), np.zeros(1))
     label = np.array([names.index(x) for x in languages], np.int64)
-    held = (counts > 0).sum(0)
+    held = np.bincount(counts.bins, minlength=BINS)
     weight = (np.log((1 + len(counts)) / (1 + held)) + 1).astype(np.float32)
     model = Centroids(names, np.zeros(0, np.int64), np.zeros((0, BINS), np.float32), weight, np.zeros(1))
-    rows = model.vectors(counts)
-    centres = [_cluster(rows[label == i], CENTROIDS, i) for i in range(len(names))]
+
+    def vectors(rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), BINS), np.float32)
+        for i in range(0, len(rows), 256):
+            out[i : i + 256] = model.vectors(counts.dense(rows[i : i + 256]))
+        return out
+
+    centres = [_cluster(vectors(np.flatnonzero(label == i)), CENTROIDS, i) for i in range(len(names))]
     model.owner = np.repeat(np.arange(len(names)), [len(c) for c in centres])
     model.centres = np.vstack(centres).astype(np.float32)
     # What is usual at each length: whole texts, and thinned ones in place of short texts.
@@ -138,7 +168,7 @@ def fit(languages: list[str], counts: np.ndarray) -> Centroids:
     seen: dict[int, list[float]] = {}
     for share in (1, 4, 16, 64, 256):
         for i in range(0, len(counts), 256):
-            block = counts[i : i + 256]
+            block = counts.dense(np.arange(i, min(i + 256, len(counts))))
             thin = block if share == 1 else rng.binomial(block, 1 / share)
             like = (model.vectors(thin) @ model.centres.T).max(1)
             for n, x in zip(thin.sum(1).tolist(), like.tolist()):
@@ -164,7 +194,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(key).isNotNull())
     sizes = {r[lang]: r["n"] for r in labelled.groupBy(lang).agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return Centroids([], np.zeros(0, np.int64), np.zeros((0, BINS)), np.ones(BINS), np.zeros(1))
+        return fit([], Counts(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
     sample = min(sample, max(1, TOTAL // len(sizes)))
     span = 1 << 30
     share = F.create_map(*[F.lit(x) for lang_, n in sizes.items() for x in (lang_, min(span, span * sample // n))])
@@ -188,11 +218,12 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     found = small_batches(chosen).select(key, lang, text).mapInArrow(run, "key string, lang string, bins array<int>, counts array<long>")
     rows = found.toArrow().sort_by([("key", "ascending"), ("lang", "ascending")])
-    counts = np.zeros((rows.num_rows, BINS), np.int32)
-    for i, (b, c) in enumerate(zip(rows.column("bins"), rows.column("counts"))):
-        counts[i, b.values.to_numpy()] = c.values.to_numpy()
-    used = counts.any(1)
-    return fit([x for x, u in zip(rows.column("lang").to_pylist(), used) if u], counts[used])
+    rows = rows.filter(pc.greater(pc.list_value_length(rows.column("bins")), 0))
+    names = rows.column("lang").to_pylist()
+    bounds = np.append(0, np.cumsum(pc.list_value_length(rows.column("bins")).to_numpy(), dtype=np.int64))
+    values = [pc.list_flatten(rows.column(c)).to_numpy() for c in ("bins", "counts")]
+    del rows
+    return fit(names, Counts(bounds, *values))
 
 
 def identify(docs: DataFrame, model: Centroids, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -31,20 +31,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from murmur.llm.frames import small_batches, texts_of
+from murmur.llm.frames import FILE, ROW, placed, small_batches, texts_of
 from murmur.operators.clusters import components
 from murmur.session import materialize, materialize_measured
 
 RADIUS, WORDS, SEED = 3, 3, 42
-#: Of near-duplicates of texts: bits between the nearer halves of candidates and between the
-#: whole fingerprints, words of a shingle, least Jaccard similarity.
-HALF, WIDE, SHINGLE, SIMILARITY = 3, 12, 5, 0.8
-#: Texts that tell common shingles, how many of those are known at most, texts with one common
-#: shingle that meet at once, bits of a shingle that name its reducer at least, and those that
-#: name its place among the parities of a text's shingles.
-TOLD_BY, COMMON, IN_BLOCK, LEAST_BITS, PARITY_BITS = 8192, 1 << 20, 1 << 13, 10, 9
-#: A shingle in a text's prefix: its place there, the text's number of shingles, key and group.
-MET = np.dtype([("token", "<u4"), ("n", "<u4"), ("place", "<u4"), ("key", "<i8"), ("root", "<i8")])
 BITS = 64
 CODE_BITS = 11
 SENT = "reducer long, bucket long, variants binary"
@@ -182,302 +173,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return rows.join(materialize(of), "fingerprint").select(key, "fingerprint", "component_id")
 
 
-def _majority(items: list[bytes], seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(how many hashes have each bit, hashes) of items."""
-    counts, hashes = np.zeros(BITS, np.int64), []
-    for i in range(0, len(items), 8192):
-        hashed = np.array([xxhash.xxh64_intdigest(x, seed) for x in items[i : i + 8192]], "<u8")
-        counts += np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        hashes.append(hashed)
-    return counts, np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-
-
-def features(text: str) -> tuple[bytes, int, bytes]:
-    """(hash of the words, fingerprint, shingles) of a text for ``drop_near_duplicates``.
-
-    The fingerprint is over distinct words, which count twice, and distinct pairs of
-    words: a changed word changes few of them, while unrelated texts share little. The
-    shingles are the hashes of all distinct runs of ``SHINGLE`` words, in order.
-    """
-    found = text.encode().lower().split()
-    whole = b" ".join(found)
-    copy = xxhash.xxh128_digest(whole)
-    if not found:
-        return copy, 0, b""
-    words = list(set(found))
-    pairs = list({b" ".join(p) for p in zip(found, found[1:])})
-    one, _ = _majority(words)
-    two, _ = _majority(pairs)
-    bits = np.packbits(2 * (2 * one + two) > 2 * len(words) + len(pairs), bitorder="little")
-    n = max(1, len(found) - SHINGLE + 1)
-    shingles = np.unique(np.array([xxhash.xxh32_intdigest(b" ".join(found[i : i + SHINGLE])) for i in range(n)], np.uint32))
-    return copy, int(bits.view("<i8")[0]), shingles.tobytes()
-
-
-def likeness(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two texts from all their shingles."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    if not len(x) or not len(y):
-        return float(len(x) == len(y))
-    shared = len(np.intersect1d(x, y, assume_unique=True))
-    return shared / (len(x) + len(y) - shared)
-
-
-def half_links(distinct: DataFrame, count: int, ball: int = HALF, radius: int = WIDE) -> DataFrame:
-    """(a, b): links of distinct fingerprints within ``radius`` bits of which one half is
-    within ``ball``: all within 2 * ball + 1, and many beyond.
-
-    Each half emits its ball, and a variant carries its whole fingerprint. Those who meet
-    may yet be far apart in the other half. At each meeting point they gather around
-    leaders within the radius, so links stay linear in a group of any size.
-    """
-    half = BITS // 2
-    even, odd = (f.astype(np.uint32) for f in flips(ball, half))
-    masks = odd if len(odd) >= len(even) else even
-    # One bit of a bucket says which half, the others begin the mixed variant.
-    bits = max(CODE_BITS + 1, int(count * (len(even) + len(odd)) / IN_BUCKET).bit_length())
-    inside = np.uint32(half - bits + 1)
-    mix = np.uint32(_ODD & 0xFFFFFFFF)
-    unmix = np.uint32(pow(int(mix), -1, 1 << half))
-    kept = half - CODE_BITS
-    low, code_mask = np.uint64((1 << half) - 1), np.uint64((1 << CODE_BITS) - 1)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            every = batch.column("fingerprint").to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(every), CHUNK):
-                fp, buckets, rests = every[i : i + CHUNK], [], []
-                for part in range(2):
-                    own = (fp >> np.uint64(half * part)).astype(np.uint32)
-                    is_odd = np.bitwise_count(own) & 1 == 1
-                    for which, flip in ((~is_odd, even), (is_odd, odd)):
-                        mixed = (own[which][:, None] ^ flip[None, :]) * mix
-                        other = fp[which] >> np.uint64(half * (1 - part)) & low
-                        # What the bucket doesn't tell of the mixed variant, the flip, the other half.
-                        rest = (mixed & np.uint32((1 << kept) - 1)).astype(np.uint64) << np.uint64(half + CODE_BITS)
-                        rest |= np.arange(len(flip), dtype=np.uint64)[None, :] << np.uint64(half) | other[:, None]
-                        buckets.append(((mixed >> inside).astype(np.int64) << 1 | part).ravel())
-                        rests.append(rest.ravel())
-                yield _rows_of(np.concatenate(buckets), np.concatenate(rests))
-
-    def meet(bucket: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        point = rest >> np.uint64(half + CODE_BITS)
-        begin = np.uint32((bucket >> 1) << int(inside) >> kept << kept)
-        variant = (point.astype(np.uint32) | begin) * unmix
-        own = (variant ^ masks[(rest >> np.uint64(half) & code_mask).astype(np.int64)]).astype(np.uint64)
-        other = rest & low
-        fp = own << np.uint64(half) | other if bucket & 1 else other << np.uint64(half) | own
-        # The least fingerprint leads, so that the many meeting points of a group name few leaders.
-        order = np.lexsort((fp, point))
-        fp, point = fp[order], point[order]
-        a, b = [rest[:0]], [rest[:0]]
-        while len(fp):
-            first = np.flatnonzero(np.append(True, point[1:] != point[:-1]))
-            size = np.diff(np.append(first, len(fp)))
-            leader = np.repeat(fp[first], size)
-            near = np.bitwise_count(fp ^ leader) <= radius
-            linked = near & (fp != leader)
-            a.append(leader[linked])
-            b.append(fp[linked])
-            # Those who stay look for a leader among themselves.
-            left = ~near & np.repeat(size > 2, size)
-            fp, point = fp[left], point[left]
-        return np.concatenate(a), np.concatenate(b)
-
-    sent = small_batches(distinct, CHUNK).select("fingerprint").mapInArrow(emit, SENT)
-    return _met(sent, meet)
-
-
-def common_shingles(rows: DataFrame, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, texts that have each, as far as some texts tell), by shingle.
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group that ``near_duplicates`` links.
 
-    Only the order in which ``shared_links`` takes shingles follows from it, and any order
-    of all shingles finds the same pairs.
+    The row with the least key stays, one without a key only where all are; of equal keys
+    that with the least hash of all columns, then the first by place. Rows are told by their
+    place, so those that share a key, or have none, are decided each for itself.
     """
-    share = max(1, -(-count // TOLD_BY))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            every = [np.frombuffer(x, np.uint32) for x in batch.column("sketch").to_pylist()]
-            token, n = np.unique(np.concatenate([*every, np.zeros(0, np.uint32)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(n)], ["token", "n"])
-
-    some = rows.filter(F.pmod(F.xxhash64("copy"), F.lit(share)) == 0).dropDuplicates(["copy"]).select("sketch")
-    counts = small_batches(some).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    found = counts.filter("n > 1").orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
-    token, n = found.column("token").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(token)
-    return token[order].astype(np.uint32), n[order] * share
-
-
-def shared_links(rows: DataFrame, grouped: DataFrame, count: int, similarity: float) -> DataFrame:
-    """(a, b): all pairs of texts in different groups that may reach ``similarity``.
-
-    ``rows`` is (_key, copy, sketch), ``grouped`` (copy, rep, root). Taking all shingles in
-    one order, common ones last, two texts that reach it share one among the first
-    (1 - similarity) n + 1 of each, and the first that they share leaves enough behind it in
-    both. So texts meet at those shingles, and no pair is missed. Texts of one group are
-    linked already. Those with a common shingle meet by blocks, each two blocks apart.
-    Each shingle turns one of a text's parities, so as many shingles differ at least as
-    parities do; only pairs that may still reach it are returned.
-    """
-    common, many = common_shingles(rows, count)
-
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, firsts, parities = [], [], []
-            for sketch in batch.column("sketch").to_pylist():
-                token = np.frombuffer(sketch, np.uint32)
-                sizes.append(len(token))
-                n = len(token) - int(np.ceil(similarity * len(token) - 1e-9)) + 1
-                firsts.append(token[np.lexsort((token, told(token)))[:n]].tobytes())
-                place = token * np.uint32(_ODD & 0xFFFFFFFF) >> np.uint32(32 - PARITY_BITS)
-                parities.append(np.packbits(np.bincount(place, minlength=1 << PARITY_BITS) & 1).tobytes())
-            columns = [pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary()), pa.array(parities, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("copy"), *columns], ["_key", "copy", "n", "firsts", "parities"])
-
-    def told(token: np.ndarray) -> np.ndarray:
-        if not len(common):
-            return np.zeros(len(token), np.int64)
-        at = np.minimum(np.searchsorted(common, token), len(common) - 1)
-        return np.where(common[at] == token, many[at], 0)
-
-    def met_by(token: np.ndarray, n: int, key: int, root: int) -> np.ndarray:
-        made = np.zeros(len(token), MET)
-        made["token"], made["n"], made["place"], made["key"], made["root"] = token, n, np.arange(len(token)), key, root
-        blocks = told(token) // IN_BLOCK + 1
-        if (blocks == 1).all():
-            return made
-        out = [made[blocks == 1]]
-        for i in np.flatnonzero(blocks > 1):
-            k = int(blocks[i])
-            own, other = (key ^ key >> 17) % k, np.arange(k)
-            copies = np.repeat(made[i : i + 1], k)
-            two = np.minimum(own, other) * k + np.maximum(own, other)
-            copies["token"] ^= ((two + 1).astype(np.uint64) * MIX >> np.uint64(32)).astype(np.uint32)
-            out.append(copies)
-        return np.concatenate(out)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, held = [], 0
-        for batch in batches:
-            for n, firsts, key, root in zip(*(batch.column(c).to_pylist() for c in ("n", "firsts", "_key", "root"))):
-                made.append(met_by(np.frombuffer(firsts, np.uint32), n, key, root))
-                held += len(made[-1])
-                if held >= IN_BUCKET:
-                    yield rows_of(np.concatenate(made))
-                    made, held = [], 0
-        if held:
-            yield rows_of(np.concatenate(made))
-
-    def rows_of(made: np.ndarray) -> pa.RecordBatch:
-        made = made[np.argsort(made["token"], kind="stable")]
-        which, first = np.unique(made["token"] >> np.uint32(32 - bits), return_index=True)
-        packed = [x.tobytes() for x in np.split(made, first[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int64)), pa.array(packed, pa.binary())], ["reducer", "met"])
-
-    def meet(group: pa.Table) -> pa.Table:
-        every = np.frombuffer(b"".join(group.column("met").to_pylist()), MET)
-        every = every[np.argsort(every["token"], kind="stable")]
-        first = np.flatnonzero(np.append(True, every["token"][1:] != every["token"][:-1]))
-        size = np.diff(np.append(first, len(every)))
-        pairs = [np.zeros((2, 0), np.int64)]
-        for at, m in zip(first[size > 1].tolist(), size[size > 1].tolist()):
-            own = every[at : at + m]
-            if (own["root"] == own["root"][0]).all():
-                continue
-            key, root, n = own["key"], own["root"], own["n"].astype(np.int64)
-            left = n - own["place"]
-            step = max(1, (1 << 20) // m)
-            for i in range(0, m, step):
-                x = slice(i, i + step)
-                enough = (1 + similarity) * np.minimum(left[x, None], left[None, :]) >= similarity * (n[x, None] + n[None, :]) - 1e-6
-                a, b = np.nonzero(enough & (root[x, None] != root[None, :]) & (key[x, None] < key[None, :]))
-                if len(a):
-                    pairs.append(np.stack([key[x][a], key[b]]))
-            if sum(p.shape[1] for p in pairs) > 1 << 20:
-                pairs = [np.unique(np.concatenate(pairs, axis=1), axis=1)]
-        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        return pa.table({"a": found[0], "b": found[1]})
-
-    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, (1 << PARITY_BITS) // 64) for c in ("_a", "_b"))
-            differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-            near = (1 + similarity) * differ <= (1 - similarity) * batch.column("n").to_numpy() + 1e-6
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    firsts = small_batches(rows).select("_key", "copy", "sketch").mapInArrow(prefix, "_key long, copy binary, n long, firsts binary, parities binary")
-    texts = grouped.select("copy", F.col("rep").alias("_key"), "root")
-    one, seen = materialize_measured(
-        firsts.join(texts, ["copy", "_key"]).dropDuplicates(["copy", "_key"]).select("_key", "root", "n", "firsts", "parities"),
-        n=F.sum(F.length("firsts")),
-    )
-    bits = max(LEAST_BITS, ((seen["n"] or 0) // 4 // IN_BUCKET).bit_length())
-    sent = one.select("_key", "root", "n", "firsts").mapInArrow(emit, "reducer long, met binary")
-    met = materialize(sent.groupBy("reducer").applyInArrow(meet, "a long, b long").distinct())
-    of = lambda c: one.select(F.col("_key").alias(c), F.col("n").alias(f"_n{c}"), F.col("parities").alias(f"_{c}"))
-    both = met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "_a", "_b", (F.col("_na") + F.col("_nb")).alias("n"))
-    return both.mapInArrow(may, "a long, b long")
-
-
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document, that of the least key, of each group of near-duplicates.
-
-    A pair counts if the Jaccard similarity of its shingles of ``SHINGLE`` words is at least
-    ``similarity``, directly or through others. Word fingerprints within ``WIDE`` bits, one
-    half within ``HALF``, link most of a group to few of its texts; then all texts of
-    different groups that may be similar meet by their shingles, so no pair is missed. Rows without a key can't be told apart and stay; rows with one key are
-    one document, the least by its columns.
-    """
-    schema = "_key long, copy binary, fingerprint long, sketch binary"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t) for t in texts_of(batch.column("_text"))]
-            columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], ["_key", "copy", "fingerprint", "sketch"])
-
-    keyed = docs.filter(F.col(key).isNotNull())
-    small_batches(docs)
-    rows = materialize(keyed.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).mapInArrow(run, schema))
-    # Copies are folded in each task before they travel.
-    texts = materialize(rows.groupBy("copy").agg(F.min("_key").alias("rep"), F.min("fingerprint").alias("fingerprint")))
-    prints, seen = materialize_measured(texts.groupBy("fingerprint").agg(F.min("rep").alias("lead")), n=F.count(F.lit(1)))
-    links = half_links(prints, seen["n"]).distinct()
-    lead = lambda c: prints.select(F.col("fingerprint").alias(c), F.col("lead").alias(f"_{c}"))
-    across = links.join(lead("a"), "a").join(lead("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    same = texts.join(prints, "fingerprint").filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column("_a").to_pylist(), batch.column("_b").to_pylist()
-            kept = pa.array([likeness(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(kept)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs)
-        # Written first, so that few of them are sent to the sketches instead.
-        ids = materialize(pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct())
-        sketch = materialize(rows.select("_key", "sketch").join(ids, "_key", "left_semi").dropDuplicates(["_key"]))
-        of = lambda c: sketch.select(F.col("_key").alias(c), F.col("sketch").alias(f"_{c}"))
-        return materialize(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(verify, "a long, b long"))
-
-    near = verified(across.unionByName(same))
-    grouped = texts.join(components(near), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.coalesce("root", "rep").alias("root"))
-    beyond = verified(shared_links(rows, materialize(grouped), seen["n"], similarity))
-    roots = components(near.unionByName(beyond))
-    # All but the least of a group go: copies of a text, and texts linked to a lesser one.
-    lesser = texts.join(roots.filter("node != root"), F.col("rep") == F.col("node"), "left").select("copy", "rep", F.col("node").isNotNull().alias("linked"))
-    gone = rows.select("_key", "copy").join(lesser, "copy").filter("linked OR _key != rep").select("_key").distinct()
-    kept = keyed.join(gone, keyed[key] == gone["_key"], "left_anti")
-    repeated = rows.groupBy("_key").count().filter("count > 1").select("_key")
-    if not repeated.isEmpty():
-        repeated = materialize(repeated)
-        many = kept.join(repeated, F.col(key) == F.col("_key"), "left_semi")
-        once = many.groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
-        kept = kept.join(repeated, F.col(key) == F.col("_key"), "left_anti").unionByName(once.select("_row.*"))
-    return kept.unionByName(docs.filter(F.col(key).isNull()))
+    kept = {c: F.col(f"`{c}`") for c in docs.columns}
+    rows = placed(docs)
+    order = F.struct(kept[key].isNull().alias("none"), kept[key].alias("key"), F.xxhash64(*kept.values()).alias("hash"), F.col(FILE), F.col(ROW))
+    linked = near_duplicates(rows.select(order.alias("place"), kept[text].alias("text")), "place", "text", words, radius)
+    stay = linked.filter("place = component_id").select(f"place.{FILE}", f"place.{ROW}")
+    return rows.join(stay, [FILE, ROW], "left_semi").select(*kept.values())
 
 
 def hex_of(fingerprint: str) -> Column:
