@@ -2,9 +2,9 @@
 
 Each stage works on all that the one before it kept. Language identification drops texts
 without letters and those far from every language; near-duplicate removal keeps one
-document of each group; personal data is replaced by its kind; packing returns the pieces
-of what is left. Rows without an id can't be told apart from others and pass the second
-stage; rows that share an id are one document, the least by its columns.
+document of each group that fingerprints link; personal data is replaced by its kind;
+packing returns the pieces of what is left. Rows that share an id, or have none, are
+documents of their own.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group whose fingerprints of 3-word shingles are within 3 bits,
+    directly or through others: the one with the least id."""
+    return simhash.drop_near_duplicates(docs, words=3, radius=3)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
