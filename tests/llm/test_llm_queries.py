@@ -18,6 +18,8 @@ COLUMNS = {
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op11_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    "op13_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
 }
 
 
@@ -40,7 +42,7 @@ def test_columns_and_rows(spark, sf_dir, name):
 @pytest.mark.parametrize("name", list(workload.ORACLE))
 def test_sql_agrees(spark, sf_dir, name):
     db = duckdb.connect()
-    for t in ("conversations", "embeddings"):
+    for t in ("conversations", "documents", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     want = db.execute(workload.ORACLE[name])
     columns = [d[0] for d in want.description]
