@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur import fixed
-from murmur.sources.tables import Tables, category_rows, issue_rows, review_rows, undated_rows
+from murmur.sources.tables import TEXTS, Snapshot, Tables, category_rows, issue_rows, review_rows, undated_rows
 
 
 def high_water_mark(reviews: DataFrame, date: str = "review_date") -> DataFrame:
@@ -52,6 +52,21 @@ def batch_base(top: Column, today: Column) -> Column:
     return F.greatest(fresh, top + 1)
 
 
+def text_hash(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def first_times(tables: Tables, feedback: DataFrame, seen: Snapshot, text: str = "original") -> DataFrame:
+    """``feedback`` without texts that were loaded before ``seen``.
+
+    The stored hashes are read once and not shuffled if the new ones are few, as they are
+    for a load; only those that are found come back.
+    """
+    new = feedback.select(text_hash(F.col(text)).alias("hash")).distinct()
+    known = tables.read(TEXTS, seen).join(new, "hash", "left_semi")
+    return feedback.join(known.select(F.col("hash").alias("_hash")), text_hash(F.col(text)) == F.col("_hash"), "left_anti")
+
+
 def load(
     tables: Tables,
     feedback: DataFrame,
@@ -60,51 +75,67 @@ def load(
     today: datetime.date,
     batch: str | None = None,
     since: datetime.date | None = None,
+    once: bool = False,
 ) -> int:
     """Append what is new to the tables; returns the batch's first ID.
 
-    New is what is dated after ``since``, by default the latest date in the log. The log
-    has a row for each load, so neither mark nor top needs the tables. Every table is
-    written under the batch's name and then the log, which alone makes the batch count:
-    a load that was cut short is repeated whole, and one that was finished under the same
-    name does nothing. Children are loaded with their feedback or not at all; feedback
-    without a readable date is set aside, each text once.
+    New is what is dated after ``since``, by default the latest date in the log; with
+    ``once`` a text that an earlier load with ``once`` has brought is not new, whatever its
+    date. Mark and top come from the log entry before, as does what counts; every table is
+    written as a part of its own and then the next entry, which alone makes the batch count.
+    If another load has taken that entry, all is decided anew after it. So a load that was
+    cut short is repeated whole, one that was finished under the same name does nothing,
+    and loads at once are as loads one after the other. Children are loaded with their
+    feedback or not at all; feedback without a readable date is set aside, each text once.
     """
     tables.create()
     batch = batch or uuid.uuid4().hex
-    log = tables.log()
-    done = log.filter(F.col("batch") == batch).first()
-    if done is not None:
-        return done["first_id"]
-    first_day = F.to_date(F.lit(fixed.FIRST_DATE))
-    facts = log.agg(F.coalesce(F.max("top"), F.lit(0)).alias("top"), F.coalesce(F.max("mark"), first_day).alias("mark"))
-    base, mark = facts.select(batch_base(F.col("top"), F.lit(today)), "mark").first()
-    since = mark if since is None else since
-    new, _ = newer_than(feedback, [], F.lit(since))
-    loaded = new.filter(F.col("translated").isNotNull())
-    mine = lambda child: child.join(loaded.select("id"), "id", "left_semi")
-    tables.append("categorization", category_rows(mine(categories), base), batch)
-    tables.append("key_issue", issue_rows(mine(issues), base), batch)
-    aside = undated(feedback).join(
-        tables.read("undated").select(F.col("original_reviews").alias("original")), "original", "left_anti"
-    )
-    tables.append("undated", undated_rows(aside, base), batch)
-    tables.append("reviews", review_rows(loaded, base), batch)
-    given = F.max(F.when(F.col("translated").isNotNull() | F.col("date").isNull(), F.col("id")))
-    dated = F.max(F.when(F.col("translated").isNotNull(), F.col("date").cast("date")))
-    facts = new.unionByName(aside).agg(given.alias("top"), dated.alias("mark")).first()
-    tables.enter(batch, base, None if facts["top"] is None else base + facts["top"], facts["mark"])
-    return base
+    while True:
+        seen = tables.snapshot()
+        done = tables.log().filter(F.col("batch") == batch).first()
+        if done is not None:
+            return done["first_id"]
+        first_day = datetime.date.fromisoformat(fixed.FIRST_DATE)
+        base = tables.spark.range(1).select(batch_base(F.lit(seen.top or 0).cast("long"), F.lit(today))).first()[0]
+        start = since if since is not None else seen.mark or first_day
+        part = f"{batch}-{uuid.uuid4().hex[:8]}"
+        new, _ = newer_than(feedback, [], F.lit(start))
+        if once:
+            new = first_times(tables, new, seen)
+        loaded = new.filter(F.col("translated").isNotNull())
+        mine = lambda child: child.join(loaded.select("id"), "id", "left_semi")
+        aside = undated(feedback).join(
+            tables.read("undated", seen).select(F.col("original_reviews").alias("original")), "original", "left_anti"
+        )
+        written = {
+            "categorization": category_rows(mine(categories), base),
+            "key_issue": issue_rows(mine(issues), base),
+            "undated": undated_rows(aside, base),
+            "reviews": review_rows(loaded, base),
+        }
+        if once:
+            written[TEXTS] = loaded.select(text_hash(F.col("original")).alias("hash")).distinct()
+        for name, rows in written.items():
+            tables.write(name, rows, part)
+        given = F.max(F.when(F.col("translated").isNotNull() | F.col("date").isNull(), F.col("id")))
+        dated = F.max(F.when(F.col("translated").isNotNull(), F.col("date").cast("date")))
+        facts = new.unionByName(aside).agg(given.alias("top"), dated.alias("mark")).first()
+        top = None if facts["top"] is None else base + facts["top"]
+        if tables.commit(seen, batch, base, top, facts["mark"], [f"{name}/{part}" for name in written]):
+            return base
+        for name in written:
+            tables.remove(name, part)
 
 
 def stream_start(tables: Tables, name: str) -> datetime.date:
     """The mark when the stream ``name`` first started, kept in the log."""
     tables.create()
     batch = f"{name}-start"
-    known = tables.log().filter(F.col("batch") == batch).first()
-    if known is None:
-        first_day = F.to_date(F.lit(fixed.FIRST_DATE))
-        mark = tables.log().agg(F.coalesce(F.max("mark"), first_day)).first()[0]
-        tables.enter(batch, None, None, mark)
-        return mark
-    return known["mark"]
+    while True:
+        seen = tables.snapshot()
+        known = tables.log().filter(F.col("batch") == batch).first()
+        if known is not None:
+            return known["mark"]
+        mark = seen.mark or datetime.date.fromisoformat(fixed.FIRST_DATE)
+        if tables.commit(seen, batch, mark=mark):
+            return mark

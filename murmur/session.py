@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -10,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime SQL settings the plans rely on. AQE picks broadcast joins from measured
@@ -66,6 +68,51 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write ``text`` to ``path`` if nothing is there; whether it did.
+
+    The whole file appears at once, and of several writers one succeeds: by a link in a
+    local folder, elsewhere by a rename that doesn't overwrite.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = target.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    return _link_new(target.toUri().getPath(), text) if scheme == "file" else _rename_new(spark, target, text)
+
+
+def _link_new(path: str, text: str) -> bool:
+    folder = os.path.dirname(path)
+    os.makedirs(folder, exist_ok=True)
+    # A name that readers of the folder pass over.
+    made = f"{folder}/.{uuid.uuid4().hex}"
+    with open(made, "w", encoding="utf-8") as out:
+        out.write(text)
+    try:
+        os.link(made, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.remove(made)
+    return True
+
+
+def _rename_new(spark: SparkSession, target, text: str) -> bool:
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    fs = target.getFileSystem(conf)
+    made = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(made, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    keep = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), conf).rename(made, target, keep)
+    except Py4JJavaError as failed:
+        fs.delete(made, False)
+        if "FileAlreadyExists" not in failed.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 @contextmanager
 def scratch() -> Iterator[None]:
     """A scope that owns what is written to the shared folder inside it, and removes it

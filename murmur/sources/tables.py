@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+import json
+import time
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from murmur import fixed
 from murmur.functions import values as V
-from murmur.session import delete_path
+from murmur.session import create_new, delete_path
 
 SCHEMAS = {
     "reviews": (
@@ -22,80 +28,211 @@ SCHEMAS = {
 }
 
 
-LOG_SCHEMA = "batch string, first_id long, top long, mark date"
-#: The batch of rows that were appended without naming one.
-PLAIN = "0"
+#: Hashes of texts that were loaded once, for loads that fold copies across loads.
+TEXTS = "texts"
+ALL = {**SCHEMAS, TEXTS: "hash binary"}
 
+LOG_SCHEMA = (
+    "number long, batch string, first_id long, top long, mark date, adds array<string>, drops array<string>, whole boolean"
+)
+INDEX_SCHEMA = "file string, low long, high long, others boolean"
+#: Rows of a file that compaction writes.
+ROWS_A_FILE = 1_000_000
 
-class Tables:
-    """Parquet tables under one root folder, a folder for each batch of each table.
 
-    A load writes its batch to every table and then enters it in the log, with its first
-    and last ID and its latest date. Rows of a batch that is not in the log, because its
-    load was cut short, are not read, and writing a batch again replaces it.
+@dataclass(frozen=True)
+class Snapshot:
+    """What the log says up to one entry: its number, the top ID given out, the latest date,
+    and the live parts of each table."""
+
+    number: int
+    top: int | None
+    mark: datetime.date | None
+    parts: dict[str, list[str]]
+
+
+class Tables:
+    """Parquet tables under one root folder, and a log of what counts.
+
+    A load writes a part, a folder of its own, to every table, and then one entry to the
+    log, numbered after the entry it has read. An entry is created only if its number is
+    free, so of two loads that read the same entry one wins, and the other reads again: IDs
+    and dates always follow from all loads before. A part that no entry names, because its
+    load was cut short or lost, is not read. Compaction replaces parts by one in order of
+    ID under a new entry; who reads an older one still finds its files until ``vacuum``.
+    Each part has an index of its files' least and greatest ID, which lookups read first.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def path(self, name: str, part: str | None = None) -> str:
+        return f"{self.root}/{name}" + (f"/part={part}" if part else "")
 
     def create(self) -> None:
         """Create missing tables, empty."""
-        for name, schema in SCHEMAS.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(f"{self.path(name)}/batch={PLAIN}")
-        first = self.spark.createDataFrame([(PLAIN, None, None, None)], LOG_SCHEMA)
-        first.coalesce(1).write.mode("ignore").parquet(f"{self.root}/loads/entry={PLAIN}")
+        for name in ALL:
+            self.spark.createDataFrame([], ALL[name]).write.mode("ignore").parquet(self.path(name, "first"))
+        self._enter(0, "", None, None, None, [f"{name}/first" for name in ALL], [], True)
+
+    # --- the log ---
 
     def log(self) -> DataFrame:
-        """(batch, first_id, top, mark) of every finished load."""
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/loads").select(
-            *[f.split(" ")[0] for f in LOG_SCHEMA.split(", ")]
+        """(number, batch, first_id, top, mark, adds, drops, whole) of every entry."""
+        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/loads")
+
+    def snapshot(self) -> Snapshot:
+        """What counts now. Entries before the last one that names all parts aren't fetched."""
+        log = self.log()
+        last = log.filter("whole").agg(F.max("number")).first()[0]
+        if last is None:
+            raise ValueError(f"no tables under {self.root}")
+        live: dict[str, None] = {}
+        number, top, mark = last, None, None
+        for row in sorted(log.filter(F.col("number") >= last).collect(), key=lambda r: r["number"]):
+            number = row["number"]
+            top = max((x for x in (top, row["top"]) if x is not None), default=None)
+            mark = max((x for x in (mark, row["mark"]) if x is not None), default=None)
+            if row["whole"]:
+                live = {}
+            for gone in row["drops"]:
+                live.pop(gone, None)
+            live |= dict.fromkeys(row["adds"])
+        parts = {name: [x.split("/", 1)[1] for x in live if x.split("/", 1)[0] == name] for name in ALL}
+        return Snapshot(number, top, mark, parts)
+
+    def _enter(self, number: int, batch: str, first_id, top, mark, adds: list[str], drops: list[str], whole: bool) -> bool:
+        row = {"number": number, "batch": batch, "first_id": first_id, "top": top, "mark": str(mark) if mark else None, "adds": adds, "drops": drops, "whole": whole}
+        return create_new(self.spark, f"{self.root}/loads/{number:012d}.json", json.dumps(row) + "\n")
+
+    def commit(self, seen: Snapshot, batch: str, first_id=None, top=None, mark=None, adds=(), drops=()) -> bool:
+        """Enter a finished load after ``seen``; false if another one was entered since.
+        ``adds`` and ``drops`` are parts as ``table/part``."""
+        return self._enter(seen.number + 1, batch, first_id, top, mark, list(adds), list(drops), False)
+
+    def enter(self, batch: str, first_id: int | None, top: int | None, mark, adds=(), drops=()) -> None:
+        """Enter what does not depend on other loads, after whatever is there."""
+        while not self.commit(self.snapshot(), batch, first_id, top, mark, adds, drops):
+            pass
+
+    # --- rows ---
+
+    def select(self, name: str) -> str:
+        """SQL for the rows of a table that count when it is run."""
+        entries = f"json.`{self.root}/loads`"
+        live = (
+            f"SELECT part FROM (SELECT number, true AS adds, explode(adds) AS part FROM {entries}"
+            f" WHERE number >= (SELECT max(number) FROM {entries} WHERE whole)"
+            f" UNION ALL SELECT number, false, explode(drops) FROM {entries}) WHERE part LIKE '{name}/%'"
+            " GROUP BY part HAVING max_by(adds, number)"
         )
-
-    def enter(self, batch: str, first_id: int | None, top: int | None, mark) -> None:
-        """Enter a finished load in the log; its rows are read from now on."""
-        row = self.spark.createDataFrame([(batch, first_id, top, mark)], LOG_SCHEMA)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/loads/entry={batch}")
+        columns = ", ".join(f"CAST(t.{c} AS {t}) AS {c}" for c, t in _fields(name))
+        return f"SELECT {columns} FROM ({live}) l JOIN parquet.`{self.path(name)}` t ON l.part = concat('{name}/', t.part)"
 
     def register(self, database: str) -> None:
-        """Make the tables known to the catalog."""
+        """Make the tables known to the catalog, as views on what counts when they are read."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name, schema in SCHEMAS.items():
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}, batch string)"
-                f" USING parquet PARTITIONED BY (batch) LOCATION '{self.path(name)}'"
-            )
-            self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        for name in SCHEMAS:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {self.select(name)}")
 
-    def read(self, name: str) -> DataFrame:
-        rows = self.spark.read.schema(f"{SCHEMAS[name]}, batch string").parquet(self.path(name))
-        return rows.join(self.log().select("batch"), "batch", "left_semi").select(*_names(name))
+    def read(self, name: str, seen: Snapshot | None = None) -> DataFrame:
+        """The rows that count now, or counted at ``seen``."""
+        parts = (seen or self.snapshot()).parts[name]
+        if not parts:
+            return self.spark.createDataFrame([], ALL[name])
+        return self.spark.read.schema(ALL[name]).parquet(*[self.path(name, p) for p in parts])
 
     def read_with_numbers(self, name: str) -> DataFrame:
         return self.read(name).withColumn("id", F.col("id").cast("long"))
 
+    def write(self, name: str, rows: DataFrame, part: str) -> None:
+        """One bulk write of a part, which counts once an entry names it, and its index."""
+        shaped = rows.select(*[F.col(c).cast(t).alias(c) for c, t in _fields(name)])
+        shaped.write.mode("overwrite").parquet(self.path(name, part))
+        if "id" in shaped.columns:
+            stored = self.spark.read.schema(ALL[name]).parquet(self.path(name, part))
+            number = F.col("id").try_cast("long")
+            files = stored.select(F.col("_metadata.file_name").alias("file"), "id").groupBy("file").agg(
+                F.min(number).alias("low"), F.max(number).alias("high"), F.bool_or(number.isNull()).alias("others")
+            )
+            files.coalesce(1).write.mode("overwrite").parquet(self.path(f"index/{name}", part))
+
     def append(self, name: str, rows: DataFrame, batch: str | None = None) -> None:
-        """One bulk write; an empty batch adds no data. A named batch is replaced if it
-        is there, and read once it is in the log; rows without one are read at once."""
-        fields = [f.strip().split(" ") for f in SCHEMAS[name].split(",")]
-        shaped = rows.select(*[F.col(c).cast(t).alias(c) for c, t in fields])
-        mode = "append" if batch is None else "overwrite"
-        shaped.write.mode(mode).parquet(f"{self.path(name)}/batch={PLAIN if batch is None else batch}")
+        """One bulk write; an empty batch adds no data. Rows of a named batch are read once
+        its part is in the log, others at once."""
+        part = batch or uuid.uuid4().hex
+        self.write(name, rows, part)
+        if batch is None:
+            self.enter(part, None, None, None, [f"{name}/{part}"])
 
     def clear(self, name: str) -> None:
-        delete_path(self.spark, self.path(name))
-        self.create()
+        """Delete all rows that count now; their files stay for who reads an older entry."""
+        done = False
+        while not done:
+            seen = self.snapshot()
+            done = self.commit(seen, uuid.uuid4().hex, drops=[f"{name}/{p}" for p in seen.parts[name]])
 
     def find(self, name: str, id_: str) -> DataFrame:
-        return self.read(name).filter(F.col("id") == id_)
-
-
-def _names(name: str) -> list[str]:
-    return [f.strip().split(" ")[0] for f in SCHEMAS[name].split(",")]
+        """The rows with an ID, from the files whose range of IDs has it."""
+        files = self.files_with(name, id_)
+        if not files:
+            return self.spark.createDataFrame([], ALL[name])
+        return self.spark.read.schema(ALL[name]).parquet(*files).filter(F.col("id") == id_)
+
+    def files_with(self, name: str, id_: str) -> list[str]:
+        """The files that may have an ID, as their index says."""
+        parts = self.snapshot().parts[name]
+        if not parts:
+            return []
+        wanted = F.lit(id_).try_cast("long")
+        index = self.spark.read.schema(f"{INDEX_SCHEMA}, part string").option("basePath", self.path(f"index/{name}"))
+        rows = index.parquet(*[self.path(f"index/{name}", p) for p in parts if p != "first"]) if parts != ["first"] else None
+        if rows is None:
+            return []
+        has = F.when(wanted.isNull(), F.col("others")).otherwise(wanted.between(F.col("low"), F.col("high")))
+        return [f"{self.path(name, r['part'])}/{r['file']}" for r in rows.filter(has).select("part", "file").collect()]
+
+    # --- upkeep ---
+
+    def compact(self, rows_a_file: int = ROWS_A_FILE) -> bool:
+        """Merge the parts of every table into one, in order of ID, and name all that counts
+        in one entry; false, and nothing changes, if a load was entered meanwhile."""
+        seen = self.snapshot()
+        part = uuid.uuid4().hex
+        for name in ALL:
+            rows = self.read(name, seen)
+            files = max(1, -(-rows.count() // rows_a_file))
+            key = F.col("id").try_cast("long") if name in SCHEMAS else F.col("hash")
+            own = "id" if name in SCHEMAS else "hash"
+            self.write(name, rows.repartitionByRange(files, key, own).sortWithinPartitions(key, own), part)
+        adds = [f"{name}/{part}" for name in ALL]
+        return self._enter(seen.number + 1, f"compaction {part}", None, seen.top, seen.mark, adds, [], True)
+
+    def vacuum(self, hours: float = 24.0) -> int:
+        """Remove parts that no longer count and were written ``hours`` ago or before, which
+        includes those of loads cut short; returns how many. Older readers must be done."""
+        live = self.snapshot().parts
+        jvm, gone = self.spark._jvm, 0
+        for name in ALL:
+            folder = jvm.org.apache.hadoop.fs.Path(self.path(name))
+            fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in fs.listStatus(folder):
+                part = status.getPath().getName().removeprefix("part=")
+                old = status.getModificationTime() <= (time.time() - 3600 * hours) * 1000
+                if old and part not in live[name] and part != "first":
+                    self.remove(name, part)
+                    gone += 1
+        return gone
+
+    def remove(self, name: str, part: str) -> None:
+        """Remove the files of a part that doesn't count."""
+        delete_path(self.spark, self.path(name, part))
+        delete_path(self.spark, self.path(f"index/{name}", part))
+
+
+def _fields(name: str) -> list[list[str]]:
+    return [f.strip().split(" ") for f in ALL[name].split(",")]
 
 
 def _id(base) -> Column:

@@ -2,11 +2,12 @@
 
 import datetime
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from murmur import fixed
+from murmur import fixed, session
 from murmur.plans import incremental as I, pipeline, report as RP
 from murmur.session import scratch_dir
 from murmur.sources import dictionaries as D, feedback as FB
@@ -111,11 +112,17 @@ def test_tables(spark, tmp_path):
     tables.append("key_issue", spark.createDataFrame([("7", "x")], "id string, key_issue string"))
     tables.append("key_issue", spark.createDataFrame([("8", "x")], "id string, key_issue string"), "unfinished")
     tables.register("murmur_test")
-    assert spark.table("murmur_test.key_issue").filter("batch = '0'").count() == 1
+    seen = lambda: [r.id for r in spark.table("murmur_test.key_issue").orderBy("id").collect()]
+    assert seen() == ["7"] and spark.table("murmur_test.reviews").count() == 0
     assert tables.find("key_issue", "7").count() == 1 and tables.find("key_issue", "8").count() == 0
     assert tables.read_with_numbers("key_issue").first().id == 7
+    tables.append("key_issue", spark.createDataFrame([("9", "x"), ("x9", "y")], "id string, key_issue string"))
+    assert seen() == ["7", "9", "x9"] and tables.find("key_issue", "x9").count() == 1
+    before = tables.read("key_issue")
     tables.clear("key_issue")
-    assert tables.read("key_issue").count() == 0
+    assert tables.read("key_issue").count() == 0 and seen() == []
+    assert before.count() == 3  # who has read the entry before still finds its files
+    assert spark.table("murmur_test.reviews").columns == tables.read("reviews").columns
 
 
 FEEDBACK = "id long, store string, device string, source string, country string, date date, version double, rating string, original string, translated string, sentiment string, spam int, verb_phrases array<string>, noun_phrases array<string>"
@@ -152,6 +159,101 @@ def test_loads_are_lossless(spark, tmp_path):
     assert I.load(tables, *feedback_of(spark, [day(5)]), datetime.date(2018, 5, 13)) == 20180515500001
 
 
+def test_two_loads_at_once_are_one_after_the_other(spark, tmp_path):
+    """Eight loads that all begin before any has finished: IDs are disjoint, nothing is lost."""
+    tables, today = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 10)
+    tables.create()
+    day = datetime.date(2018, 5, 1)
+    batches = [feedback_of(spark, [day] * 8, 10 * i) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        bases = list(pool.map(lambda i: I.load(tables, *batches[i], today, f"b{i}", datetime.date(2000, 1, 1)), range(4)))
+    assert len(set(bases)) == 4
+    ids = [r.id for r in tables.read("reviews").collect()]
+    assert len(ids) == len(set(ids)) == 4 * 6
+    assert sorted(ids) == sorted(r.id for r in tables.read("key_issue").collect())
+    log = sorted((r.first_id, r.top) for r in tables.log().filter("first_id IS NOT NULL").collect())
+    assert all(a[1] < b[0] for a, b in zip(log, log[1:]))
+    assert sorted(r.number for r in tables.log().collect()) == list(range(5))
+
+
+def test_the_mark_of_a_load_at_once_counts(spark, tmp_path, monkeypatch):
+    """A load that loses its entry is decided anew after the one that took it."""
+    tables, today = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 10)
+    same = feedback_of(spark, [datetime.date(2018, 5, 1)] * 3)
+    real, other = Tables.write, []
+
+    def write(self, name, rows, part):
+        real(self, name, rows, part)
+        if name == "reviews" and not other:
+            other.append(part)
+            I.load(self, *same, today, "other")
+
+    monkeypatch.setattr(Tables, "write", write)
+    I.load(tables, *same, today, "first")
+    assert tables.read("reviews").count() == 3  # its rows are as old as those of the other
+    assert {r.batch for r in tables.log().collect()} == {"", "other", "first"}
+    assert len(list((tmp_path / "t" / "reviews").glob("part=first-*"))) == 1  # the lost part is gone
+
+
+def test_an_entry_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "log" / "1.json")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: session.create_new(spark, path, f"{i}\n"), range(8)))
+    assert sum(won) == 1 and open(path).read() == f"{won.index(True)}\n"
+    assert [p.name for p in (tmp_path / "log").iterdir()] == ["1.json"]
+    # As on file systems that aren't local.
+    target = spark._jvm.org.apache.hadoop.fs.Path("file:" + str(tmp_path / "far" / "1.json"))
+    assert [session._rename_new(spark, target, t) for t in ("a", "b")] == [True, False]
+    assert (tmp_path / "far" / "1.json").read_text() == "a"
+    assert [p.name for p in (tmp_path / "far").iterdir() if not p.name.endswith(".crc")] == ["1.json"]
+
+
+def test_compaction_keeps_rows_and_readers(spark, tmp_path):
+    tables, today = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 10)
+    I.load(tables, *feedback_of(spark, [datetime.date(2018, 5, 1)] * 5), today, "a")
+    for i in range(20):
+        tables.append("key_issue", spark.createDataFrame([(str(100 + i), "x"), (str(500 - i), "y")], "id string, key_issue string"))
+    rows = lambda name: sorted(map(tuple, tables.read(name).collect()))
+    before, old = {n: rows(n) for n in ("reviews", "key_issue", "undated")}, tables.read("key_issue")
+    seen = tables.snapshot()
+    assert tables.compact(rows_a_file=10)
+    assert {n: rows(n) for n in before} == before
+    after = tables.snapshot()
+    assert [len(p) for p in after.parts.values()] == [1] * len(after.parts)
+    assert (after.top, after.mark) == (seen.top, seen.mark) and after.top is not None
+    assert len(tables.files_with("key_issue", "105")) == 1 and tables.find("key_issue", "105").count() == 1
+    assert tables.files_with("key_issue", "300") == [] or tables.find("key_issue", "300").count() == 0
+    assert "105" in [r.id for r in old.collect()]
+    # Loads go on from the merged state, under the same names as before.
+    assert I.load(tables, *feedback_of(spark, [datetime.date(2018, 5, 1)] * 5), today, "a") == 20180510000000
+    assert I.load(tables, *feedback_of(spark, [datetime.date(2018, 5, 2)]), today, "b") == after.top + 1
+    # A compaction that a load overtakes changes nothing.
+    stale = tables.snapshot()
+    tables.append("key_issue", spark.createDataFrame([("7", "z")], "id string, key_issue string"))
+    tables.snapshot = lambda: stale
+    assert not tables.compact()
+    del tables.snapshot
+    assert ("7", "z") in rows("key_issue")
+    assert tables.vacuum(hours=1) == 0
+    whole = {n: rows(n) for n in before}
+    assert tables.vacuum(hours=0) > 20
+    assert {n: rows(n) for n in before} == whole
+
+
+def test_texts_come_once_over_loads(spark, tmp_path):
+    tables, day = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 1)
+    for k, (batch, days) in enumerate([(range(0, 4), [day] * 4), (range(2, 6), [day] * 4), (range(0, 7), [day] * 7)]):
+        feedback, categories, issues = feedback_of(spark, days, batch[0])
+        I.load(tables, feedback, categories, issues, datetime.date(2018, 5, 10), f"b{k}", datetime.date(2000, 1, 1), once=True)
+    texts = sorted(r.original_reviews for r in tables.read("reviews").collect())
+    assert len(texts) == len(set(texts))
+    assert set(texts) >= {"text 0", "text 1", "text 2", "text 4"}
+    assert tables.read("key_issue").count() == tables.read("reviews").count()
+    tables.compact()
+    I.load(tables, *feedback_of(spark, [day] * 4), datetime.date(2018, 5, 10), "again", datetime.date(2000, 1, 1), once=True)
+    assert sorted(r.original_reviews for r in tables.read("reviews").collect()) == texts
+
+
 def word_tables(spark):
     memory = spark.createDataFrame([("fr", "x", "y")], "lang string, text_hash string, translated string")
     sentiment = spark.createDataFrame([("love", 1.0), ("hate", -1.0)], "word string, score double")

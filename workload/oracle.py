@@ -469,6 +469,22 @@ SELECT 'reviews' AS name, count(*) AS rows, min(id)::VARCHAR AS low, max(id)::VA
 UNION ALL SELECT 'categorization', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM c
 UNION ALL SELECT 'key_issue', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM c
 UNION ALL SELECT 'undated', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM u"""
+O["load_snapshot"] = f'''
+WITH d AS (SELECT doc_id, doc_id % 30 < 10 AS early FROM documents WHERE lang <> 'es'),
+top AS (SELECT max(doc_id) + {BASE} + 1 AS b FROM d WHERE early),
+r AS (SELECT CASE WHEN early THEN {BASE} ELSE b END + doc_id AS id, early FROM d, top)
+SELECT 'reviews' AS name, count(*) AS rows, min(id)::VARCHAR AS low, max(id)::VARCHAR AS high FROM r
+UNION ALL SELECT 'categorization', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM r
+UNION ALL SELECT 'key_issue', count(*), min(id)::VARCHAR, max(id)::VARCHAR FROM r WHERE NOT early'''
+O["load_once"] = '''
+WITH d AS (SELECT text, lang, doc_id % 3 AS k, min(doc_id) AS id FROM documents GROUP BY ALL),
+copies AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY text, k ORDER BY id) = 1),
+r AS (SELECT * FROM copies WHERE lang <> 'es' QUALIFY row_number() OVER (PARTITION BY text ORDER BY k) = 1)
+SELECT 'load' || k AS batch, count(*) AS rows, sum(id)::BIGINT AS places FROM r GROUP BY k'''
+O["compacted_lookup"] = '''
+WITH e AS (SELECT unnest([min(doc_id), max(doc_id), max(doc_id) + 1]) AS id FROM labels)
+SELECT e.id::VARCHAR AS id, CASE WHEN count(doc_id) > 0 THEN 1 ELSE 0 END::INT AS files, count(doc_id) AS rows, max(quality::VARCHAR) AS key_issue
+FROM e LEFT JOIN labels l ON l.doc_id = e.id GROUP BY e.id'''
 TRANSLATED = """'it''s ' || replace(text, 'a', 'A')"""
 O["translation_memory"] = f"""
 SELECT d.doc_id, d.lang, CASE WHEN d.lang = 'en' THEN d.text WHEN m.text IS NOT NULL THEN 'it''s ' || replace(d.text, 'a', 'A')

@@ -342,6 +342,62 @@ def incremental_load(spark, folder):
     return FB.union(counts)
 
 
+def _counted(frames):
+    return FB.union([
+        rows.agg(F.count("*").alias("rows"), F.min("id").alias("low"), F.max("id").alias("high")).select(F.lit(n).alias("name"), "rows", "low", "high")
+        for n, rows in frames.items()
+    ])
+
+
+def load_snapshot(spark, folder):
+    """A load, one that was cut short before its entry, a table cleared, parts merged, and
+    one more load: the tables as SQL sees them."""
+    tables = TB.Tables(spark, scratch_path(spark, "tables"))
+    feedback = _sink_feedback(spark, folder)
+    none = feedback.select("id", F.lit("f").alias("feature"), F.lit("c").alias("component"), F.array("source").alias("actions"))
+    issues = feedback.select("id", F.col("source").alias("issue"))
+    day = datetime.date.fromisoformat(X_.TODAY)
+    I.load(tables, feedback.filter(F.col("id") % 30 < 10), none, issues, day, "first")
+    tables.write("reviews", TB.review_rows(feedback, 0), "cut-short")
+    tables.clear("key_issue")
+    tables.compact()
+    I.load(tables, feedback, none, issues, day, "second")
+    return _counted({n: spark.sql(tables.select(n)) for n in ("reviews", "categorization", "key_issue")})
+
+
+def load_once(spark, folder):
+    """Three loads of one day that share texts: each text comes once, with its first load."""
+    tables = TB.Tables(spark, scratch_path(spark, "tables"))
+    feedback = _sink_feedback(spark, folder)
+    none = feedback.select("id", F.lit("f").alias("feature"), F.lit("c").alias("component"), F.array("source").alias("actions"))
+    issues = feedback.select("id", F.col("source").alias("issue"))
+    day, first = datetime.date.fromisoformat(X_.TODAY), datetime.date(2000, 1, 1)
+    for k in range(3):
+        part = R.first_copies(feedback.filter(F.col("id") % 3 == k), "original", "id")
+        I.load(tables, part, none, issues, day, f"load{k}", first, once=True)
+    loads = tables.log().filter("first_id IS NOT NULL").select("batch", "first_id", "top")
+    of = tables.read_with_numbers("reviews").join(loads, F.col("id").between(F.col("first_id"), F.col("top")))
+    return of.groupBy("batch").agg(F.count("*").alias("rows"), F.sum(F.col("id") - F.col("first_id")).alias("places"))
+
+
+def compacted_lookup(spark, folder):
+    """Labels in 12 loads, merged into files of 200 rows: rows of three IDs, and in how many
+    files the index looks for each."""
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("string").alias("issue"))
+    tables = TB.Tables(spark, scratch_path(spark, "tables"))
+    tables.create()
+    for k in range(12):
+        tables.append("key_issue", TB.issue_rows(labels.filter(F.col("id") % 12 == k), 0))
+    tables.compact(rows_a_file=200)
+    ends = RP.id_range(labels).first()
+    asked = [str(ends["min_id"]), str(ends["max_id"]), str(ends["max_id"] + 1)]
+    return FB.union([
+        tables.find("key_issue", i).groupBy().agg(F.count("*").alias("rows"), F.max("key_issue").alias("key_issue")).select(
+            F.lit(i).alias("id"), F.lit(len(tables.files_with("key_issue", i))).alias("files"), "rows", "key_issue")
+        for i in asked
+    ])
+
+
 def translation_memory(spark, folder):
     return E.translate(
         documents(spark, folder, "doc_id", "lang", "text"), _memory(spark, folder), "text"
@@ -748,7 +804,7 @@ _ALL = [
     pii_detect, pii_scrub, spam_flags, spam_two_passes, dedup_exact, clean_pipeline,
     device_store, version_extract, country_recode, normalize_union, read_feedback_files, source_kind,
     keyword_split, dictionary_scan, issue_dictionary_scan, word_list, unique_words,
-    sink_rows, persisted_roundtrip, incremental_load, translation_memory, html_unescape, sentiment_label,
+    sink_rows, persisted_roundtrip, incremental_load, load_snapshot, load_once, compacted_lookup, translation_memory, html_unescape, sentiment_label,
     dense_ids, batch_id_base, high_water_mark, incremental_filter, forward_fill, stage_counts, distinct_labels,
     tokenize_count, normalize_text, term_freq, word_freq, clean_term_freq, top_terms, group_top_terms,
     review_top_terms, list_freq, surface_mode,
