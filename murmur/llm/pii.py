@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,6 +48,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = "0123456789"
+_WIDE = re.compile(r"(?![0-9])[\d\uFF20]")
+_HOST = re.compile(r"(?:[A-Za-z0-9-]|\.(?=[A-Za-z0-9]))*")
 
 
 def luhn(digits: str) -> bool:
@@ -235,9 +238,31 @@ def _windows(text: str) -> list[int]:
     return out
 
 
+def plain_digits(text: str) -> str:
+    """``text`` with digits of all scripts, and wide at signs, as their ASCII ones: as long as it is."""
+    if text.isascii():
+        return text
+    return _WIDE.sub(lambda m: "@" if m[0] == "\uFF20" else str(unicodedata.decimal(m[0])), text)
+
+
+def whole(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
+    """A span with the rest of the name, host or number that it begins or ends in, which may
+    lie beyond the windows."""
+    if kind != "email":
+        while a and text[a - 1] in _DIGITS:
+            a -= 1
+        while b < len(text) and text[b] in _DIGITS:
+            b += 1
+        return a, b
+    while a and text[a - 1] in _LOCAL:
+        a -= 1
+    return a, _HOST.match(text, b).end()
+
+
 def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], tagger: Tagger) -> list[list[tuple[str, int, int]]]:
     """What the tagger adds to the base spans of each text."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    texts = [plain_digits(t) for t in texts]
     jobs = [(i, s) for i, t in enumerate(texts) if "@" in t or any(d in t for d in _DIGITS) for s in _windows(t)]
     found: dict[int, list[tuple[int, int, np.ndarray, np.ndarray]]] = {}
     for at in range(0, len(jobs), BLOCK):
@@ -273,8 +298,13 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], tagger
                 continue
             piece = text[a + low : b + low]
             a, b = a + low + len(piece) - len(piece.lstrip()), b + low - len(piece) + len(piece.rstrip())
-            if b - a >= 6 and certain[a - low : b - low].min() >= SURE and _plausible(KINDS[kind[a - low] - 1], text[a:b]) and not any(x < b and a < y for x, y in taken):
-                out[i].append((KINDS[kind[a - low] - 1], a, b))
+            if b - a < 6 or certain[a - low : b - low].min() < SURE:
+                continue
+            name = KINDS[kind[a - low] - 1]
+            a, b = whole(name, text, a, b)
+            if _plausible(name, text[a:b]) and not any(x < b and a < y for x, y in taken):
+                out[i].append((name, a, b))
+                taken.append((a, b))
     return out
 
 

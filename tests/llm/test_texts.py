@@ -1,6 +1,7 @@
 """Fingerprints, languages, personal data, secrets and shards against plain versions."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -198,11 +199,53 @@ def test_added_spans(tagger):
         assert base == plain_pii(text) and set(base) <= set(all_)
         assert all(0 <= a < b <= len(text) for _, a, b in all_)
     assert len(found[0][1]) > 0 and found[1][1] == [] and found[3][1] == []
-    # A text in two parts is tagged as it is in one: windows are reconciled by place.
     assert pii.mask("a b@c.de f", [("email", 2, 8)]) == "a [EMAIL] f"
     assert pii.mask("0123456789", [("ip", 2, 6), ("card", 4, 8)]) == "01[IP]89"
 
 
+def test_spans_beyond_the_windows_come_out_whole(tagger):
+    name = "maximiliana.konstantinopolitana.vandenberghe"
+    assert pii.whole("email", f"to {name} @ mail.example.org. And", len("to maximiliana.konsta"), len(f"to {name} @ mail.ex")) == (3, len(f"to {name} @ mail.example.org"))
+    assert pii.whole("phone", "no 12345678 9", 5, 8) == (3, 11)
+    text = f"words of some kind, write to {name} @ example.org now, " * 4
+    spans = [s for s in pii.spans_of([text], tagger)[0][1] if s[0] == "email"]
+    assert spans and all(text[a:].startswith(name) for _, a, _ in spans)
+    assert "konstantino" not in pii.mask(text[: spans[0][2] + 1], spans[:1])
+
+
+def test_digits_of_other_scripts_are_digits(tagger):
+    plain = "Call (499) 555-6503 or write to jane.doe @ mail9.example.org soon, é. " * 3
+    wide = "".join(chr(0xFF10 + int(c)) if c.isdigit() else "\uFF20" if c == "@" else c for c in plain)
+    base = [[]]
+    assert pii.plain_digits(wide) == plain and pii.plain_digits("٣²") == "3²"
+    found = pii.added_spans([wide], base, tagger)
+    assert found == pii.added_spans([plain], base, tagger) and found[0]
+
+
+def test_a_text_in_many_windows_is_tagged_as_a_whole(tagger):
+    """Padding in front moves all windows; the spans move with the text."""
+    text = "Reach us: (499) 555-6503 today, or jane.doe @ mail.example.org tomorrow. "
+    for gap in (0, 100, 1000):
+        found = pii.spans_of(["words " * gap + text + "words " * gap], tagger)[0][1]
+        assert [(k, a - 6 * gap, b - 6 * gap) for k, a, b in found] == pii.spans_of([text], tagger)[0][1]
+
+
+def test_decoding_and_marginals_like_trying_all_paths(tagger):
+    rng = np.random.default_rng(4)
+    scores = rng.normal(size=(4, 3, 1 + 2 * len(pii.KINDS))) * 3
+    tags, sure = tagger.decode(scores), tagger.marginals(scores)
+    move = tagger.move + tagger.allowed
+    paths = np.array(list(itertools.product(range(scores.shape[2]), repeat=4)))
+    for k in range(3):
+        value = tagger.allowed[0][paths[:, 0]] + sum(scores[i, k][paths[:, i]] for i in range(4))
+        value = value + sum(move[paths[:, i], paths[:, i + 1]] for i in range(3))
+        assert tags[k].tolist() == paths[value.argmax()].tolist()
+        share = np.exp(value - value.max())
+        for i in range(4):
+            own = np.bincount(paths[:, i], share, scores.shape[2]) / share.sum()
+            assert np.allclose(sure[i, k], own, atol=1e-6)
+
+
 def test_pii_rows(odd_docs, no_docs, tagger):
     found = pii.find_pii(odd_docs, tagger).collect()
     assert len(found) == odd_docs.count()
