@@ -37,7 +37,7 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 #: Per cent of a phrase's count at which a longer phrase that holds it stands for it.
 SHARE = 80
 #: Bytes whose words are found at once, and words that are counted at once.
-CHUNK, RUN = 1 << 20, 1 << 20
+CHUNK, RUN = 1 << 20, 1 << 19
 #: Of the filters: bits for each element, at most, in a block, set for an element.
 PER_ELEMENT, MOST, BLOCK, PROBES = 16, 1 << 28, 1 << 15, 3
 #: Parts in which the first phrases of a language are sought before they meet.
