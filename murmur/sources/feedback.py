@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -86,6 +89,11 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
+#: Bytes of a file that are read at once for its header, and a record's signs.
+HEADER_BLOCK = 4096
+_RECORD = re.compile(r'(?:[^"\r\n]|"[^"]*")*')
+
+
 def in_file_order(df: DataFrame) -> DataFrame:
     """``df``, as read from files, with ``line``: path, place of the split and a number
     that rises inside it. It orders rows alike however splits are packed into tasks."""
@@ -120,18 +128,30 @@ def _files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     return {kind: sorted(files) for kind, files in kinds.items()}
 
 
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The names in a CSV file's first record, which may hold line breaks inside quotes. No
+    more of the file is read than a few blocks that hold it."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    data, end = b"", 0
+    try:
+        while True:
+            block = bytes(stream.readNBytes(HEADER_BLOCK))
+            data += block
+            text = data.decode("utf-8", "ignore").removeprefix("\ufeff")
+            end = _RECORD.match(text).end()
+            if end < len(text) and text[end] != '"' or len(block) < HEADER_BLOCK:
+                return tuple(next(csv.reader(io.StringIO(text[:end] if end else text, newline="")), []))
+    finally:
+        stream.close()
+
+
 def _headers(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
-    """CSV files by their header, from the first line of each, in one pass."""
-    lines = spark.read.text(files).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        "value",
-    )
-    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))  # a row for each file
+    """CSV files by their header."""
     layouts: dict[tuple, list[str]] = {}
-    for r in first.collect():
-        header = next(csv.reader([r["header"].removeprefix("\ufeff")]), [])
-        layouts.setdefault(tuple(header), []).append(r["path"])
+    with ThreadPoolExecutor(16) as pool:
+        for path, header in zip(files, pool.map(lambda f: _header(spark, f), files)):
+            layouts.setdefault(header, []).append(path)
     return {header: sorted(paths) for header, paths in sorted(layouts.items())}
 
 

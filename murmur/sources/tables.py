@@ -63,18 +63,22 @@ class Tables:
     Each part has an index of its files' least and greatest ID, which lookups read first.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str] = ALL):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.schemas = schemas
+
+    def _fields(self, name: str) -> list[list[str]]:
+        return [f.strip().split(" ") for f in self.schemas[name].split(",")]
 
     def path(self, name: str, part: str | None = None) -> str:
         return f"{self.root}/{name}" + (f"/part={part}" if part else "")
 
     def create(self) -> None:
         """Create missing tables, empty."""
-        for name in ALL:
-            self.spark.createDataFrame([], ALL[name]).write.mode("ignore").parquet(self.path(name, "first"))
-        self._enter(0, "", None, None, None, [f"{name}/first" for name in ALL], [], True)
+        for name in self.schemas:
+            self.spark.createDataFrame([], self.schemas[name]).write.mode("ignore").parquet(self.path(name, "first"))
+        self._enter(0, "", None, None, None, [f"{name}/first" for name in self.schemas], [], True)
 
     # --- the log ---
 
@@ -99,7 +103,7 @@ class Tables:
             for gone in row["drops"]:
                 live.pop(gone, None)
             live |= dict.fromkeys(row["adds"])
-        parts = {name: [x.split("/", 1)[1] for x in live if x.split("/", 1)[0] == name] for name in ALL}
+        parts = {name: [x.split("/", 1)[1] for x in live if x.split("/", 1)[0] == name] for name in self.schemas}
         return Snapshot(number, top, mark, parts)
 
     def _enter(self, number: int, batch: str, first_id, top, mark, adds: list[str], drops: list[str], whole: bool) -> bool:
@@ -127,31 +131,31 @@ class Tables:
             f" UNION ALL SELECT number, false, explode(drops) FROM {entries}) WHERE part LIKE '{name}/%'"
             " GROUP BY part HAVING max_by(adds, number)"
         )
-        columns = ", ".join(f"CAST(t.{c} AS {t}) AS {c}" for c, t in _fields(name))
+        columns = ", ".join(f"CAST(t.{c} AS {t}) AS {c}" for c, t in self._fields(name))
         return f"SELECT {columns} FROM ({live}) l JOIN parquet.`{self.path(name)}` t ON l.part = concat('{name}/', t.part)"
 
     def register(self, database: str) -> None:
         """Make the tables known to the catalog, as views on what counts when they are read."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name in SCHEMAS:
+        for name in self.schemas:
             self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {self.select(name)}")
 
     def read(self, name: str, seen: Snapshot | None = None) -> DataFrame:
         """The rows that count now, or counted at ``seen``."""
         parts = (seen or self.snapshot()).parts[name]
         if not parts:
-            return self.spark.createDataFrame([], ALL[name])
-        return self.spark.read.schema(ALL[name]).parquet(*[self.path(name, p) for p in parts])
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.schema(self.schemas[name]).parquet(*[self.path(name, p) for p in parts])
 
     def read_with_numbers(self, name: str) -> DataFrame:
         return self.read(name).withColumn("id", F.col("id").cast("long"))
 
     def write(self, name: str, rows: DataFrame, part: str) -> None:
         """One bulk write of a part, which counts once an entry names it, and its index."""
-        shaped = rows.select(*[F.col(c).cast(t).alias(c) for c, t in _fields(name)])
+        shaped = rows.select(*[F.col(c).cast(t).alias(c) for c, t in self._fields(name)])
         shaped.write.mode("overwrite").parquet(self.path(name, part))
         if "id" in shaped.columns:
-            stored = self.spark.read.schema(ALL[name]).parquet(self.path(name, part))
+            stored = self.spark.read.schema(self.schemas[name]).parquet(self.path(name, part))
             number = F.col("id").try_cast("long")
             files = stored.select(F.col("_metadata.file_name").alias("file"), "id").groupBy("file").agg(
                 F.min(number).alias("low"), F.max(number).alias("high"), F.bool_or(number.isNull()).alias("others")
@@ -177,8 +181,8 @@ class Tables:
         """The rows with an ID, from the files whose range of IDs has it."""
         files = self.files_with(name, id_)
         if not files:
-            return self.spark.createDataFrame([], ALL[name])
-        return self.spark.read.schema(ALL[name]).parquet(*files).filter(F.col("id") == id_)
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.schema(self.schemas[name]).parquet(*files).filter(F.col("id") == id_)
 
     def files_with(self, name: str, id_: str) -> list[str]:
         """The files that may have an ID, as their index says."""
@@ -200,13 +204,15 @@ class Tables:
         in one entry; false, and nothing changes, if a load was entered meanwhile."""
         seen = self.snapshot()
         part = uuid.uuid4().hex
-        for name in ALL:
+        for name in self.schemas:
             rows = self.read(name, seen)
             files = max(1, -(-rows.count() // rows_a_file))
-            key = F.col("id").try_cast("long") if name in SCHEMAS else F.col("hash")
-            own = "id" if name in SCHEMAS else "hash"
-            self.write(name, rows.repartitionByRange(files, key, own).sortWithinPartitions(key, own), part)
-        adds = [f"{name}/{part}" for name in ALL]
+            # By ID, where there is one, as a number first; else by all columns, of which the
+            # first may have few values.
+            own = F.col("id" if "id" in rows.columns else rows.columns[0])
+            order = [own.try_cast("long"), own] if "id" in rows.columns else [F.col(c) for c in rows.columns]
+            self.write(name, rows.repartitionByRange(files, *order).sortWithinPartitions(*order), part)
+        adds = [f"{name}/{part}" for name in self.schemas]
         return self._enter(seen.number + 1, f"compaction {part}", None, seen.top, seen.mark, adds, [], True)
 
     def vacuum(self, hours: float = 24.0) -> int:
@@ -214,7 +220,7 @@ class Tables:
         includes those of loads cut short; returns how many. Older readers must be done."""
         live = self.snapshot().parts
         jvm, gone = self.spark._jvm, 0
-        for name in ALL:
+        for name in self.schemas:
             folder = jvm.org.apache.hadoop.fs.Path(self.path(name))
             fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
             for status in fs.listStatus(folder):
@@ -231,10 +237,6 @@ class Tables:
         delete_path(self.spark, self.path(f"index/{name}", part))
 
 
-def _fields(name: str) -> list[list[str]]:
-    return [f.strip().split(" ") for f in ALL[name].split(",")]
-
-
 def _id(base) -> Column:
     return (F.col("id") + F.lit(base)).cast("string").alias("id")
 

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmur import fixed, session
-from murmur.plans import incremental as I, pipeline, report as RP
+from murmur.operators import similarity as S
+from murmur.plans import incremental as I, pipeline, report as RP, terms as TM
 from murmur.session import scratch_dir
 from murmur.sources import dictionaries as D, feedback as FB
 from murmur.sources.tables import Tables
@@ -159,6 +160,24 @@ def test_loads_are_lossless(spark, tmp_path):
     assert I.load(tables, *feedback_of(spark, [day(5)]), datetime.date(2018, 5, 13)) == 20180515500001
 
 
+def test_headers_are_read_from_the_first_bytes(spark, tmp_path):
+    cases = {
+        "plain.csv": ("a,b\n" + "1,2\n" * 400_000, ("a", "b")),
+        "mark.csv": ("\ufeffa,é\r\n1,2", ("a", "é")),
+        "quoted.csv": ('"a ""x"", y","two\nlines"\n1,2\n', ('a "x", y', "two\nlines")),
+        "wide.csv": (",".join(f"column {i}" for i in range(2000)) + "\n", tuple(f"column {i}" for i in range(2000))),
+        "alone.csv": ("a,b", ("a", "b")),
+        "empty.csv": ("", ()),
+    }
+    for name, (text, _) in cases.items():
+        (tmp_path / name).write_text(text, newline="")
+    stats = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = stats()
+    for name, (_, header) in cases.items():
+        assert FB._header(spark, str(tmp_path / name)) == header
+    assert stats() - before < 200_000 < (tmp_path / "plain.csv").stat().st_size
+
+
 def test_two_loads_at_once_are_one_after_the_other(spark, tmp_path):
     """Eight loads that all begin before any has finished: IDs are disjoint, nothing is lost."""
     tables, today = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 10)
@@ -254,6 +273,22 @@ def test_texts_come_once_over_loads(spark, tmp_path):
     assert sorted(r.original_reviews for r in tables.read("reviews").collect()) == texts
 
 
+def test_term_tables_over_loads(spark, tmp_path):
+    texts = [(i, "s" if i % 3 else "t", [f"w{j}" for j in range(i % 5 + 1)] * 2) for i in range(30)]
+    bags = lambda rows: spark.createDataFrame(rows, "id long, store string, bag array<string>")
+    tables = TM.term_tables(spark, str(tmp_path / "terms"), "id", ["store"])
+    for k in range(3):
+        TM.add_texts(tables, bags(texts[10 * k : 10 * k + 10]), "id", ["store"], f"b{k}")
+        TM.add_texts(tables, bags(texts[:5]), "id", ["store"], "b0")  # again: nothing
+    rounded = lambda df: sorted((r.store, r.id, r.term, r.n_texts, round(r.weight, 9), round(r.rest, 9)) for r in df.collect())
+    want = rounded(S.weights(bags(texts), "id", ["store"]))
+    assert rounded(TM.stored_weights(tables, "id", ["store"])) == want
+    assert tables.compact() and rounded(TM.stored_weights(tables, "id", ["store"])) == want
+    # A batch cut short before its entry is not counted.
+    tables.write("df", spark.createDataFrame([("s", "w0", 9)], "store string, term string, n_texts long"), "cut-short")
+    assert rounded(TM.stored_weights(tables, "id", ["store"])) == want
+
+
 def word_tables(spark):
     memory = spark.createDataFrame([("fr", "x", "y")], "lang string, text_hash string, translated string")
     sentiment = spark.createDataFrame([("love", 1.0), ("hate", -1.0)], "word string, score double")

@@ -653,6 +653,7 @@ O["key_issues"] = f"WITH {FB}, {issue_ctes()} SELECT id, issue FROM iss"
 O["tfidf"] = f"""
 WITH b AS (SELECT lang, doc_id, list_transform(regexp_extract_all(text, '[{fixed.WORD_CHARS}]{{2,}}'), lambda w: lower(w)) AS bag FROM documents),
 {weight_ctes('t', 'b', ['lang'], 'doc_id')} SELECT lang, doc_id, term, n_texts, round(weight, 6) AS weight FROM t_w"""
+O["tfidf_over_loads"] = O["tfidf"]
 O["cosine_pairs"] = f"""
 WITH {FOLDED}, {weight_ctes('c', 'folded', ['store', 'device'], 'id', 'copies')}, {pairs_cte('c')}
 SELECT store, device, a, b, round(similarity, 6) AS similarity FROM c_pairs"""

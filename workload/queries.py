@@ -11,7 +11,7 @@ from murmur import fixed
 from murmur.functions import agent, cleaning, text as T, values as V
 from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
 from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
-from murmur.plans import incremental as I, pipeline, report as RP
+from murmur.plans import incremental as I, pipeline, report as RP, terms as TM
 from murmur.session import materialize, scratch_path, spread, tune
 from murmur.sources import dictionaries as D, feedback as FB, tables as TB
 from workload import fixtures as X_
@@ -119,7 +119,7 @@ def dedup_exact(spark, folder):
 
 def clean_pipeline(spark, folder):
     clean = R.spam_filter(documents(spark, folder, "doc_id", "text", "lang"), "text")
-    return R.first_copies(clean, "text", "doc_id")
+    return R.first_copies(materialize(clean), "text", "doc_id")
 
 
 # --- sources ----------------------------------------------------------------------
@@ -692,6 +692,18 @@ def tfidf(spark, folder):
     )
 
 
+def tfidf_over_loads(spark, folder):
+    """``tfidf`` after three loads, one of them repeated, and a compaction."""
+    by, key = ["lang"], "doc_id"
+    bags = S.bags(documents(spark, folder, "lang", "doc_id", "text"), "text", key, by, normal=False)
+    tables = TM.term_tables(spark, scratch_path(spark, "terms"), key, by)
+    for k, batch in ((0, "a"), (1, "b"), (1, "b"), (2, "c")):
+        TM.add_texts(tables, bags.filter(F.col(key) % 3 == k), key, by, batch)
+        if k == 1:
+            tables.compact()
+    return TM.stored_weights(tables, key, by).select("lang", "doc_id", "term", "n_texts", F.round("weight", 6).alias("weight"))
+
+
 def cosine_pairs(spark, folder):
     kept, _ = S.fold_copies(_bags(spark, folder), "id", ["store", "device"])
     by = ["store", "device"]
@@ -811,7 +823,7 @@ _ALL = [
     pair_expand, negation_expand, synonym_expand, word_similarity, component_keywords,
     proximity_match, find_words, find_in_parts, fallback_issue, sentence_split, sentence_windows,
     keyword_context, phrase_chunks, phrase_text, categorize, generic_component_drop, key_issues,
-    tfidf, cosine_pairs, clusters, cluster_summary, group_summary, cluster_keywords, merged_words,
+    tfidf, tfidf_over_loads, cosine_pairs, clusters, cluster_summary, group_summary, cluster_keywords, merged_words,
     bottom_up_issues, preprocess, report, order_report, id_lookup, id_range, component_counts,
 ]
 
