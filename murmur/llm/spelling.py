@@ -84,15 +84,21 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
 
 
 def letter_bit(letter: Column) -> Column:
-    """The bit of a letter among two longs' 62 and 28 bits."""
+    """The number of a letter, of which two longs hold 62 and 28; below 0 for none."""
     code = F.ascii(letter)
     return F.when(code < 192, code - 97).otherwise(code - 192 + LETTERS)
 
 
-def _follows(letter: Column, low: str, high: str) -> Column:
+def _bit(number: Column, first: int) -> Column:
+    """A long with the bit of a letter, if it is one of the 62 from ``first`` on."""
+    at = number - first
+    return F.when((at >= 0) & (at < 62), F.call_function("shiftleft", F.lit(1).cast("long"), at)).otherwise(F.lit(0).cast("long"))
+
+
+def _follows(number: Column) -> Column:
     """Whether an edge's following letters have one."""
-    bit = letter_bit(letter)
-    return F.when(bit < 62, F.getbit(low, F.least(bit, F.lit(61))) == 1).otherwise(F.getbit(high, F.greatest(bit - 62, F.lit(0))) == 1)
+    of = lambda c, at: F.call_function("shiftright", F.col(c), at).bitwiseAND(F.lit(1).cast("long")) == 1
+    return F.when(number < 62, of("low", number)).otherwise(of("high", number - 62))
 
 
 def both_ways(words: DataFrame) -> DataFrame:
@@ -107,22 +113,25 @@ def half(back: Column, m: Column) -> Column:
 
 
 def edges_of(sided: DataFrame) -> DataFrame:
-    """(back, depth, node, letter, ends, low, high): the tries' edges below the first two
-    levels, which no edit reaches. Lies in order of depth, so that a level reads its own."""
+    """(depth, node2, back2, place, letter, number, ends, low, high): the tries' edges below
+    the first two levels, which no edit reaches. ``place`` is a hash of the node, which the
+    join sorts by."""
     steps = sided.select("back", "s", "m", F.explode(F.sequence(F.lit(SHORTEST // 2), F.col("m") - 1)).alias("depth"))
-    after = F.substring("s", F.col("depth") + 2, F.lit(1))
-    bit = letter_bit(after)
-    one = F.lit(1).cast("long")
+    after = letter_bit(F.substring("s", F.col("depth") + 2, F.lit(1)))
     edges = steps.select(
-        "back", "depth",
-        F.substring("s", F.lit(1), F.col("depth")).alias("node"),
-        F.substring("s", F.col("depth") + 1, F.lit(1)).alias("letter"),
+        F.substring("s", F.lit(1), F.col("depth") + 1).alias("child"),
+        "back",
         (F.col("m") == F.col("depth") + 1).alias("ends"),
-        F.when((after != "") & (bit < 62), F.call_function("shiftleft", one, F.least(bit, F.lit(61)))).otherwise(F.lit(0).cast("long")).alias("low"),
-        F.when((after != "") & (bit >= 62), F.call_function("shiftleft", one, F.greatest(bit - 62, F.lit(0)))).otherwise(F.lit(0).cast("long")).alias("high"),
+        _bit(after, 0).alias("low"),
+        _bit(after, 62).alias("high"),
     )
-    made = edges.groupBy("back", "depth", "node", "letter").agg(F.max("ends").alias("ends"), F.bit_or("low").alias("low"), F.bit_or("high").alias("high"))
-    return made.repartitionByRange("depth", "node")
+    made = edges.groupBy("child", "back").agg(F.max("ends").alias("ends"), F.bit_or("low").alias("low"), F.bit_or("high").alias("high"))
+    depth = F.length("child") - 1
+    node, letter = F.substring("child", F.lit(1), depth), F.substring("child", depth + 1, F.lit(1))
+    return made.select(
+        depth.alias("depth"), node.alias("node2"), F.col("back").alias("back2"), F.xxhash64(node, "back").alias("place"),
+        letter.alias("letter"), letter_bit(letter).alias("number"), "ends", "low", "high",
+    ).sortWithinPartitions("depth")
 
 
 def level(sided: DataFrame, edges: DataFrame, states: DataFrame | None, depth: int) -> DataFrame:
@@ -132,18 +141,18 @@ def level(sided: DataFrame, edges: DataFrame, states: DataFrame | None, depth: i
     )
     if states is not None:
         fresh = fresh.union(states.filter(~F.col("found")).select("back", "s", "m", "pos", "node", F.lit(1).alias("edits")))
-    both = fresh.join(edges.filter(F.col("depth") == depth), ["back", "node"])
-    letter_at = lambda place: F.substring("s", place + 1, F.lit(1))
-    own = F.col("letter") == letter_at(F.col("pos"))
-    # Its own letter after the edit, another in its place, or one more before it.
-    goes = [(F.col("edits") == 1, own, 1), (F.col("edits") == 0, (F.col("pos") < F.col("m")) & ~own, 1), (F.col("edits") == 0, F.lit(True), 0)]
-    out = []
-    for edits, takes, step in goes:
-        pos = F.col("pos") + step
-        done = pos == F.col("m")
-        on = F.when(done, F.col("ends")).otherwise(_follows(letter_at(pos), "low", "high"))
-        out.append(F.when(edits & takes & on, F.struct(pos.alias("pos"), done.alias("found"))))
-    moved = both.select("back", "s", "m", F.concat("node", "letter").alias("node"), F.explode(F.array_compact(F.array(*out))).alias("to"))
+    letter_at = lambda place: letter_bit(F.substring("s", place + 1, F.lit(1)))
+    fresh = fresh.withColumns({"place": F.xxhash64("node", "back"), "own": letter_at(F.col("pos")), "next": letter_at(F.col("pos") + 1)})
+    pos, m, fresh_ = F.col("pos"), F.col("m"), F.col("edits") == 0
+    # Its own letter after the edit or another in its place, or one more letter before it.
+    step = (pos < m) & ((F.col("number") == F.col("own")) != fresh_) & F.when(pos + 1 == m, F.col("ends")).otherwise(_follows(F.col("next")))
+    more = fresh_ & F.when(pos == m, F.col("ends")).otherwise(_follows(F.col("own")))
+    # Nodes are compared behind the hash, so that it alone is sorted by.
+    same = F.when((F.col("node") == F.col("node2")) & (F.col("back") == F.col("back2")), step | more).otherwise(F.lit(False))
+    here = edges.filter(F.col("depth") == depth).withColumnRenamed("place", "place2")
+    both = fresh.join(here, (F.col("place") == F.col("place2")) & same)
+    moves = [F.when(takes, F.struct(to.alias("pos"), (to == m).alias("found"))) for takes, to in ((step, pos + 1), (more, pos))]
+    moved = both.select("back", "s", "m", F.concat("node", "letter").alias("node"), F.explode(F.array_compact(F.array(*moves))).alias("to"))
     return moved.select("back", "s", "m", "to.pos", "node", "to.found")
 
 
