@@ -150,7 +150,7 @@ def nearest(rows: DataFrame, is_query, k: int = TOP) -> DataFrame:
     n, n_queries = rows.count(), queries.count()
     if not n_queries:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    fitted = matrix(sample_of(rows, "vec_id", n, FIT, 11).column("embedding"))
+    fitted = matrix(sample_of(rows, "vec_id", "embedding", n, FIT, 11).column("embedding"))
     if not len(fitted):
         fitted = matrix(rows.limit(FIT).toArrow().column("embedding"))
     codes = learn(fitted)

@@ -111,7 +111,7 @@ def largest_products(rows: DataFrame, is_query, k: int = TOP, scale: int = SCALE
     if not n:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     exact = facts["high"] ** 2 * facts["width"] < EXACT
-    pool = sample_of(ready, "vec_id", n, POOL, 13)
+    pool = sample_of(ready, "vec_id", "whole", n, POOL, 13)
     if not pool.num_rows:
         pool = ready.limit(POOL).toArrow()
     x = matrix(pool.column("whole"))

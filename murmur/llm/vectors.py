@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from murmur.llm.frames import FILE, ROW, placed
+
 #: Vectors of a shard, and queries of a block: what one group holds at most, or nearly.
 SHARD, BLOCK = 8192, 4096
 
@@ -34,12 +36,13 @@ def matrix(column: pa.ChunkedArray | pa.Array, kind: type = np.float64) -> np.nd
     return np.asarray(flat, kind).reshape(len(column), -1)
 
 
-def sample_of(rows: DataFrame, key: str, count: int, most: int, seed: int) -> pa.Table:
-    """About ``most`` rows, chosen by a hash of their key, in the order of the key."""
+def sample_of(rows: DataFrame, key: str, vector: str, count: int, most: int, seed: int) -> pa.Table:
+    """About ``most`` rows, chosen by a hash of key and vector, in the order of the key;
+    equal rows count once, so a row that is there very often does not swell it."""
     span = 1 << 30
     share = min(span, span * most // max(count, 1))
-    chosen = rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(span)) < share)
-    return chosen.toArrow().sort_by(key)
+    chosen = rows.select(key, vector).filter(F.pmod(F.xxhash64(key, vector, F.lit(seed)), F.lit(span)) < share)
+    return chosen.distinct().orderBy(key, vector).toArrow()
 
 
 def in_blocks(
@@ -48,18 +51,19 @@ def in_blocks(
 ) -> DataFrame:
     """``search(queries, rows)`` for every block of queries and every shard of rows.
 
-    Both are dealt by a hash of their key, so blocks and shards are even and bounded.
+    Queries are dealt by a hash of their key, which each has for itself, rows by their place,
+    so blocks and shards are even and bounded, also where a third of all rows share a key.
     """
     blocks, shards = max(1, -(-n_queries // BLOCK)), max(1, -(-n_rows // SHARD))
 
-    def number(n: int, seed: int):
-        return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n))
+    def number(n: int, seed: int, *by: str):
+        return F.pmod(F.xxhash64(*by, F.lit(seed)), F.lit(n))
 
     def each(n: int):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
-    left = queries.select("*", number(blocks, 1).alias("_block"), each(shards).alias("_shard"))
-    right = rows.select("*", number(shards, 2).alias("_shard"), each(blocks).alias("_block"))
+    left = queries.select("*", number(blocks, 1, key).alias("_block"), each(shards).alias("_shard"))
+    right = placed(rows).select(*rows.columns, number(shards, 2, FILE, ROW).alias("_shard"), each(blocks).alias("_block"))
     empty = [f.split() for f in schema.split(", ")]
 
     def run(q: pa.Table, x: pa.Table) -> pa.Table:

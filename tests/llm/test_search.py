@@ -4,6 +4,7 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,24 @@ def test_blocks_and_shards_change_nothing(vectors, monkeypatch):
     many = [pivots.largest_products(vectors, is_query).collect(), mih.nearest(vectors, is_query).collect()]
     for a, b in zip(one, many):
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_one_id_on_a_third_of_all_rows(spark, monkeypatch):
+    """Repeated ids are rows of their own, equal or not, and no shard holds them all."""
+    from murmur.llm import vectors as v
+
+    rng = np.random.default_rng(5)
+    vector = lambda: [float(np.float32(x)) for x in rng.standard_normal(8)]
+    same = vector()
+    rows = [(i, vector(), 0) for i in range(400)] + [(7, vector(), 0) for _ in range(120)] + [(7, same, 0)] * 120
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(v, "SHARD", 64)
+    found = by_query(pivots.largest_products(df, F.col("vec_id") % 100 == 0).collect())
+    assert dict(found) == plain_products(usable(df.collect(), True), lambda i: i % 100 == 0)
+    near = mih.nearest(df, F.col("vec_id") % 100 == 0).collect()
+    assert len(near) == 40 and all(r.vec_id != r.query_id for r in near)
+    queries = df.filter("vec_id = 0")
+    sizes = v.in_blocks(queries, df.select("vec_id", "embedding"), "vec_id", 1, len(rows), lambda q, x: pa.table({"n": [x.num_rows]}), "n long").collect()
+    assert sum(r.n for r in sizes) == len(rows) and max(r.n for r in sizes) < 3 * 64
+    sample = v.sample_of(df, "vec_id", "embedding", 10, 1000, 1)
+    assert sample.num_rows == 521
