@@ -72,8 +72,10 @@ def run_daily(
     output_folder: str,
     today: datetime.date,
     senses: DataFrame | None = None,
+    once: bool = False,
 ) -> int:
-    """Read feedback files, process them and append the new ones; returns the first ID."""
+    """Read feedback files, process them and append the new ones; returns the first ID. With
+    ``once`` a text that an earlier load with ``once`` has brought does not come again."""
     with scratch():
         lexicons = Lexicons(
             components=component_keywords(D.read_categories(spark, categories_path), senses),
@@ -86,4 +88,4 @@ def run_daily(
         rows = read_feedback(spark, input_folder)
         feedback = preprocess(rows, memory, sentiment, "line", lang=None)
         whole, categories, issues = tag(feedback, lexicons)
-        return load(Tables(spark, output_folder), whole, categories, issues, today)
+        return load(Tables(spark, output_folder), whole, categories, issues, today, once=once)

@@ -34,9 +34,11 @@ def load_stream(
     checkpoint: str,
     order_by: str,
     today=datetime.date.today,
+    once: bool = False,
     **trigger,
 ) -> StreamingQuery:
-    """Tag and append each micro-batch."""
+    """Tag and append each micro-batch; with ``once`` a text comes once over all of them,
+    and over all loads that ask for the same."""
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     since = stream_start(tables, name)
 
@@ -46,7 +48,7 @@ def load_stream(
         with scratch():
             cleaned = preprocess(df, lexicons.memory, lexicons.sentiment, order_by)
             whole, categories, issues = tag(cleaned, lexicons)
-            load(tables, whole, categories, issues, today(), f"{name}-{number}", since)
+            load(tables, whole, categories, issues, today(), f"{name}-{number}", since, once)
 
     writer = feedback.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -401,3 +401,29 @@ def test_stream_of_several_files_of_a_day(spark, tmp_path):
 
     assert content(tables) == content(batch)
     assert content(tables)[2] == 5
+
+
+def test_a_stream_of_shared_texts_brings_each_once(spark, tmp_path):
+    """Three files of one day that share texts, a file to a micro-batch; then a batch load."""
+    memory, sentiment, tags = word_tables(spark)
+    schema = "line long, store string, device string, source string, country string, date date, version double, rating string, lang string, original string"
+    for n, own in enumerate([["I love the tabs", "so fast"], ["so fast", "slow today"], ["slow today", "I love the tabs", "tabs again"]]):
+        rows = [(10 * n + i, "iOS", "iPhone", "s", "", datetime.date(2018, 5, 10), 1.0, "", "en", t) for i, t in enumerate(own)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{n}"))
+    lexicons = pipeline.Lexicons(
+        components=spark.createDataFrame([("iOS", "tab", "Tabs", "F")], "store string, keyword string, component string, feature string"),
+        issues=spark.createDataFrame([("iOS", "fast", "speed")], "store string, keyword string, issue string"),
+        memory=memory, sentiment=sentiment, tags=tags,
+    )
+    read = lambda **o: spark.readStream.schema(schema).options(recursiveFileLookup=True, **o).parquet(str(tmp_path / "in"))
+    tables = Tables(spark, str(tmp_path / "out"))
+    query = load_stream(read(maxFilesPerTrigger=1), lexicons, tables, str(tmp_path / "ck"), "line", lambda: datetime.date(2018, 6, 1), once=True)
+    query.awaitTermination(300)
+    assert query.exception() is None
+    texts = lambda: sorted(r.translated_reviews for r in tables.read("reviews").collect())
+    want = ["I love the tabs", "slow today", "so fast", "tabs again"]
+    assert texts() == want
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    whole, categories, issues = pipeline.tag(pipeline.preprocess(rows, memory, sentiment, "line"), lexicons)
+    I.load(tables, whole, categories, issues, datetime.date(2018, 6, 1), since=datetime.date(2000, 1, 1), once=True)
+    assert texts() == want
