@@ -52,8 +52,10 @@ def counts_of(texts: list[str]) -> np.ndarray:
         points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
         owner = np.repeat(np.array([i for i, _ in own], np.int64), [len(p) for p in lowered])
         letter = _classes()[points] == LETTER
-        # One blank for each run of other signs.
+        # One blank for each run of other signs; a text's first sign is always there.
         kept = letter | np.append(True, letter[:-1])
+        sizes = np.array([len(p) for p in lowered], np.int64)
+        kept[np.cumsum(sizes) - sizes] = True
         signs, owner = np.where(letter, points, 32)[kept].astype(np.uint32), owner[kept]
         lowest = int(owner[0]) if len(owner) else 0
         width = int(owner[-1]) - lowest + 1 if len(owner) else 0

@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import unicodedata
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -347,3 +349,71 @@ def test_rebalance_moves_little_and_takes_a_new_shard(spark):
     assert sorted(loads) == [0, 1, 2, 3, 4] and max(loads.values()) - min(loads.values()) <= 107
     moved = sum(before[r.virtual_slot] != r.shard for r in after)
     assert moved <= 512 / 5 + 5
+
+
+def plain_grams(text):
+    """Bins of the hashed letter 2- and 3-grams of a text, one by one."""
+    signs = []
+    for c in f" {text.lower()} ":
+        if unicodedata.category(c)[0] == "L":
+            signs.append(ord(c))
+        elif not signs or signs[-1] != 32:
+            signs.append(32)
+    a, b, c = 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D
+    bins = Counter()
+    for n in (2, 3):
+        for i in range(len(signs) - n + 1):
+            h = n
+            for sign, factor in zip(signs[i : i + n], (a, b, c)):
+                h = (h * b + sign * factor) % 2**32
+            h ^= h >> 15
+            bins[(h * c % 2**32) >> 20] += 1
+    return bins
+
+
+def test_language_like_a_plain_classifier(spark, sf_dir):
+    """Counts, weights, the nearest centroid and the rejection, without arrays."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.learn(docs, sample=40)
+    rng = random.Random(6)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(30).collect()]
+    texts += [t[i : i + rng.randint(1, 60)] for t in texts for i in [rng.randrange(len(t))]]
+    texts += ["", "1234 !?", "Ж日本語 λόγος", "x", "É" * 50, "a-b\n\tc  d"]
+    seen = set()
+    for text, (lang, score, accepted) in zip(texts, model.predict(texts)):
+        bins = plain_grams(text)
+        assert bins == Counter({int(b): int(n) for b, n in zip(*[x.tolist() for x in (lambda c: (np.flatnonzero(c), c[c > 0]))(langid.counts_of([text])[0])])})
+        if not any(c.isalpha() for c in text):
+            assert (lang, score, accepted) == ("und", 0.0, False)
+            continue
+        weighed = {b: math.log1p(n) * float(model.weight[b]) for b, n in bins.items()}
+        length = math.sqrt(sum(w * w for w in weighed.values()))
+        cosines = [sum(w * float(centre[b]) for b, w in weighed.items()) / length for centre in model.centres]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert lang == model.languages[model.owner[best]]
+        assert score == pytest.approx(min(1.0, max(0.0, cosines[best])), abs=1e-4)
+        limit = model.least[min(int(math.log2(sum(bins.values()))), len(model.least) - 1)]
+        assert accepted == (score >= limit)
+        seen.add(accepted)
+    assert seen == {True, False}
+
+
+def test_language_weights_and_centroids_like_plain_ones():
+    rng = np.random.default_rng(1)
+    dense = rng.integers(0, 3, (12, langid.BINS)) * (rng.random((12, langid.BINS)) < 0.02)
+    bounds = np.append(0, np.cumsum((dense > 0).sum(1)))
+    counts = langid.Counts(bounds, np.nonzero(dense)[1], dense[dense > 0])
+    assert (counts.dense(np.arange(12)) == dense).all() and (counts.dense(np.array([3, 1])) == dense[[3, 1]]).all()
+    model = langid.fit(["a"] * 4 + ["b"] * 8, counts)
+    for b in range(0, langid.BINS, 97):
+        assert model.weight[b] == pytest.approx(math.log(13 / (1 + (dense[:, b] > 0).sum())) + 1, rel=1e-5)
+    assert model.languages == ["a", "b"] and np.bincount(model.owner).tolist() == [4, 4]
+    assert np.allclose(np.linalg.norm(model.centres, axis=1), 1, atol=1e-5)
+    # As many centroids as texts: each is a text of its language.
+    own = model.vectors(dense[:4])
+    assert np.allclose(np.sort((own @ model.centres[:4].T).max(1)), 1, atol=1e-5)
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "12 34", "en"), (2, None, "en"), (3, "some words", None)], "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in langid.identify(docs, langid.learn(docs)).collect()] == ["und"] * 3
