@@ -3,6 +3,8 @@ import sys
 
 import pytest
 
+# Training on the driver beside Spark's threads is slower with a thread for each core.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "2")
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from murmur.session import get_spark
