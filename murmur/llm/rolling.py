@@ -9,6 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 BASE = 0xA24BAED4963EE407
+# The factors of the 64-bit finalizer of MurmurHash3.
+FACTORS = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 
 
 _known = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -39,6 +41,6 @@ def runs(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits in which every bit counts for every other."""
-    x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ x >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    x = (x ^ x >> np.uint64(33)) * FACTORS[0]
+    x = (x ^ x >> np.uint64(33)) * FACTORS[1]
     return x ^ x >> np.uint64(33)
