@@ -256,17 +256,17 @@ def exact_numbers(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return number, np.append(first, np.array(at, np.int64))
 
 
-def verified(numbers: np.ndarray, at: np.ndarray, fingerprints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def verified(numbers: np.ndarray, names: np.ndarray, at: np.ndarray, fingerprints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(pointers to the first occurrence, counts) of unequal phrases of n words: occurrences
-    of one fingerprint are compared with the first of them."""
+    of one fingerprint are compared with the first of them, words and language."""
     _, first, group, count = np.unique(fingerprints, return_index=True, return_inverse=True, return_counts=True)
-    same = np.ones(len(at), bool)
+    same = names[at] == names[at[first][group]]
     for k in range(n):
         same &= numbers[at + k] == numbers[at[first][group] + k]
     further: dict[tuple[int, ...], list[int]] = {}
     for i in np.flatnonzero(~same).tolist():
         count[group[i]] -= 1
-        further.setdefault(tuple(numbers[at[i] : at[i] + n].tolist()), []).append(int(at[i]))
+        further.setdefault((int(names[at[i]]), *numbers[at[i] : at[i] + n].tolist()), []).append(int(at[i]))
     pointers = np.append(at[first], np.array([f[0] for f in further.values()], np.int64)).astype(np.int64)
     return pointers, np.append(count, np.array([len(f) for f in further.values()], np.int64)).astype(np.int64)
 
@@ -292,7 +292,7 @@ def phrase_counts(texts: DataFrame, filters: list[Filter], least: int) -> DataFr
 
             for n, known in enumerate(known_parts(words, filters), 1):
                 at, fingerprints = words.grams(n, words.own & known[:-1])
-                pointers, counts = verified(numbers, at, fingerprints, n)
+                pointers, counts = verified(numbers, words.name, at, fingerprints, n)
                 for i in range(0, len(pointers), 1 << 16):
                     first, count = pointers[i : i + (1 << 16)], counts[i : i + (1 << 16)]
                     said = [map(text, numbers[first + k].tolist()) for k in range(n)]

@@ -107,7 +107,7 @@ def counts_of_runs(made, n):
     for words, langs in made:
         numbers, example = phrases.exact_numbers(words)
         at, prints = words.grams(n, words.own)
-        pointers, counts = phrases.verified(numbers, at, prints, n)
+        pointers, counts = phrases.verified(numbers, words.name, at, prints, n)
         raw = words.data.tobytes()
         for p, c in zip(pointers.tolist(), counts.tolist()):
             out[langs[words.name[p]], tuple(raw[words.start[i] : words.end[i]].decode() for i in range(p, p + n))] += c
