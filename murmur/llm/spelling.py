@@ -161,7 +161,7 @@ def walked(words: DataFrame, longest: int) -> DataFrame:
     sided = materialize(both_ways(words.filter(F.length("word") <= DEEP)))
     edges = materialize(edges_of(sided))
     states, found = None, []
-    for depth in range(SHORTEST // 2, min(longest, DEEP) + 1):
+    for depth in range(SHORTEST // 2, max(SHORTEST // 2, min(longest, DEEP)) + 1):
         states = materialize(level(sided, edges, states, depth))
         found.append(states.filter("found"))
     every = found[0]
