@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from murmur import fixed
 from murmur.functions import text as T
 from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
-from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
+from murmur.operators import blocks, phrases as P, rows as R, similarity as S, stats as ST, tagging as G
 from murmur.session import materialize
 
 
@@ -315,6 +315,21 @@ def test_similar_pairs_brute_force(spark, threshold):
     assert all(math.isclose(got[p], want[p], abs_tol=1e-9) for p in want)
 
 
+def test_similar_pairs_over_blocks(spark, monkeypatch):
+    """A group of several blocks: pairs inside and between them, and forests that connect."""
+    monkeypatch.setattr(blocks, "BLOCK", 20)
+    monkeypatch.setattr(blocks, "SMALL", 20)
+    bags = {i: b for i, b in random_bags(3).items() if b}
+    w = brute_weights(bags)
+    near = {(a, b) for a in bags for b in bags if a < b and round(sum(v * w[b].get(t, 0) for t, v in w[a].items()), 9) >= 0.5}
+    df = spark.createDataFrame([("g", i, b) for i, b in bags.items()], "g string, id long, bag array<string>")
+    weighted = S.weights(df, "id", ["g"])
+    assert set(rows(S.similar_pairs(weighted, "id", ["g"], 0.5), "a", "b")) == near
+    tree = S.links(weighted, "id", ["g"], 0.5).collect()
+    assert {(r.a, r.b) for r in tree} <= near and len(tree) < len(near)
+    assert union_find(bags, [tuple(r) for r in tree]) == union_find(bags, near)
+
+
 def test_clusters_brute_force(spark):
     bags = random_bags(9)
     w = brute_weights(bags)
