@@ -36,8 +36,9 @@ LOG_SCHEMA = (
     "number long, batch string, first_id long, top long, mark date, adds array<string>, drops array<string>, whole boolean"
 )
 INDEX_SCHEMA = "file string, low long, high long, others boolean"
-#: Rows of a file that compaction writes.
+#: Rows of a file that compaction writes, and its bytes, about: one task sorts them.
 ROWS_A_FILE = 1_000_000
+BYTES_A_FILE = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -199,14 +200,20 @@ class Tables:
 
     # --- upkeep ---
 
-    def compact(self, rows_a_file: int = ROWS_A_FILE) -> bool:
+    def stored_bytes(self, name: str, seen: Snapshot) -> int:
+        """Bytes of a table's files that counted at ``seen``."""
+        paths = [self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name, p)) for p in seen.parts[name]]
+        conf = self.spark._jsc.hadoopConfiguration()
+        return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in paths)
+
+    def compact(self, rows_a_file: int = ROWS_A_FILE, bytes_a_file: int = BYTES_A_FILE) -> bool:
         """Merge the parts of every table into one, in order of ID, and name all that counts
         in one entry; false, and nothing changes, if a load was entered meanwhile."""
         seen = self.snapshot()
         part = uuid.uuid4().hex
         for name in self.schemas:
             rows = self.read(name, seen)
-            files = max(1, -(-rows.count() // rows_a_file))
+            files = max(1, -(-rows.count() // rows_a_file), -(-self.stored_bytes(name, seen) // bytes_a_file))
             # By ID, where there is one, as a number first; else by all columns, of which the
             # first may have few values.
             own = F.col("id" if "id" in rows.columns else rows.columns[0])
