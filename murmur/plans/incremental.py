@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur import fixed
+from murmur.session import materialize, scratch
 from murmur.sources.tables import TEXTS, Snapshot, Tables, category_rows, issue_rows, review_rows, undated_rows
 
 
@@ -56,15 +57,17 @@ def text_hash(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def first_times(tables: Tables, feedback: DataFrame, seen: Snapshot, text: str = "original") -> DataFrame:
-    """``feedback`` without texts that were loaded before ``seen``.
+def first_times(tables: Tables, feedback: DataFrame, seen: Snapshot, hashed: Column | None = None) -> DataFrame:
+    """``feedback`` without texts that were loaded before ``seen``; ``hashed`` is the text's
+    hash, by default that of ``original``.
 
     The stored hashes are read once and not shuffled if the new ones are few, as they are
     for a load; only those that are found come back.
     """
-    new = feedback.select(text_hash(F.col(text)).alias("hash")).distinct()
+    hashed = text_hash(F.col("original")) if hashed is None else hashed
+    new = feedback.select(hashed.alias("hash")).distinct()
     known = tables.read(TEXTS, seen).join(new, "hash", "left_semi")
-    return feedback.join(known.select(F.col("hash").alias("_hash")), text_hash(F.col(text)) == F.col("_hash"), "left_anti")
+    return feedback.join(known.select(F.col("hash").alias("_known")), hashed == F.col("_known"), "left_anti")
 
 
 def load(
@@ -90,18 +93,27 @@ def load(
     """
     tables.create()
     batch = batch or uuid.uuid4().hex
+    with scratch():
+        return _load(tables, feedback, categories, issues, today, batch, since, once)
+
+
+def _load(tables: Tables, feedback, categories, issues, today, batch: str, since, once: bool) -> int:
+    stored = False
     while True:
         seen = tables.snapshot()
         done = tables.log().filter(F.col("batch") == batch).first()
         if done is not None:
             return done["first_id"]
+        if once and not stored:
+            # Each table and the log's entry read it, some twice: made and hashed once.
+            feedback, stored = materialize(feedback.withColumn("_hash", text_hash(F.col("original")))), True
         first_day = datetime.date.fromisoformat(fixed.FIRST_DATE)
         base = tables.spark.range(1).select(batch_base(F.lit(seen.top or 0).cast("long"), F.lit(today))).first()[0]
         start = since if since is not None else seen.mark or first_day
         part = f"{batch}-{uuid.uuid4().hex[:8]}"
         new, _ = newer_than(feedback, [], F.lit(start))
         if once:
-            new = first_times(tables, new, seen)
+            new = first_times(tables, new, seen, F.col("_hash"))
         loaded = new.filter(F.col("translated").isNotNull())
         mine = lambda child: child.join(loaded.select("id"), "id", "left_semi")
         aside = undated(feedback).join(
@@ -114,7 +126,7 @@ def load(
             "reviews": review_rows(loaded, base),
         }
         if once:
-            written[TEXTS] = loaded.select(text_hash(F.col("original")).alias("hash")).distinct()
+            written[TEXTS] = loaded.select(F.col("_hash").alias("hash")).distinct()
         for name, rows in written.items():
             tables.write(name, rows, part)
         given = F.max(F.when(F.col("translated").isNotNull() | F.col("date").isNull(), F.col("id")))

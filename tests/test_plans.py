@@ -259,6 +259,30 @@ def test_compaction_keeps_rows_and_readers(spark, tmp_path):
     assert {n: rows(n) for n in before} == whole
 
 
+def test_compaction_bounds_the_bytes_of_a_file(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "t"))
+    I.load(tables, *feedback_of(spark, [datetime.date(2018, 5, 1)] * 9), datetime.date(2018, 5, 10), "a")
+    before = sorted(map(tuple, tables.read("reviews").collect()))
+    assert tables.compact(bytes_a_file=1000)
+    assert len(tables.read("reviews").inputFiles()) > 1
+    assert sorted(map(tuple, tables.read("reviews").collect())) == before
+
+
+def test_a_load_of_new_texts_makes_its_feedback_once(spark, tmp_path):
+    feedback, categories, issues = feedback_of(spark, [datetime.date(2018, 5, 1)] * 6)
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        made.add(1)
+        return text
+
+    tables = Tables(spark, str(tmp_path / "t"))
+    feedback = feedback.withColumn("original", counted("original"))
+    I.load(tables, feedback, categories, issues, datetime.date(2018, 5, 10), "a", datetime.date(2000, 1, 1), once=True)
+    assert made.value == 6 and tables.read("reviews").count() == 5  # one is not translated
+
+
 def test_texts_come_once_over_loads(spark, tmp_path):
     tables, day = Tables(spark, str(tmp_path / "t")), datetime.date(2018, 5, 1)
     for k, (batch, days) in enumerate([(range(0, 4), [day] * 4), (range(2, 6), [day] * 4), (range(0, 7), [day] * 7)]):
