@@ -7,21 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from murmur.operators.similarity import term_counts, weighed
-from murmur.session import materialize
+from murmur.session import scratch
 from murmur.sources.tables import Tables
 
 
 def term_tables(spark: SparkSession, root: str, key: str, by: list[str]) -> Tables:
     """Tables of term counts under one root, with a log like that of the feedback. ``key``
-    is a long, the columns of ``by`` are strings."""
+    is a long, the columns of ``by`` are strings. A text's terms are in one row."""
     groups = ", ".join(f"{c} string" for c in by)
     schemas = {
-        "tf": f"{groups}, {key} long, term string, tf long",
+        "counts": f"{groups}, {key} long, terms array<string>, tfs array<long>",
         "df": f"{groups}, term string, n_texts long",
         "totals": f"{groups}, n long",
     }
     tables = Tables(spark, root, schemas)
     tables.create()
+    if not tables.log().filter(F.exists("adds", lambda part: part.startswith("tf/"))).isEmpty():
+        raise ValueError(f"{root} has a row a term; its texts must be added to new tables")
     return tables
 
 
@@ -31,10 +33,11 @@ def add_texts(tables: Tables, bags: DataFrame, key: str, by: list[str], batch: s
     batch = batch or uuid.uuid4().hex
     if not tables.log().filter(F.col("batch") == batch).isEmpty():
         return
-    tf, df, total = term_counts(materialize(bags), key, by)
     part = f"{batch}-{uuid.uuid4().hex[:8]}"
-    for name, rows in (("tf", tf), ("df", df), ("totals", total)):
-        tables.write(name, rows, part)
+    with scratch():
+        counts, df, total = term_counts(bags, key, by)
+        for name, rows in (("counts", counts), ("df", df), ("totals", total)):
+            tables.write(name, rows, part)
     while True:
         seen = tables.snapshot()
         if not tables.log().filter(F.col("batch") == batch).isEmpty():
@@ -50,4 +53,4 @@ def stored_weights(tables: Tables, key: str, by: list[str]) -> DataFrame:
     seen = tables.snapshot()
     df = tables.read("df", seen).groupBy(*by, "term").agg(F.sum("n_texts").alias("n_texts"))
     total = tables.read("totals", seen).groupBy(*by).agg(F.sum("n").alias("n"))
-    return weighed(tables.read("tf", seen), df, total, key, by)
+    return weighed(tables.read("counts", seen), df, total, key, by)

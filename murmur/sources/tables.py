@@ -214,10 +214,10 @@ class Tables:
         for name in self.schemas:
             rows = self.read(name, seen)
             files = max(1, -(-rows.count() // rows_a_file), -(-self.stored_bytes(name, seen) // bytes_a_file))
-            # By ID, where there is one, as a number first; else by all columns, of which the
-            # first may have few values.
+            # By ID, where there is one, as a number first; else by all columns but lists, of
+            # which the first may have few values.
             own = F.col("id" if "id" in rows.columns else rows.columns[0])
-            order = [own.try_cast("long"), own] if "id" in rows.columns else [F.col(c) for c in rows.columns]
+            order = [own.try_cast("long"), own] if "id" in rows.columns else [F.col(c) for c, t in rows.dtypes if not t.startswith("array")]
             self.write(name, rows.repartitionByRange(files, *order).sortWithinPartitions(*order), part)
         adds = [f"{name}/{part}" for name in self.schemas]
         return self._enter(seen.number + 1, f"compaction {part}", None, seen.top, seen.mark, adds, [], True)

@@ -1,6 +1,7 @@
 """Sources, tables, loads and whole jobs."""
 
 import datetime
+import math
 import os
 from concurrent.futures import ThreadPoolExecutor
 
@@ -313,6 +314,45 @@ def test_term_tables_over_loads(spark, tmp_path):
     assert rounded(TM.stored_weights(tables, "id", ["store"])) == want
 
 
+def test_weights_keep_a_text_together(spark, tmp_path, monkeypatch):
+    """Terms are stored a row a text, and are sorted by text only where the order is read."""
+    texts = [(i % 20 or None, "s" if i % 3 else None, [f"w{j * j % (i + 1)}" for j in range(i % 6)] + [None] * (i % 2)) for i in range(40)]
+    bags = spark.createDataFrame(texts, "id long, store string, bag array<string>")
+    tables = TM.term_tables(spark, str(tmp_path / "terms"), "id", ["store"])
+    TM.add_texts(tables, bags.filter("id < 9"), "id", ["store"], "a")
+    stored = tables.read("counts")
+    assert stored.filter("id = 7 and store = 's'").select("id", F.explode("terms")).count() == len({w for i, s, b in texts if (i, s) == (7, "s") for w in b})
+    once = spark.createDataFrame([(1, "s", ["a", "b", "a"]), (2, "s", [])], "id long, store string, bag array<string>")
+    TM.add_texts(tables, once.withColumn("id", F.col("id") + 100), "id", ["store"], "b")
+    assert [(r.id, r.terms, r.tfs) for r in tables.read("counts").filter("id > 100").collect()] == [(101, ["a", "b"], [2, 1])]
+
+    merged = {}
+    for i, store, bag in texts:
+        for w in bag:
+            of = merged.setdefault((store, i), {})
+            of[w] = of.get(w, 0) + 1
+    want = {}
+    n = sum(s == "s" for _, s, _ in texts)
+    for (store, i), of in merged.items():
+        if store == "s":
+            df = {w: sum(w in other for (t, _), other in merged.items() if t == "s") for w in of}
+            raw = {w: tf * (math.log((1 + n) / (1 + df[w])) + 1) for w, tf in of.items() if w}
+            length = math.sqrt(sum(x * x for x in raw.values()))
+            want |= {(i, w): (df[w], round(x / length, 9)) for w, x in raw.items()}
+    for common in (0, 2, 100_000):
+        monkeypatch.setattr(S, "COMMON", common)
+        weighted = S.weights(bags, "id", ["store"]).drop("rest")
+        assert {(r.id, r.term): (r.n_texts, round(r.weight, 9)) for r in weighted.collect()} == want
+        assert "Window" not in weighted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_of_a_row_a_term_are_refused(spark, tmp_path):
+    old = Tables(spark, str(tmp_path / "terms"), {"tf": "store string, id long, term string, tf long"})
+    old.create()
+    with pytest.raises(ValueError):
+        TM.term_tables(spark, str(tmp_path / "terms"), "id", ["store"])
+
+
 def word_tables(spark):
     memory = spark.createDataFrame([("fr", "x", "y")], "lang string, text_hash string, translated string")
     sentiment = spark.createDataFrame([("love", 1.0), ("hate", -1.0)], "word string, score double")
