@@ -448,3 +448,44 @@ def test_similar_words_gain_their_head(spark):
     senses = spark.createDataFrame([("quick", "s1", 1), ("fast", "s1", 1), ("car", "s2", 1)], "lemma string, synset_id string, rank int")
     got = dict(rows(C.merge_similar_words(df, "t", "id", ["g"], senses), "id", "bag"))
     assert got[0] == ["quick", "car", "fast"] and got[4] == ["fast", "fast", "car"] and got[7] == ["fast", "quick", "fast"]
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_heads_meet_texts_without_a_sort_of_words(spark, monkeypatch, few):
+    monkeypatch.setattr(C, "FEW_HEADS", few)
+    rng = random.Random(5)
+    words = ["ear", "are", "era", "tea", "Eat", "eats", "seat", "of", "map"]
+    texts = [(i % 25, rng.choice("gh"), " ".join(rng.choices(words, k=rng.randint(0, 8)))) for i in range(30)] + [(None, "g", "ear are"), (99, None, "ear are")]
+    df = spark.createDataFrame(texts, "id long, g string, t string")
+    senses = spark.createDataFrame([(w.lower(), "".join(sorted(w.lower())), 1) for w in words], "lemma string, synset_id string, rank int")
+    merged = C.merge_similar_words(df, "t", "id", ["g"], senses)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" if few else "ShuffledHashJoin") in plan
+
+    form = T.normal_python
+    want = []
+    heads = {}
+    for g in "gh":
+        used = collections.Counter(form(w) for _, h, t in texts if h == g for w in t.split())
+        surface = {m: min((-n, w) for w, n in collections.Counter(w for _, h, t in texts if h == g for w in t.split()).items() if form(w) == m)[1] for m in used}
+        sets = {}
+        for m, n in used.items():
+            if n >= fixed.MERGE_MIN_COUNT and len(m) >= 3:
+                sets.setdefault("".join(sorted(surface[m].lower())), []).append((-n, m))
+        heads |= {(g, m): min(s)[1] for s in sets.values() for _, m in s if m != min(s)[1]}
+    for i, g, t in texts:
+        same = [x for x in texts if x[:2] == (i, g)] if i is not None and g else []
+        more = sorted(heads[g, m] for _, _, u in same for m in {form(w) for w in u.split()} if (g, m) in heads)
+        want.append((i, g, [form(w) for w in t.split()] + more))
+    order = lambda found: sorted(found, key=str)
+    assert order((r.id, r.g, r.bag) for r in merged.collect()) == order(want)
+
+
+def test_letters_of_document_words_are_sorted_once_a_word(spark, tmp_path):
+    from workload.queries import _document_senses
+
+    spark.createDataFrame([("Tea eat tea",)], "text string").write.parquet(str(tmp_path / "documents.parquet"))
+    senses = _document_senses(spark, str(tmp_path))
+    assert rows(senses, "lemma", "synset_id", "rank") == [("eat", "aet", 1), ("tea", "aet", 1)]
+    plan = X.first_senses(senses)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "Generate" not in plan
