@@ -213,12 +213,12 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                     [
                         batch.column(key)[rows].cast(pa.string()), batch.column(lang)[rows],
                         pa.ListArray.from_arrays(offsets, pa.array(b, pa.int32())),
-                        pa.ListArray.from_arrays(offsets, pa.array(counts[i, b], pa.int64())),
+                        pa.ListArray.from_arrays(offsets, pa.array(counts[i, b].astype(np.int32))),
                     ],
                     ["key", "lang", "bins", "counts"],
                 )
 
-    found = small_batches(chosen).select(key, lang, text).mapInArrow(run, "key string, lang string, bins array<int>, counts array<long>")
+    found = small_batches(chosen).select(key, lang, text).mapInArrow(run, "key string, lang string, bins array<int>, counts array<int>")
     rows = found.toArrow().sort_by([("key", "ascending"), ("lang", "ascending")])
     rows = rows.filter(pc.greater(pc.list_value_length(rows.column("bins")), 0))
     names = rows.column("lang").to_pylist()

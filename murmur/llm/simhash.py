@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from murmur.llm.frames import FILE, ROW, placed, small_batches, texts_of
-from murmur.operators.clusters import components
+from murmur.operators.clusters import star_forest
 from murmur.session import materialize, materialize_measured
 
 RADIUS, WORDS, SEED = 3, 3, 42
@@ -97,7 +97,8 @@ def _rows_of(bucket: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
 
 
 def _met(sent: DataFrame, meet: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(a, b): distinct links that ``meet(bucket, sorted variants)`` finds in the buckets."""
+    """(a, b): links that ``meet(bucket, sorted variants)`` finds in the buckets, distinct in
+    each reducer."""
 
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket").to_numpy()
@@ -163,8 +164,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     distinct, seen = materialize_measured(
         rows.groupBy("fingerprint").agg(F.min(key).alias("first")), n=F.count(F.lit(1))
     )
-    links = materialize(ball_links(distinct, seen["n"], radius).distinct())
-    roots = components(links).select(F.col("node").alias("fingerprint"), "root")
+    roots = star_forest(ball_links(distinct, seen["n"], radius)).toDF("fingerprint", "root")
     placed = materialize(
         distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     )

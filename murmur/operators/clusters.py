@@ -15,26 +15,28 @@ from murmur.session import discard, materialize, materialize_measured
 FEW_HEADS = 100_000
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge; the root is its component's least node.
+def star_forest(edges: DataFrame) -> DataFrame:
+    """(a, b) of every node with an edge that is not its component's least node, which is b.
 
     ``edges`` is (a, b). Alternates large-star and small-star steps (Kiveris et al.,
     2014), which keep at most one edge per node pair and need O(log² n) rounds. Each
     step is a partial min per node and a join back, so a node with very many
     neighbours is never gathered; AQE splits its rows in the join.
+
+    Edges go from the greater node to the lesser, before and after each step, and no step
+    makes more of them. So a step joins them as they are, and a round folds equal ones once,
+    at its end. What a step makes is read twice by the next and is written between them:
+    otherwise its join runs again for each reader, and the driver keeps records of all tasks.
     """
 
-    def star(stars: DataFrame, large: bool) -> DataFrame:
+    def large(stars: DataFrame) -> DataFrame:
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if not large:
-            both = both.filter(F.col("b") < F.col("a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        if large:
-            moved = both.filter(F.col("b") > F.col("a")).join(low, "a").select("b", "m")
-            moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            moved = both.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            moved = moved.union(low.select("a", F.col("m").alias("b")))
+        return stars.join(low.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b"))
+
+    def small(stars: DataFrame) -> DataFrame:
+        low = stars.groupBy("a").agg(F.min("b").alias("m"))
+        moved = stars.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         return moved.filter(F.col("a") != F.col("b")).distinct()
 
     def settle(rows: DataFrame) -> tuple[DataFrame, dict]:
@@ -49,8 +51,16 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while after != before:  # a round that changes nothing is the last
         last, before = stars, after
-        stars, after = settle(star(star(stars, large=True), large=False))
+        moved = materialize(large(stars))
+        stars, after = settle(small(moved))
         discard(last)
+        discard(moved)
+    return stars
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node with an edge; the root is its component's least node."""
+    stars = star_forest(edges)
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 

@@ -248,6 +248,30 @@ def test_components(spark, shape):
     assert got == union_find(nodes, [e for e in edges if e[0] != e[1]])
 
 
+def test_a_round_of_components_has_few_tasks(spark, monkeypatch):
+    """The driver keeps records of all tasks: three times the partitions a round, and what
+    reads the files."""
+    parts, rounds, put = 24, [], C.materialize_measured
+    monkeypatch.setattr(C, "materialize_measured", lambda *a, **b: rounds.append(1) or put(*a, **b))
+    edges = materialize(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").coalesce(1))
+    held = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("a round of components", "")
+        C.components(edges)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in tracker.getJobIdsForGroup("a round of components") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
+    assert tasks > parts and len(rounds) > 3
+    assert tasks < 5 * parts * len(rounds), (tasks, len(rounds))
+
+
 def template_bags(n, seed=3):
     """``n`` near copies of one text, some unlike texts, and a second template."""
     rng = random.Random(seed)
