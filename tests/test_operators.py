@@ -354,6 +354,27 @@ def test_similar_pairs_over_blocks(spark, monkeypatch):
     assert union_find(bags, [tuple(r) for r in tree]) == union_find(bags, near)
 
 
+def test_blocks_are_stored_once_and_meet_without_a_shuffle(spark, monkeypatch):
+    """Many blocks of two groups, with limits so low that each is met."""
+    limits = {"BLOCK": 6, "SMALL": 6, "ENTRIES": 25, "PACKED": 60, "COMMON": 5, "CHUNK": 2, "PRODUCTS": 4, "AGAIN": 3}
+    for name, value in limits.items():
+        monkeypatch.setattr(blocks, name, value, raising=False)
+    bags = {i: b for i, b in random_bags(5).items() if b}
+    want = {}
+    for g in (0, 1):
+        w = brute_weights({i: b for i, b in bags.items() if i % 2 == g})
+        dots = {(a, b): sum(v * w[b].get(t, 0) for t, v in w[a].items()) for a in w for b in w if a < b}
+        want |= {(f"g{g}", f"k{a:03}", f"k{b:03}"): s for (a, b), s in dots.items() if round(s, 9) >= 0.5}
+    df = spark.createDataFrame([(f"g{i % 2}", f"k{i:03}", b) for i, b in bags.items()], "g string, id string, bag array<string>")
+    out = S.similar_pairs(S.weights(df, "id", ["g"]), "id", ["g"], 0.5)
+    found = out.collect()
+    got = {(r.g, r.a, r.b): r.similarity for r in found}
+    assert got.keys() == want.keys() and len(found) == len(got)
+    assert all(math.isclose(got[p], want[p], abs_tol=1e-9) for p in want)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan and "Generate" not in plan
+
+
 def test_clusters_brute_force(spark):
     bags = random_bags(9)
     w = brute_weights(bags)
