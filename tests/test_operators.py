@@ -3,6 +3,7 @@
 import collections
 import datetime
 import math
+import os
 import random
 
 import pytest
@@ -12,7 +13,7 @@ from murmur import fixed
 from murmur.functions import text as T
 from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
 from murmur.operators import blocks, phrases as P, rows as R, similarity as S, stats as ST, tagging as G
-from murmur.session import materialize
+from murmur.session import materialize, materialize_alone, scratch, scratch_dir
 
 
 def rows(df, *columns):
@@ -389,6 +390,29 @@ def test_clusters_brute_force(spark):
     assert got == want and want
 
 
+def test_clusters_leave_no_weights_or_blocks_behind(spark):
+    """What is written for the links goes once they are there."""
+    df = spark.createDataFrame([("g", i, b) for i, b in random_bags(9).items()], "g string, id long, bag array<string>")
+    before = set(os.listdir(scratch_dir(spark)))
+    out = C.cluster_texts(df, "id", ["g"], 0.8)
+    left = [f"{scratch_dir(spark)}/{d}" for d in set(os.listdir(scratch_dir(spark))) - before]
+    columns = {c for d in left for c in spark.read.parquet(d).columns}
+    assert columns and not columns & {"codes", "weights", "terms", "n_texts", "_length"}
+    assert out.count()
+
+
+def test_materialize_alone_keeps_only_its_result(spark):
+    before = set(os.listdir(scratch_dir(spark)))
+    with scratch():
+        given = materialize(spark.range(3))
+        out = materialize_alone(lambda: materialize(given.select((F.col("id") + 1).alias("v"))).filter("v > 1"))
+        assert len(set(os.listdir(scratch_dir(spark))) - before) == 2
+        assert given.count() == 3 and rows(out) == [(2,), (3,)]
+        with pytest.raises(ValueError):
+            materialize_alone(lambda: [materialize(given), int("x")][0])
+    assert set(os.listdir(scratch_dir(spark))) == before
+
+
 def test_summaries(spark):
     df = spark.createDataFrame(
         [(1, 1, "alpha beta beta"), (1, 2, "alpha alpha alpha alpha"), (1, 3, "x" * 90), (2, 4, "y" * 90), (3, 5, "?!")],
