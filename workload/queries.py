@@ -12,7 +12,7 @@ from murmur.functions import agent, cleaning, text as T, values as V
 from murmur.operators import clusters as C, enrich as E, expand as X, joins as J, matching as M
 from murmur.operators import phrases as P, rows as R, similarity as S, stats as ST, tagging as G
 from murmur.plans import incremental as I, pipeline, report as RP, terms as TM
-from murmur.session import materialize, scratch_path, spread, tune
+from murmur.session import materialize, materialize_alone, scratch_path, spread, tune
 from murmur.sources import dictionaries as D, feedback as FB, tables as TB
 from workload import fixtures as X_
 
@@ -717,7 +717,7 @@ def clusters(spark, folder):
 
 
 def _clustered(spark, folder):
-    found = materialize(clusters(spark, folder)).select("id", "cluster")
+    found = materialize_alone(lambda: clusters(spark, folder)).select("id", "cluster")
     return _one_device(spark, folder).join(found, "id")
 
 
