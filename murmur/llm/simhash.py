op9_simhash: fingerprints travel to the buckets of their variants

Symptom: op9_simhash shuffled more than twice its input, since each distinct fingerprint sent 561 variants on average.
Evidence: 0.10 GB, quick run of the profiler: 217 MB shuffled, 213 MB of them the variants, 0.23 GB of disk, executor peak 1,565 MB.
Fix: a variant's bucket is the parities of groups of bits, so a fingerprint's variants share few buckets; it goes to each once as a plain row, and the variants are made and sorted there.
Effect: at 0.6 GB of input CPU 295 -> 283 s, shuffle 1.54 -> 0.11 GB, spill 0.00 -> 0.00 GB, read 0.64 -> 0.64 GB, longest task 12 -> 12 s, most memory of a task 101 -> 101 MB; at 6 GB of input CPU 1626 -> 1537 s, shuffle 15.67 -> 1.86 GB, spill 0.00 -> 0.00 GB, read 6.36 -> 6.36 GB, longest task 40 -> 25 s, most memory of a task 306 -> 470 MB; with hot keys, at 0.6 GB of input CPU 240 -> 232 s, shuffle 1.23 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 0.21 -> 0.21 GB, longest task 8 -> 7 s, most memory of a task 101 -> 85 MB.

@@ -9,12 +9,14 @@ in parity, so even ones go the smaller half and odd ones the larger. For radius
 fingerprints flip two bits only inside one half of the word: of any three differing bits
 two lie in one half, and an even fingerprint flips the third. So nothing is missed.
 
-A variant travels as eight bytes: a bijective mix of it decides on one of a power of two
-of buckets by its first bits, and what is left of the mix leaves room for the flip that
-made it. Each task sends one row for a bucket and chunk. The mix is uniform and copies
-are folded before, so buckets are even, and their number follows the number of
-fingerprints. Where several meet, each is linked to the nearest one instead of to every
-other; links keep all of a group connected and their number linear.
+Variants don't travel, fingerprints do: the bits of the word fall into groups, each inside
+one half, and a variant's bucket is the parities of its groups. One flip changes one parity,
+so all variants of a fingerprint lie in few buckets. It goes to each of these once, as a
+plain row, and there the variants that belong to the bucket are made, sorted and verified.
+Copies are folded before, near copies differ in parities too, and the number of groups
+follows that of fingerprints, so a bucket holds about the same however many there are.
+Where several meet, each is linked to the nearest one instead of to every other; links
+keep all of a group connected and their number linear.
 
 Defined results: a null text, or one without words, has fingerprint zero, linked like
 any other; a text shorter than a shingle is one shingle; repeated rows and equal ids are
@@ -23,7 +25,8 @@ copies; rows without an id get the least id of their group, null if there is non
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -37,13 +40,8 @@ from murmur.session import materialize, materialize_measured
 
 RADIUS, WORDS, SEED = 3, 3, 42
 BITS = 64
-CODE_BITS = 11
-SENT = "reducer long, bucket long, variants binary"
-#: Fingerprints whose variants are made at once, variants that a bucket is meant to hold, and
-#: bits of the buckets that go to a reducer together.
-CHUNK, IN_BUCKET, TOGETHER = 4096, 1 << 18, 4
-_ODD = 0x9E3779B97F4A7C15
-MIX, UNMIX = np.uint64(_ODD), np.uint64(pow(_ODD, -1, 1 << 64))
+#: Fingerprints of an Arrow batch, and variants that a bucket is meant to hold.
+CHUNK, IN_BUCKET = 4096, 1 << 18
 
 
 def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
@@ -87,73 +85,76 @@ def flips(radius: int, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return np.array([0, *even], np.uint64), np.array([0, *odd], np.uint64)
 
 
-def _rows_of(bucket: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
-    """A row for each bucket with all its variants, eight bytes each."""
-    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
-    which, first = np.unique(bucket[order], return_index=True)
-    cuts = pa.py_buffer(8 * np.append(first, len(rest)).astype(np.int64))
-    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(which), [None, cuts, pa.py_buffer(rest[order])])
-    return pa.RecordBatch.from_arrays([pa.array(which >> TOGETHER), pa.array(which), data.cast(pa.binary())], ["reducer", "bucket", "variants"])
-
-
-def _met(sent: DataFrame, meet: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(a, b): links that ``meet(bucket, sorted variants)`` finds in the buckets, distinct in
-    each reducer."""
-
-    def run(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket").to_numpy()
-        variants = group.column("variants").to_pylist()
-        order = np.argsort(bucket, kind="stable")
-        links = []
-        for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            rest = np.sort(np.frombuffer(b"".join([variants[i] for i in own]), np.uint64))
-            a, b = (x.view(np.int64) for x in meet(int(bucket[own[0]]), rest))
-            links.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1))
-        pairs = np.unique(np.concatenate(links, axis=1), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+def bit_groups(groups: int, bits: int = BITS) -> list[int]:
+    """So many masks that share out the bits of a word, none with bits of both halves."""
+    half, low = bits // 2, groups // 2
+    shares = [(range(half), low), (range(half, bits), groups - low)]
+    return [sum(1 << i for i in part[k::n]) for part, n in shares for k in range(n)]
+
+
+def parities(words: np.ndarray, masks: list[int]) -> np.ndarray:
+    """The bucket of each word: the parity of each group of its bits."""
+    found = np.zeros(len(words), np.int64)
+    for k, mask in enumerate(masks):
+        found |= (np.bitwise_count(words & np.uint64(mask)) & 1).astype(np.int64) << k
+    return found
 
-    return sent.groupBy("reducer").applyInArrow(run, "a long, b long")
+
+def sent(distinct: DataFrame, masks: list[int], even: np.ndarray, odd: np.ndarray) -> DataFrame:
+    """(bucket, fingerprint): each fingerprint once for every bucket that its variants fall in."""
+    fp = F.col("fingerprint")
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+    own = reduce(
+        lambda found, bit: found.bitwiseOR(bit),
+        [F.shiftleft((F.bit_count(fp.bitwiseAND(F.lit(m))) % 2).cast("long"), k) for k, m in enumerate(signed)],
+        F.lit(0).cast("long"),
+    )
+    away = lambda flip: F.lit(np.unique(parities(flip, masks)).tolist()).cast("array<long>")
+    moves = F.when(F.bit_count(fp) % 2 == 1, away(odd)).otherwise(away(even))
+    return distinct.select("fingerprint", F.explode(moves).alias("move")).select(
+        own.bitwiseXOR(F.col("move")).alias("bucket"), "fingerprint"
+    )
 
 
 def ball_links(distinct: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
     """(a, b): links that connect all distinct fingerprints within ``radius`` bits."""
     even, odd = flips(radius)
-    masks = odd if len(odd) >= len(even) else even
-    bits = max(CODE_BITS, int(count * (len(even) + len(odd)) / 2 / IN_BUCKET).bit_length())
-    inside = np.uint64(BITS - bits)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            all_fp = batch.column("fingerprint").to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(all_fp), CHUNK):
-                fp = all_fp[i : i + CHUNK]
-                is_odd = np.bitwise_count(fp) & 1 == 1
-                made = []
-                for own, flip in ((fp[~is_odd], even), (fp[is_odd], odd)):
-                    variant = (own[:, None] ^ flip[None, :]) * MIX
-                    code = np.broadcast_to(np.arange(len(flip), dtype=np.uint64), variant.shape)
-                    made.append((variant.ravel(), code.ravel()))
-                mixed, code = (np.concatenate([m[k] for m in made]) for k in range(2))
-                yield _rows_of((mixed >> inside).astype(np.int64), mixed << np.uint64(CODE_BITS) | code)
-
-    def meet(bucket: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        point = rest >> np.uint64(CODE_BITS)
-        first = np.flatnonzero(np.append(True, point[1:] != point[:-1]))
-        size = np.diff(np.append(first, len(rest)))
-        met = np.repeat(size > 1, size)
-        nearest = np.repeat(first, size)[met]
-        other = np.flatnonzero(met)
-        top = np.uint64(bucket >> (bits - CODE_BITS)) << np.uint64(BITS - CODE_BITS)
-
-        def made_by(i: np.ndarray) -> np.ndarray:
-            return ((point[i] | top) * UNMIX) ^ masks[(rest[i] & np.uint64((1 << CODE_BITS) - 1)).astype(np.int64)]
-
-        a, b = made_by(nearest), made_by(other)
+    masks = bit_groups(int(count * (len(even) + len(odd)) / 2 / IN_BUCKET).bit_length())
+    # Which flips lead from a fingerprint's parities to a bucket's, nearest first.
+    leads = {
+        (is_odd, int(move)): np.flatnonzero(to == move)
+        for is_odd, to in ((0, parities(even, masks)), (1, parities(odd, masks)))
+        for move in np.unique(to)
+    }
+
+    def meet(group: pa.Table) -> pa.Table:
+        fp = group.column("fingerprint").to_numpy().view(np.uint64)
+        move = parities(fp, masks) ^ group.column("bucket")[0].as_py()
+        is_odd = (np.bitwise_count(fp) & 1).astype(np.int64)
+        order = np.lexsort((move, is_odd))
+        cuts = np.flatnonzero((np.diff(move[order]) != 0) | (np.diff(is_odd[order]) != 0)) + 1
+        points, makers, codes = [], [], []
+        for alike in np.split(order, cuts):
+            code = leads[int(is_odd[alike[0]]), int(move[alike[0]])]
+            flip = (odd if is_odd[alike[0]] else even)[code]
+            points.append((fp[alike][:, None] ^ flip[None, :]).ravel())
+            makers.append(np.repeat(fp[alike], len(code)))
+            codes.append(np.tile(code.astype(np.int16), len(alike)))
+        point, maker, code = map(np.concatenate, (points, makers, codes))
+        order = np.argsort(point)
+        equal = point[order[1:]] == point[order[:-1]]
+        met = order[np.append(equal, False) | np.append(False, equal)]
+        met = met[np.lexsort((code[met], point[met]))]
+        first = np.flatnonzero(np.append(True, np.diff(point[met]) != 0))[: len(met)]
+        nearest = np.repeat(maker[met][first], np.diff(np.append(first, len(met))))
+        a, b = nearest, maker[met]
         near = (a != b) & (np.bitwise_count(a ^ b) <= radius)
-        return a[near], b[near]
+        a, b = a[near].view(np.int64), b[near].view(np.int64)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
-    sent = small_batches(distinct, CHUNK).select("fingerprint").mapInArrow(emit, SENT)
-    return _met(sent, meet)
+    rows = sent(small_batches(distinct, CHUNK), masks, even, odd)
+    return rows.groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:

@@ -92,6 +92,52 @@ def test_links_of_a_large_group_stay_few(spark):
     assert links.distinct().count() < 70 * len(prints)
 
 
+@pytest.mark.parametrize("radius,groups", [(0, 0), (1, 1), (2, 5), (3, 7), (3, 20)])
+def test_a_fingerprint_travels_once_to_each_bucket_of_its_variants(spark, radius, groups):
+    rng = random.Random(groups)
+    prints = [0, 1, (1 << 64) - 1, 1 << 63, *(rng.getrandbits(64) for _ in range(40))]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    masks = simhash.bit_groups(groups)
+    assert len(masks) == groups and sum(masks) == sum(set(masks)) < 1 << 64
+    even, odd = simhash.flips(radius)
+    rows = simhash.sent(spark.createDataFrame([(s,) for s in signed], "fingerprint long"), masks, even, odd).collect()
+    want = set()
+    for p, s in zip(prints, signed):
+        for flip in (odd if bin(p).count("1") % 2 else even).tolist():
+            want.add((sum(bin((p ^ flip) & m).count("1") % 2 << k for k, m in enumerate(masks)), s))
+    assert sorted(map(tuple, rows)) == sorted(want)
+    # With 7 groups 8 rows for an even one, 17 for an odd one, instead of 65 and 1,057 variants.
+    assert len(rows) <= len(prints) * (1 + groups + groups * groups // 4)
+
+
+def test_what_is_sent_for_links_is_rows_of_fingerprints(spark):
+    prints = spark.createDataFrame([(i * 7919,) for i in range(500)], "fingerprint long")
+    links = simhash.ball_links(prints, 500_000, 3)
+    plan = links._jdf.queryExecution().optimizedPlan()
+    assert "binary" not in plan.toString() and "variants" not in plan.toString() and "MapInArrow" not in plan.toString()
+    assert [f.name for f in links.schema] == ["a", "b"]
+
+
+@pytest.mark.parametrize("count", [1, 500, 500_000, 50_000_000])
+def test_links_do_not_depend_on_the_number_of_groups(spark, count):
+    rng = random.Random(3)
+    centre = [rng.getrandbits(63) for _ in range(30)]
+    prints = sorted({c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for c in centre for _ in range(4)} | {0})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    found = {(r.a, r.b) for r in simhash.ball_links(spark.createDataFrame([(s,) for s in signed], "fingerprint long"), count, 3).collect()}
+    root = {s: s for s in signed}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a, b in found:
+        assert a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= 3
+        root[find(a)] = find(b)
+    assert len({find(s) for s in signed}) == len(set(plain_components(list(range(len(prints))), prints, 3)))
+
+
 def test_languages(spark, sf_dir, odd_docs, no_docs):
     docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
     found = {r.doc_id: r for r in langid.languages(docs).collect()}
