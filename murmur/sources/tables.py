@@ -39,6 +39,8 @@ INDEX_SCHEMA = "file string, low long, high long, others boolean"
 #: Rows of a file that compaction writes, and its bytes, about: one task sorts them.
 ROWS_A_FILE = 1_000_000
 BYTES_A_FILE = 64 << 20
+#: How the batch of a compaction's entry begins; its part and bounds follow.
+COMPACTION = "compaction"
 
 
 @dataclass(frozen=True)
@@ -208,10 +210,18 @@ class Tables:
 
     def compact(self, rows_a_file: int = ROWS_A_FILE, bytes_a_file: int = BYTES_A_FILE) -> bool:
         """Merge the parts of every table into one, in order of ID, and name all that counts
-        in one entry; false, and nothing changes, if a load was entered meanwhile."""
+        in one entry; false, and nothing changes, if a load was entered meanwhile. A table
+        that a compaction with the same bounds merged, and that no load added to since, stays
+        as it is."""
         seen = self.snapshot()
-        part = uuid.uuid4().hex
+        part, bounds = uuid.uuid4().hex, f"{rows_a_file} rows {bytes_a_file} bytes"
+        merged = self._merged(bounds)
+        kept = {}
         for name in self.schemas:
+            kept[name] = part
+            if len(seen.parts[name]) == 1 and seen.parts[name][0] in merged.get(name, ()):
+                kept[name] = seen.parts[name][0]
+                continue
             rows = self.read(name, seen)
             files = max(1, -(-rows.count() // rows_a_file), -(-self.stored_bytes(name, seen) // bytes_a_file))
             # By ID, where there is one, as a number first; else by all columns but lists, of
@@ -219,8 +229,17 @@ class Tables:
             own = F.col("id" if "id" in rows.columns else rows.columns[0])
             order = [own.try_cast("long"), own] if "id" in rows.columns else [F.col(c) for c, t in rows.dtypes if not t.startswith("array")]
             self.write(name, rows.repartitionByRange(files, *order).sortWithinPartitions(*order), part)
-        adds = [f"{name}/{part}" for name in self.schemas]
-        return self._enter(seen.number + 1, f"compaction {part}", None, seen.top, seen.mark, adds, [], True)
+        adds = [f"{name}/{kept[name]}" for name in self.schemas]
+        return self._enter(seen.number + 1, f"{COMPACTION} {part} {bounds}", None, seen.top, seen.mark, adds, [], True)
+
+    def _merged(self, bounds: str) -> dict[str, set[str]]:
+        """The parts of each table that the last compaction named, if it had these bounds."""
+        last = self.log().filter("whole").orderBy(F.desc("number")).first()
+        found: dict[str, set[str]] = {}
+        if last["batch"].startswith(f"{COMPACTION} ") and last["batch"].endswith(f" {bounds}"):
+            for add in last["adds"]:
+                found.setdefault(add.split("/", 1)[0], set()).add(add.split("/", 1)[1])
+        return found
 
     def vacuum(self, hours: float = 24.0) -> int:
         """Remove parts that no longer count and were written ``hours`` ago or before, which

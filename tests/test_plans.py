@@ -269,6 +269,33 @@ def test_compaction_bounds_the_bytes_of_a_file(spark, tmp_path):
     assert sorted(map(tuple, tables.read("reviews").collect())) == before
 
 
+def test_compaction_leaves_what_is_merged(spark, tmp_path):
+    """Only tables that got rows since are written again; other bounds, and a table that lost
+    its rows, are not taken for merged."""
+    tables = Tables(spark, str(tmp_path / "t"), {"a": "id string, x string", "b": "x string, n long"})
+    tables.create()
+    tables.append("a", spark.createDataFrame([("2", None), (None, "u"), ("1", "v"), ("1", "v")], "id string, x string"))
+    tables.append("b", spark.createDataFrame([(None, 1), ("z", 2)], "x string, n long"))
+    rows = lambda: [sorted(map(str, tables.read(name).collect())) for name in ("a", "b")]
+    parts = lambda: tables.snapshot().parts
+    before = rows()
+    assert tables.compact() and rows() == before
+    first, number = parts(), tables.snapshot().number
+    assert tables.compact() and (parts(), rows()) == (first, before)
+    assert tables.snapshot().number == number + 1 and len(list((tmp_path / "t" / "a").glob("part=*"))) == 3
+    tables.append("b", spark.createDataFrame([("y", 3)], "x string, n long"))
+    more = rows()
+    assert tables.compact() and rows() == more
+    assert parts()["a"] == first["a"] and len(parts()["b"]) == 1 and parts()["b"] != first["b"]
+    second = parts()
+    assert tables.compact(rows_a_file=1) and rows() == more
+    assert not set(parts()["a"]) & set(second["a"]) and not set(parts()["b"]) & set(second["b"])
+    tables.clear("a")
+    assert tables.compact(rows_a_file=1) and rows() == [[], more[1]] and len(parts()["a"]) == 1
+    tables.vacuum(hours=0)
+    assert rows() == [[], more[1]]
+
+
 def test_a_load_of_new_texts_makes_its_feedback_once(spark, tmp_path):
     feedback, categories, issues = feedback_of(spark, [datetime.date(2018, 5, 1)] * 6)
     made = spark.sparkContext.accumulator(0)
