@@ -373,6 +373,46 @@ def test_weights_keep_a_text_together(spark, tmp_path, monkeypatch):
         assert "Window" not in weighted._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_counts_are_made_once(spark):
+    """Texts whose keys are repeated, or null, are gathered before the counts are read; where
+    there are none, nothing is sought in the counts."""
+    schema = "id long, store string, bag array<string>"
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    rows = [(1, "s", ["a", "b"]), (1, "s", ["b", None]), (1, None, ["a"]), (2, "s", []), (2, "s", ["c"]), (3, "s", None)]
+    rows += [(None, "s", ["a", "a"]), (None, "s", ["d"]), (None, "s", None)]
+    counts, df, total = S.term_counts(spark.createDataFrame(rows, schema), "id", ["store"])
+    assert "Aggregate" not in plan(counts)
+    each = counts.select("store", "id", F.inline(F.arrays_zip("terms", "tfs")))
+    assert sorted(map(tuple, each.collect()), key=str) == sorted(
+        [("s", 1, "a", 1), ("s", 1, "b", 2), ("s", 1, None, 1), (None, 1, "a", 1), ("s", 2, "c", 1), ("s", None, "a", 2), ("s", None, "d", 1)], key=str
+    )
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(
+        [("s", "a", 2), ("s", "b", 1), ("s", None, 1), (None, "a", 1), ("s", "c", 1), ("s", "d", 1)], key=str
+    )
+    assert {tuple(r) for r in total.collect()} == {("s", 8), (None, 1)}
+    counts, df, _ = S.term_counts(spark.createDataFrame([(1, "s", ["a"]), (2, "s", []), (2, "t", ["a"])], schema), "id", ["store"])
+    assert "Join" not in plan(counts) + plan(df) and counts.count() == 2
+
+
+def test_common_terms_are_a_table_of_their_own(spark, monkeypatch):
+    made, materialize = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df: made.append(materialize(df)) or made[-1])
+    texts = [(i, "s", [f"w{j}" for j in range(12) if i % (j + 1) == 0]) for i in range(40)]
+    bags = spark.createDataFrame(texts, "id long, store string, bag array<string>").repartition(5)
+    df = {j: sum(i % (j + 1) == 0 for i in range(40)) for j in range(12)}
+    for most, common in ((0, []), (3, ["w0", "w1", "w2"]), (100_000, [f"w{j}" for j in range(12)])):
+        made.clear()
+        monkeypatch.setattr(S, "COMMON", most)
+        found = S.weights(bags, "id", ["store"]).select("term", "n_texts").distinct().collect()
+        assert {(r.term, r.n_texts) for r in found} == {(f"w{j}", n) for j, n in df.items()}
+        assert [sorted(r.term for r in t.collect()) for t in made if "_idf" in t.columns] == [sorted(common)]
+    # Of a step the histogram may have several pairs.
+    monkeypatch.setattr(S, "COMMON", 5)
+    assert S._common([{"x": 4, "y": 2.0}, {"x": 9, "y": 1.0}, {"x": 4, "y": 2.0}]) == 4
+    assert S._common([{"x": 4, "y": 3.0}, {"x": 9, "y": 1.0}, {"x": 4, "y": 2.0}]) == 9
+    assert S._common([{"x": 0, "y": 6.0}]) is None and S._common([]) is None
+
+
 def test_tables_of_a_row_a_term_are_refused(spark, tmp_path):
     old = Tables(spark, str(tmp_path / "terms"), {"tf": "store string, id long, term string, tf long"})
     old.create()
